@@ -1,0 +1,23 @@
+"""Registry of the named queries and their DuckDB counterparts."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
+    def add(fn: Query) -> Query:
+        if name in QUERIES:
+            raise ValueError(f"query {name!r} registered twice")
+        QUERIES[name] = fn
+        if oracle is not None:
+            ORACLES[name] = oracle
+        return fn
+
+    return add
