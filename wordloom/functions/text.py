@@ -12,13 +12,14 @@ from wordloom.functions import kernels
 
 WS = rules.WS
 _W = rules.WORD_CHAR
-# Unicode word boundary over Python's word characters.
-_EDGE = rf"(?:(?<=[{_W}])(?![{_W}])|(?<![{_W}])(?=[{_W}]))"
+# Word boundaries over Python's word characters, spelled out because \b differs.
 _NOT_AFTER_WORD, _NOT_BEFORE_WORD = rf"(?<![{_W}])", rf"(?![{_W}])"
 
-NUM = rf"{_NOT_AFTER_WORD}\p{{Nd}}+(?:[.,]\p{{Nd}}+)?{_NOT_BEFORE_WORD}"
+# The cheap test comes first at every position; possessive runs cannot backtrack.
+NUM = rf"(?=\p{{Nd}}){_NOT_AFTER_WORD}\p{{Nd}}+(?:[.,]\p{{Nd}}+)?{_NOT_BEFORE_WORD}"
 URL = rf"(?iu)(?:https?://[^{WS}]+|www\.[^{WS}]+)"
-EMAIL = rf"{_EDGE}[{_W}.-]+@[{_W}.-]+\.[{_W}]+{_NOT_BEFORE_WORD}"
+# A match starts at the first word character of the run before the at sign.
+EMAIL = rf"{_NOT_AFTER_WORD}[{_W}][{_W}.-]*+@[{_W}.-]+\.[{_W}]+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -116,12 +117,14 @@ def unescape(text: Column) -> Column:
 
 
 # Characters that NFKC leaves alone in any company: no decomposition, no combining.
-_NFKC_SAFE = r"\x00-\x9f«»À-ıĴ-ľŁ-ňŊ-žЀ-ҁҊ-ԯ–—“”‘’€"
+_NFKC_SAFE = "\x80-\x9f«»À-ıĴ-ľŁ-ňŊ-žЀ-ҁҊ-ԯ–—“”‘’€"
+# ASCII is passed over by one comparison; only other characters meet the long class.
+_NFKC_SUSPECT = rf"[^\x00-\x7f](?<![{_NFKC_SAFE}])"
 
 
 def nfkc(text: Column) -> Column:
     """Unicode NFKC; texts made only of stable characters never leave the JVM."""
-    changed = kernels.nfkc(F.when(F.rlike(text, F.lit(f"[^{_NFKC_SAFE}]")), text))
+    changed = kernels.nfkc(F.when(F.rlike(text, F.lit(_NFKC_SUSPECT)), text))
     return F.coalesce(changed, text)
 
 
@@ -135,6 +138,12 @@ def unify_quotes(text: Column) -> Column:
     return F.translate(text, rules.QUOTES, '"' * len(rules.QUOTES))
 
 
+def unify_marks(text: Column) -> Column:
+    """Dashes and quotes in one pass."""
+    plain = "-" * len(rules.DASHES) + '"' * len(rules.QUOTES)
+    return F.translate(text, rules.DASHES + rules.QUOTES, plain)
+
+
 def no_space_before_punct(text: Column) -> Column:
     return F.regexp_replace(text, f"[{WS}]([{rules.PUNCT}])", "$1")
 
@@ -186,7 +195,8 @@ def expand_abbreviations(
     """
     if not table:
         return text
-    any_of = "(?iu)" + "|".join(f"(?:{_abbreviation_regex(s)})" for s, _ in table)
+    initials = "".join(sorted({("\\" + s[0]) if not s[0].isalnum() else s[0] for s, _ in table}))
+    any_of = f"(?iu)(?=[{initials}])(?:" + "|".join(_abbreviation_regex(s) for s, _ in table) + ")"
 
     def expand(t: Column) -> Column:
         out = t
@@ -219,7 +229,7 @@ def preprocess(
     if lowercase:
         out = F.lower(out)
     if normalize_punctuation:
-        out = squeeze_ws(unify_quotes(unify_dashes(unescape(out))))
+        out = squeeze_ws(unify_marks(unescape(out)))
         if order == "reference":
             out = F.trim(space_punctuation(out))
     if replace_patterns:

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from wordloom.plans import text_queries  # noqa: F401
+from wordloom.plans import page_queries, text_queries, token_queries  # noqa: F401
 from wordloom.plans.registry import ORACLES, QUERIES  # noqa: F401
