@@ -89,10 +89,13 @@ def date_candidates(body: Column) -> list[Column]:
     )]
 
 
-def published(body: Column) -> tuple[Column, Column]:
-    """(raw date string, timestamp): the first candidate that parses."""
-    raw = F.coalesce(*[F.when(parse_date(c).isNotNull(), c) for c in date_candidates(body)])
-    return raw, parse_date(raw)
+def published(body: Column) -> Column:
+    """struct(raw date string, timestamp) of the first candidate that parses, or null."""
+    parsed = F.transform(
+        F.array(*date_candidates(body)),
+        lambda c: F.struct(c.alias("raw"), parse_date(c).alias("ts")),
+    )
+    return F.get(F.filter(parsed, lambda p: p["ts"].isNotNull()), F.lit(0))
 
 
 def iso_date(ts: Column) -> Column:
@@ -160,10 +163,11 @@ def articles(
     out = out.withColumn("text", tx.clean_text(article_text(body), **clean_options))
     out = out.filter(~tx.is_blank(F.col("text")))
     out = out.withColumn("title", F.coalesce(title(F.col(html)), F.lit("")))
-    raw, ts = published(body) if with_date else (F.lit(None).cast("string"),) * 2
-    out = out.withColumn("date_raw", raw)
-    out = out.withColumn("date", iso_date(parse_date(F.col("date_raw"))) if with_date else ts)
-    return out.withColumn("category", category(body)).drop("_body", html)
+    found = published(body) if with_date else F.lit(None).cast("struct<raw:string,ts:timestamp>")
+    out = out.withColumn("_found", found)
+    out = out.withColumn("date_raw", F.col("_found.raw"))
+    out = out.withColumn("date", iso_date(F.col("_found.ts")))
+    return out.withColumn("category", category(body)).drop("_body", "_found", html)
 
 
 # --- links -------------------------------------------------------------------------

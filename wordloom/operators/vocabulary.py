@@ -47,8 +47,7 @@ def vocabulary(df: DataFrame, tokens: Column) -> DataFrame:
 def vocabulary_size(df: DataFrame, tokens: Column, approximate: bool = False) -> DataFrame:
     if approximate:
         # One sketch per task instead of a shuffle of the vocabulary.
-        rows = df.select(F.lower(F.explode(tokens)).alias("token"))
-        return rows.agg(F.approx_count_distinct("token", 0.01).alias("vocab_size"))
+        return token_rows(df, tokens).agg(F.approx_count_distinct(F.lower("token"), 0.01).alias("vocab_size"))
     return vocabulary(df, tokens).agg(F.count("*").alias("vocab_size"))
 
 

@@ -1,4 +1,6 @@
 """All registered queries."""
 
-from wordloom.plans import page_queries, text_queries, token_queries  # noqa: F401
+from wordloom.plans import (  # noqa: F401
+    page_queries, source_queries, subword_queries, text_queries, token_queries,
+)
 from wordloom.plans.registry import ORACLES, QUERIES  # noqa: F401

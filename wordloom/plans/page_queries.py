@@ -60,11 +60,9 @@ def _dated(spark, d):
         ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS date
     FROM (SELECT page_id, make_timestamp((1700000000 + page_id * 3661) * 1000000) AS ts FROM pages)""")
 def page_date(spark, d):
-    """Dates by priority; the session time zone is applied on both ways, so the
-    result is the written local time."""
-    raw, _ = pg.published(pg.strip_boilerplate(F.col("html")))
-    return _dated(spark, d).withColumn("raw", raw).select(
-        "page_id", pg.iso_date(pg.parse_date(F.col("raw"))).alias("date"))
+    """Dates by priority: meta tag, time element, date in the text."""
+    body = _dated(spark, d).select("page_id", pg.strip_boilerplate(F.col("html")).alias("body"))
+    return body.select("page_id", pg.iso_date(pg.published(F.col("body"))["ts"]).alias("date"))
 
 
 @query("page_category", """SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'Sport & Life ' || page_id

@@ -107,7 +107,7 @@ def paragraphs(x: str) -> str:
         r"(?is)</(p|article|main|section|div|body|html|blockquote|td|th|tr|table|li|ul|ol|form"
         r"|footer|header|aside|nav)\s*>.*"
     )
-    pieces = f"list_slice(regexp_split_to_array({x}, '(?i)<p(?:\\s[^>]*)?>'), 2, NULL)"
+    pieces = f"(regexp_split_to_array({x}, '(?i)<p(?:\\s[^>]*)?>'))[2:]"
     inner = nodes(sub("q", end, "", ""), " ")
     return (
         f"array_to_string(list_filter(list_transform({pieces}, lambda q: {inner}), "
