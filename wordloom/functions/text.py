@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wordloom import rules
 from wordloom.functions import kernels
@@ -17,7 +17,7 @@ _NOT_AFTER_WORD, _NOT_BEFORE_WORD = rf"(?<![{_W}])", rf"(?![{_W}])"
 
 # The cheap test comes first at every position; possessive runs cannot backtrack.
 NUM = rf"(?=\p{{Nd}}){_NOT_AFTER_WORD}\p{{Nd}}+(?:[.,]\p{{Nd}}+)?{_NOT_BEFORE_WORD}"
-URL = rf"(?iu)(?:https?://[^{WS}]+|www\.[^{WS}]+)"
+URL = rf"(?=[hHwW])(?iu)(?:https?://[^{WS}]+|www\.[^{WS}]+)"
 # A match starts at the first word character of the run before the at sign.
 EMAIL = rf"{_NOT_AFTER_WORD}[{_W}][{_W}.-]*+@[{_W}.-]+\.[{_W}]+"
 
@@ -27,6 +27,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def bind(
+    df: DataFrame, name: str, value: Column, keep: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """Add a column that is computed once per row, optionally keeping only some rows.
+
+    As the output of a generator it is a plain column to everything above: the
+    optimizer neither copies a long expression into each of its uses nor pushes the
+    filter, and with it the whole expression, below earlier steps.
+    """
+    items = F.array(value)
+    if keep is not None:
+        items = F.filter(items, keep)
+    return df.select("*", F.explode(items).alias(name))
+
+
 # --- white space -------------------------------------------------------------------
 
 def words(text: Column) -> Column:
@@ -109,11 +124,18 @@ _RARE_ENTITY = "&(?!(?:" + "|".join(n for n, _ in _FAST_ENTITIES) + ");)[a-zA-Z#
 def unescape(text: Column) -> Column:
     """HTML5 entity decoding. Common entities stay in the JVM; only texts with
     another entity are sent to Python, the rest travel as nulls."""
-    fast = text
-    for name, char in _FAST_ENTITIES:
-        fast = F.replace(fast, F.lit(f"&{name};"), F.lit(char))
-    rare = kernels.html_unescape(F.when(F.rlike(text, F.lit(_RARE_ENTITY)), text))
-    return F.coalesce(rare, fast)
+    def split_up(t: Column) -> Column:
+        fast = t
+        for name, char in _FAST_ENTITIES:
+            fast = F.replace(fast, F.lit(f"&{name};"), F.lit(char))
+        marked = F.contains(t, F.lit("&"))
+        return F.struct(
+            F.when(marked, fast).otherwise(t).alias("fast"),
+            F.when(marked & F.rlike(t, F.lit(_RARE_ENTITY)), t).alias("rare"),
+        )
+
+    both = let(text, split_up)
+    return F.coalesce(kernels.html_unescape(both["rare"]), both["fast"])
 
 
 # Characters that NFKC leaves alone in any company: no decomposition, no combining.
@@ -139,9 +161,10 @@ def unify_quotes(text: Column) -> Column:
 
 
 def unify_marks(text: Column) -> Column:
-    """Dashes and quotes in one pass."""
-    plain = "-" * len(rules.DASHES) + '"' * len(rules.QUOTES)
-    return F.translate(text, rules.DASHES + rules.QUOTES, plain)
+    """Dashes and quotes in one pass, over texts that have any."""
+    marks, plain = rules.DASHES + rules.QUOTES, "-" * len(rules.DASHES) + '"' * len(rules.QUOTES)
+    return let(text, lambda t: F.when(
+        F.rlike(t, F.lit(f"[{marks}]")), F.translate(t, marks, plain)).otherwise(t))
 
 
 def no_space_before_punct(text: Column) -> Column:
@@ -167,7 +190,8 @@ def mask_urls(text: Column) -> Column:
 
 
 def mask_emails(text: Column) -> Column:
-    return F.regexp_replace(text, EMAIL, rules.EMAIL_TOKEN)
+    return let(text, lambda t: F.when(
+        F.contains(t, F.lit("@")), F.regexp_replace(t, EMAIL, rules.EMAIL_TOKEN)).otherwise(t))
 
 
 def mask_patterns(text: Column, extra: Iterable[tuple[str, str]] = ()) -> Column:
@@ -195,8 +219,11 @@ def expand_abbreviations(
     """
     if not table:
         return text
-    initials = "".join(sorted({("\\" + s[0]) if not s[0].isalnum() else s[0] for s, _ in table}))
-    any_of = f"(?iu)(?=[{initials}])(?:" + "|".join(_abbreviation_regex(s) for s, _ in table) + ")"
+    # Both cases are spelled out, with the two letters that fold to ASCII ones.
+    initials = {c for short, _ in table for c in (short[0].lower(), short[0].upper())}
+    initials |= {fold for c, fold in (("s", "ſ"), ("k", "K")) if c in initials}
+    first = "".join(c if c.isalnum() else "\\" + c for c in sorted(initials))
+    any_of = f"(?=[{first}])(?iu)(?:" + "|".join(_abbreviation_regex(s) for s, _ in table) + ")"
 
     def expand(t: Column) -> Column:
         out = t
@@ -238,7 +265,8 @@ def preprocess(
         out = expand_abbreviations(out, abbreviations)
     if normalize_punctuation and order == "mask_first":
         out = space_punctuation(out)
-    return trim_ws(out)
+    # Once white space is squeezed, only U+0020 can be left at the ends.
+    return F.trim(out) if normalize_punctuation else trim_ws(out)
 
 
 # --- distances ------------------------------------------------------------------------------------

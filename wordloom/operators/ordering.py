@@ -9,26 +9,33 @@ rows, however the positions are spread; the result is a plain filter on ``pos``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 _BINS = 4096
 
 
-def prefix_end(df: DataFrame, pos: str, weight: Column, target: int | float) -> int | None:
-    """Smallest position whose running weight reaches ``target``; None if none does."""
+def prefix_end(
+    df: DataFrame, pos: str, weight: Column, target: float | Callable[[int], float]
+) -> int | None:
+    """Smallest position whose running weight reaches a positive ``target``, or None.
+
+    ``target`` may be a function of the total weight.
+    """
     slim = df.select(F.col(pos).cast("bigint").alias("p"), weight.alias("w"))
     slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        low, high = slim.agg(F.min("p"), F.max("p")).first()
-        if low is None:
+        low, high, total = slim.agg(F.min("p"), F.max("p"), F.sum("w")).first()
+        if callable(target):
+            target = target(total or 0)
+        if low is None or target <= 0 or (total or 0) < target:
             return None
         done = 0
         while True:
             width = -(-(high - low + 1) // _BINS)
-            cell = ((F.col("p") - F.lit(low)) / F.lit(width)).cast("bigint")
-            if width > 1:
-                cell = F.expr(f"(p - {low}) div {width}")
+            cell = F.expr(f"(p - {low}) div {width}")
             bins = (
                 slim.filter(F.col("p").between(low, high))
                 .groupBy(cell.alias("cell"))
@@ -72,10 +79,9 @@ def split_train_test(
     df: DataFrame, pos: str, fraction: float = 0.8, flag: str = "is_train"
 ) -> DataFrame:
     """Mark the first ``int(fraction * n)`` rows by position as the training part."""
-    size = int(fraction * df.count())
-    if size <= 0:
-        return df.withColumn(flag, F.lit(False))
-    return df.withColumn(flag, _up_to(pos, prefix_end(df, pos, F.lit(1), size)))
+    end = prefix_end(df, pos, F.lit(1), lambda n: int(fraction * n))
+    # The part never exceeds the whole, so no end means an empty training part.
+    return df.withColumn(flag, F.lit(False) if end is None else F.col(pos) <= end)
 
 
 def sample_n(df: DataFrame, pos: str, n: int, seed: int = 0) -> DataFrame:

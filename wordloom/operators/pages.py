@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wordloom import rules
 from wordloom.functions import text as tx
-from wordloom.functions.text import let
+from wordloom.functions.text import bind, let
 
 _ANY_TAG = "<[^>]*>"
-_NODE = "\x01"  # stands for a tag between two text nodes
+# Stand for a tag between two text nodes, for a break between pieces, for null.
+_NODE, _FIELD, _NULL = "\x01", "\x02", "\x03"
 
 
 def drop_comments(html: Column) -> Column:
@@ -24,10 +25,14 @@ def strip_boilerplate(html: Column) -> Column:
     return out
 
 
-def node_text(html: Column, separator: str = " ") -> Column:
-    """Text nodes, entities decoded, each trimmed, empty ones dropped, joined."""
-    decoded = tx.unescape(F.regexp_replace(html, _ANY_TAG, _NODE))
-    nodes = F.transform(F.split(decoded, _NODE), tx.trim_ws)
+def _marked(html: Column) -> Column:
+    return F.regexp_replace(html, _ANY_TAG, _NODE)
+
+
+def node_text(marked: Column, separator: str = " ") -> Column:
+    """Text nodes of decoded text with marks for tags: each trimmed, empty ones
+    dropped, joined."""
+    nodes = F.transform(F.split(marked, _NODE), tx.trim_ws)
     return F.array_join(F.array_remove(nodes, ""), separator)
 
 
@@ -40,9 +45,8 @@ def _attribute(tag: Column, name: str) -> Column:
 
 
 def _meta(html: Column, keys: str) -> Column:
-    """Content of the first <meta> tag with one of the given key attributes."""
-    tag = F.regexp_extract(html, rf"(?is)<meta\s(?=[^>]*?\b(?:{keys}))[^>]*>", 0)
-    return tx.trim_ws(tx.unescape(_attribute(tag, "content")))
+    """Raw content of the first <meta> tag with one of the given key attributes."""
+    return _attribute(F.regexp_extract(html, rf"(?is)<meta\s(?=[^>]*?\b(?:{keys}))[^>]*>", 0), "content")
 
 
 def _key(attributes: list[str], value: str) -> str:
@@ -54,66 +58,84 @@ def _element(html: Column, tag: str) -> Column:
     return F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1)
 
 
-def title(html: Column) -> Column:
-    """og:title, else the first <h1>, else <title>, else null."""
-    html = drop_comments(html)
-    page_title = F.when(
-        F.rlike(html, F.lit(r"(?i)<title[\s>]")), node_text(_element(html, "title"), "")
-    )
-    return F.coalesce(
-        _meta(html, _key(["property", "name"], "og:title")),
-        F.nullif(node_text(_element(html, "h1"), ""), F.lit("")),
-        page_title,
-    )
+_CRUMB = (
+    r"(?is)<([a-z][a-z0-9]*)\b[^>]*\bclass\s*=\s*(?:\"[^\"]*\bbreadcrumbs?(?![\w-])[^\"]*\""
+    r"|'[^']*\bbreadcrumbs?(?![\w-])[^']*')[^>]*>(.*?)</\1\s*>"
+)
 
 
-def parse_date(raw: Column) -> Column:
-    return F.coalesce(*[
-        F.try_to_timestamp(raw, F.lit(fmt)) for fmt in rules.DATE_FORMATS
-    ])
+def raw_fields(html: Column, body: Column) -> Column:
+    """The pieces of a page that its title, date and category are read from, still
+    encoded, as one string: decoding then costs one call per page."""
+    page = drop_comments(html)
+    when_has = lambda pattern, value: F.when(F.rlike(value, F.lit(pattern)), value)
+    return F.array_join(F.array(
+        _meta(page, _key(["property", "name"], "og:title")),
+        _marked(_element(page, "h1")),
+        _marked(_element(when_has(r"(?i)<title[\s>]", page), "title")),
+        _meta(body, _key(["property", "name"], "article:published_time") + "|"
+              + _key(["itemprop"], "datePublished")),
+        _attribute(F.regexp_extract(body, r"(?is)<time(?:\s[^>]*)?>", 0), "datetime"),
+        _marked(_element(body, "time")),
+        F.regexp_extract(F.regexp_replace(body, _ANY_TAG, " "), rules.ISO_DATE, 0),
+        _meta(body, _key(["property", "name"], "article:section")),
+        _marked(F.regexp_extract(when_has(_CRUMB, body), _CRUMB, 2)),
+    ), _FIELD, _NULL)
+
+
+def parse_fields(decoded: Column) -> Column:
+    """struct(title, date_raw, date_ts, category) of decoded :func:`raw_fields`."""
+    def build(parts: Column) -> Column:
+        def part(i: int) -> Column:
+            return F.nullif(F.get(parts, F.lit(i)), F.lit(_NULL))
+
+        filled = lambda c: F.nullif(c, F.lit(""))
+        candidates = F.array(
+            tx.trim_ws(part(3)), F.coalesce(part(4), filled(node_text(part(5), ""))), filled(part(6))
+        )
+        dates = F.filter(
+            F.transform(candidates, lambda c: F.struct(c.alias("raw"), parse_date(c).alias("ts"))),
+            lambda d: d["ts"].isNotNull(),
+        )
+        return F.struct(
+            # og:title, else the first <h1>, else <title>, else null
+            F.coalesce(tx.trim_ws(part(0)), filled(node_text(part(1), "")),
+                       node_text(part(2), "")).alias("title"),
+            F.get(dates, F.lit(0)).alias("date"),
+            # article:section, else the text of the breadcrumb element, else null
+            F.coalesce(tx.trim_ws(part(7)), node_text(part(8))).alias("category"),
+        )
 
+    return let(F.split(decoded, _FIELD), build)
 
-def date_candidates(body: Column) -> list[Column]:
-    """Raw dates by priority: meta tag, <time>, an ISO date in the text.
 
-    ``body`` is the page after boilerplate removal.
+def with_fields(pages: DataFrame, html: str = "html", body: str | None = None) -> DataFrame:
+    """Add ``title``, ``date_raw``, ``date_ts`` and ``category``.
+
+    The date comes from the meta tag, else the <time> element, else an ISO date in
+    the text: the first that parses. Date and category are read after boilerplate
+    removal, the title before it.
     """
-    meta = _meta(body, _key(["property", "name"], "article:published_time") + "|"
-                 + _key(["itemprop"], "datePublished"))
-    tag = F.regexp_extract(body, r"(?is)<time(?:\s[^>]*)?>", 0)
-    time = F.coalesce(
-        _attribute(tag, "datetime"), F.nullif(node_text(_element(body, "time"), ""), F.lit(""))
-    )
-    return [meta, time, F.nullif(
-        F.regexp_extract(F.regexp_replace(body, _ANY_TAG, " "), rules.ISO_DATE, 0), F.lit("")
-    )]
+    out = pages if body else bind(pages, "_body", strip_boilerplate(F.col(html)))
+    out = bind(out, "_raw", raw_fields(F.col(html), F.col(body or "_body")))
+    out = bind(out, "_f", parse_fields(tx.unescape(F.col("_raw"))))
+    out = out.withColumns({
+        "title": F.col("_f.title"), "date_raw": F.col("_f.date.raw"),
+        "date_ts": F.col("_f.date.ts"), "category": F.col("_f.category"),
+    })
+    return out.drop("_raw", "_f", "_body")
 
 
-def published(body: Column) -> Column:
-    """struct(raw date string, timestamp) of the first candidate that parses, or null."""
-    parsed = F.transform(
-        F.array(*date_candidates(body)),
-        lambda c: F.struct(c.alias("raw"), parse_date(c).alias("ts")),
-    )
-    return F.get(F.filter(parsed, lambda p: p["ts"].isNotNull()), F.lit(0))
+def parse_date(raw: Column) -> Column:
+    return F.coalesce(*[
+        F.try_to_timestamp(raw, F.lit(fmt)) for fmt in rules.DATE_FORMATS
+    ])
 
 
 def iso_date(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
 
-def category(body: Column) -> Column:
-    """article:section, else the text of the breadcrumb element, else null."""
-    crumb = (
-        r"(?is)<([a-z][a-z0-9]*)\b[^>]*\bclass\s*=\s*(?:\"[^\"]*\bbreadcrumbs?(?![\w-])[^\"]*\""
-        r"|'[^']*\bbreadcrumbs?(?![\w-])[^']*')[^>]*>(.*?)</\1\s*>"
-    )
-    return F.coalesce(
-        _meta(body, _key(["property", "name"], "article:section")),
-        F.when(F.rlike(body, F.lit(crumb)), node_text(F.regexp_extract(body, crumb, 2))),
-    )
-
-
 # A paragraph ends at the next <p>, or where an enclosing block ends.
 _BLOCK_END = (
     r"(?is)</(?:p|article|main|section|div|body|html|blockquote|td|th|tr|table|li|ul|ol|form"
@@ -121,53 +143,39 @@ _BLOCK_END = (
 )
 
 
-def paragraphs(body: Column) -> Column:
-    """Texts of all <p> elements with enough words; a new <p> closes an open one.
-
-    Entities are decoded once for the whole page, between the marks that stand
-    for tags and paragraph starts.
-    """
-    starts = F.split(body, r"(?i)<p(?:\s[^>]*)?>")
-    inner = F.transform(
+def paragraph_marks(body: Column) -> Column:
+    """All <p> contents as one still encoded string with marks for tags and
+    paragraph starts; a new <p> closes an open one."""
+    return let(F.split(body, r"(?i)<p(?:\s[^>]*)?>"), lambda starts: F.array_join(F.transform(
         F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))),
-        lambda piece: F.regexp_replace(F.regexp_replace(piece, _BLOCK_END, ""), _ANY_TAG, _NODE),
-    )
-    decoded = F.split(tx.unescape(F.array_join(inner, "\x02")), "\x02")
+        lambda piece: _marked(F.regexp_replace(piece, _BLOCK_END, "")),
+    ), _FIELD))
 
-    def clean(piece: Column) -> Column:
-        nodes = F.transform(F.split(piece, _NODE), tx.trim_ws)
-        return F.array_join(F.array_remove(nodes, ""), " ")
 
+def paragraph_texts(decoded: Column) -> Column:
+    """Paragraphs with enough words out of decoded :func:`paragraph_marks`."""
     return F.filter(
-        F.transform(decoded, clean), lambda p: F.size(tx.words(p)) >= rules.PARAGRAPH_MIN_WORDS
+        F.transform(F.split(decoded, _FIELD), lambda piece: node_text(piece)),
+        lambda p: F.size(tx.words(p)) >= rules.PARAGRAPH_MIN_WORDS,
     )
 
 
 def article_text(body: Column) -> Column:
-    return F.array_join(paragraphs(body), "\n\n")
+    return F.array_join(paragraph_texts(tx.unescape(paragraph_marks(body))), "\n\n")
 
 
-def articles(
-    pages: DataFrame,
-    url: str = "url",
-    html: str = "html",
-    with_date: bool = True,
-    **clean_options,
-) -> DataFrame:
+def articles(pages: DataFrame, url: str = "url", html: str = "html", **clean_options) -> DataFrame:
     """One row per page with text: title, cleaned text, date, url, category.
 
     Further columns of ``pages`` (such as an order column) are kept.
     """
-    body = F.col("_body")
-    out = pages.filter(F.col(html).isNotNull()).withColumn("_body", strip_boilerplate(F.col(html)))
-    out = out.withColumn("text", tx.clean_text(article_text(body), **clean_options))
-    out = out.filter(~tx.is_blank(F.col("text")))
-    out = out.withColumn("title", F.coalesce(title(F.col(html)), F.lit("")))
-    found = published(body) if with_date else F.lit(None).cast("struct<raw:string,ts:timestamp>")
-    out = out.withColumn("_found", found)
-    out = out.withColumn("date_raw", F.col("_found.raw"))
-    out = out.withColumn("date", iso_date(F.col("_found.ts")))
-    return out.withColumn("category", category(body)).drop("_body", "_found", html)
+    out = bind(pages.filter(F.col(html).isNotNull()), "_body", strip_boilerplate(F.col(html)))
+    text = tx.clean_text(article_text(F.col("_body")), **clean_options)
+    out = bind(out, "text", text, keep=lambda t: ~tx.is_blank(t))
+    out = with_fields(out, html, "_body")
+    return out.withColumns({
+        "title": F.coalesce("title", F.lit("")), "date": iso_date(F.col("date_ts")),
+    }).drop("_body", html)
 
 
 # --- links -------------------------------------------------------------------------
@@ -256,8 +264,9 @@ def resolve_url(base: Column, ref: Column) -> Column:
 
 
 def resolved_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    out = links(pages, html).withColumn("link", resolve_url(F.col(url), F.col("href")))
-    return out.withColumn("_u", url_parts(F.col("link"))).select("*", "_u.*").drop("_u")
+    """Every link of every page, absolute, with its scheme, netloc and path."""
+    out = bind(links(pages, html), "link", resolve_url(F.col(url), F.col("href")))
+    return bind(out, "_u", url_parts(F.col("link"))).select("*", "_u.*").drop("_u")
 
 
 def is_web(scheme: Column) -> Column:
@@ -290,5 +299,6 @@ def site_links(
     )
 
 
-def long_enough(text: Column, minimum: int = rules.ARTICLE_MIN_WORDS) -> Column:
-    return tx.word_count(text) >= minimum
+def long_articles(df: DataFrame, text: str = "text", minimum: int = rules.ARTICLE_MIN_WORDS) -> DataFrame:
+    """Rows with enough words, counted on the given (cleaned) text, as ``n_words``."""
+    return bind(df, "n_words", tx.word_count(F.col(text)), keep=lambda n: n >= minimum)

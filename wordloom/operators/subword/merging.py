@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from wordloom import rules
 from wordloom.operators.subword.model import SubwordModel
 from wordloom.operators.subword.types import alphabet
-from wordloom.session import materialize
+from wordloom.session import materialize, materialize_spread
 
 _TOP = 2_000
 _REWRITE_EVERY = 8
@@ -157,7 +157,7 @@ def train(
     """Learn merges from a ``(word, cnt)`` table until the vocabulary is full, no pair
     reaches ``min_frequency`` or ``max_merges`` are made."""
     prefix = rules.CONTINUATION if kind == "wordpiece" else ""
-    types = materialize(types.select("word", "cnt"), "types")
+    types = materialize_spread(types.select("word", "cnt"), "types")
     chars = alphabet(types)
     vocab = [rules.UNK, *chars]
     if prefix:

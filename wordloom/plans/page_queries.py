@@ -10,7 +10,7 @@ from wordloom.operators import ordering, pages as pg, vocabulary as vb
 from wordloom.plans import sql
 from wordloom.plans.registry import query
 from wordloom.plans.text_queries import STOP_WORDS
-from wordloom.sources.tables import table
+from wordloom.sources.tables import text_table
 
 _OPTIONS = {"stop_words": STOP_WORDS, "extra_letters": rules.LATIN_EXTRA}
 _BODY = sql.body("html")
@@ -18,12 +18,12 @@ _TITLE = sql.nodes(r"regexp_extract(html, '(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>',
 
 
 def _pages(spark, d):
-    return table(spark, d, "pages")
+    return text_table(spark, d, "pages")
 
 
 @query("page_title", f"SELECT page_id, {_TITLE} AS title FROM pages")
 def page_title(spark, d):
-    return _pages(spark, d).select("page_id", pg.title(F.col("html")).alias("title"))
+    return pg.with_fields(_pages(spark, d)).select("page_id", "title")
 
 
 @query("page_strip_boilerplate", f"SELECT page_id, {_BODY} AS body FROM pages")
@@ -61,8 +61,7 @@ def _dated(spark, d):
     FROM (SELECT page_id, make_timestamp((1700000000 + page_id * 3661) * 1000000) AS ts FROM pages)""")
 def page_date(spark, d):
     """Dates by priority: meta tag, time element, date in the text."""
-    body = _dated(spark, d).select("page_id", pg.strip_boilerplate(F.col("html")).alias("body"))
-    return body.select("page_id", pg.iso_date(pg.published(F.col("body"))["ts"]).alias("date"))
+    return pg.with_fields(_dated(spark, d)).select("page_id", pg.iso_date(F.col("date_ts")).alias("date"))
 
 
 @query("page_category", """SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'Sport & Life ' || page_id
@@ -77,7 +76,7 @@ def page_category(spark, d):
         .otherwise(F.lit(""))
     )
     marked = _pages(spark, d).withColumn("html", F.concat(mark, "html"))
-    return marked.select("page_id", pg.category(pg.strip_boilerplate(F.col("html"))).alias("category"))
+    return pg.with_fields(marked).select("page_id", "category")
 
 
 _ARTICLE_TEXT = sql.clean(sql.paragraphs(_BODY), STOP_WORDS, rules.LATIN_EXTRA)
@@ -103,8 +102,7 @@ def articles(spark, d):
 def edit_distance(spark, d):
     """Title against its cleaned form. DuckDB compares bytes, so its side first maps
     the accented letters one to one to single-byte characters."""
-    title = pg.title(F.col("html"))
-    rows = _pages(spark, d).select("page_id", title.alias("a"))
+    rows = pg.with_fields(_pages(spark, d)).select("page_id", F.col("title").alias("a"))
     rows = rows.withColumn("b", tx.clean_text(F.col("a"), stop_words=STOP_WORDS))
     return rows.select("page_id", F.round(
         tx.normalized_edit_distance(F.col("a"), F.col("b")), 6).alias("distance"))
@@ -194,10 +192,8 @@ _TOP = 5
         SELECT site, token, count(*)::BIGINT AS cnt FROM t GROUP BY site, token)) WHERE rank <= {_TOP}""")
 def flagship(spark, d):
     """Pages to cleaned articles, long ones up to the word budget, top words by site."""
-    found = pg.articles(_pages(spark, d), with_date=False, **_OPTIONS)
-    corpus = found.withColumn("n_words", tx.word_count(F.col("text"))).filter(
-        F.col("n_words") >= rules.ARTICLE_MIN_WORDS)
-    kept = ordering.budget_prefix(corpus, "page_id", F.col("n_words"), rules.CORPUS_WORD_BUDGET)
+    found = pg.articles(_pages(spark, d), **_OPTIONS)
+    kept = ordering.budget_prefix(pg.long_articles(found), "page_id", F.col("n_words"), rules.CORPUS_WORD_BUDGET)
     kept = kept.withColumn("site", pg.url_parts(F.col("url"))["netloc"])
     counts = vb.token_counts(kept, tk.regex_words(F.col("text"), rules.LATIN_EXTRA), ["site"])
     return vb.top_tokens_by(counts, ["site"], _TOP)

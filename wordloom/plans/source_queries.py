@@ -12,7 +12,7 @@ from wordloom.plans.page_queries import ARTICLES, article_rows
 from wordloom.plans.registry import query
 from wordloom.session import new_path
 from wordloom.sources import jsonl, sinks
-from wordloom.sources.tables import table, table_stream
+from wordloom.sources.tables import table, table_stream, text_table
 from wordloom.streaming import jobs
 
 # Kinds of line by doc_id % 10, to meet every branch of the readers.
@@ -36,7 +36,7 @@ def _lines(spark, d) -> DataFrame:
         .when(kind == 8, F.lit("  "))
         .otherwise(_record(F.lit(" ")))
     )
-    return table(spark, d, "documents").select("doc_id", line.alias("line"))
+    return text_table(spark, d, "documents").select("doc_id", line.alias("line"))
 
 
 def _lines_path(spark, d) -> str:
@@ -128,7 +128,7 @@ def sink_articles(spark, d):
 @query("sink_processed", f"SELECT doc_id, {sql.preprocess('text')} AS text FROM documents")
 def sink_processed(spark, d):
     path = new_path(spark, "processed")
-    docs = table(spark, d, "documents").select("doc_id", tx.preprocess(F.col("text")).alias("text"))
+    docs = text_table(spark, d, "documents").select("doc_id", tx.preprocess(F.col("text")).alias("text"))
     sinks.overwrite_records(docs.select(F.to_json(F.struct("doc_id", "text")).alias("record_json")), path)
     return spark.read.schema("doc_id bigint, text string").json(path)
 
@@ -136,7 +136,7 @@ def sink_processed(spark, d):
 @query("sink_plain_corpus", "SELECT replace(text, chr(10), ' ') AS value FROM documents")
 def sink_plain_corpus(spark, d):
     path = new_path(spark, "corpus")
-    sinks.write_plain_corpus(table(spark, d, "documents"), path)
+    sinks.write_plain_corpus(text_table(spark, d, "documents"), path)
     return spark.read.text(path)
 
 
@@ -148,14 +148,14 @@ _TOKENS = f"(SELECT unnest({sql.regex_words('lower(text)')}) AS token FROM docum
 def top_tokens_csv(spark, d):
     words = tk.regex_words(F.lower(F.col("text")), rules.LATIN_EXTRA)
     path = new_path(spark, "top-tokens")
-    sinks.write_csv(vb.top_tokens(vb.token_counts(table(spark, d, "documents"), words), 50), path)
+    sinks.write_csv(vb.top_tokens(vb.token_counts(text_table(spark, d, "documents"), words), 50), path)
     return sinks.read_csv(spark, path, "token string, cnt bigint")
 
 
 @query("metrics_csv")
 def metrics_csv(spark, d):
     """Grid metrics with four decimals through CSV; a missing similarity is an empty cell."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = text_table(spark, d, "documents").select("doc_id", "text")
     out = grid.compare(docs, "doc_id", "text", ["naive", "regex"], ["none"], similarity_sample=None)
     out = out.withColumn("semantic_similarity", F.lit(None).cast("double"))
     path = new_path(spark, "metrics")

@@ -10,7 +10,7 @@ from wordloom.plans import sql
 from wordloom.plans.registry import query
 from wordloom.session import new_path
 from wordloom.sources import sinks
-from wordloom.sources.tables import table
+from wordloom.sources.tables import text_table
 
 _MERGES = 40
 _UNIGRAM_SIZE = 300
@@ -19,7 +19,7 @@ _models: dict[tuple, md.SubwordModel] = {}
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents").select("doc_id", "text")
+    return text_table(spark, d, "documents").select("doc_id", "text")
 
 
 def _model(spark, d, kind: str) -> md.SubwordModel:

@@ -8,10 +8,11 @@ from pyspark.sql import Column, functions as F
 
 from wordloom import rules
 from wordloom.functions import text as tx
+from wordloom.operators import pages
 from wordloom.plans import sql
 from wordloom.plans.registry import query
 from wordloom.sources.sinks import plain_corpus
-from wordloom.sources.tables import table
+from wordloom.sources.tables import text_table
 
 STOP_WORDS = sorted({w for lang in ("en", "de", "fr", "es") for w in rules.STOPWORDS[lang]})
 ABBREVIATIONS = rules.ABBREVIATIONS["en"]
@@ -21,13 +22,13 @@ def _documents(name: str, fn: Callable[[Column], Column], sql_expr: str) -> None
     """A per-row text operator over ``documents``."""
     @query(name, f"SELECT doc_id, {sql_expr} AS text FROM documents")
     def run(spark, d):
-        return table(spark, d, "documents").select("doc_id", fn(F.col("text")).alias("text"))
+        return text_table(spark, d, "documents").select("doc_id", fn(F.col("text")).alias("text"))
 
 
 def _pages(name: str, fn: Callable[[Column], Column], sql_expr: str, column: str = "html") -> None:
     @query(name, f"SELECT page_id, {sql_expr} AS text FROM pages")
     def run(spark, d):
-        return table(spark, d, "pages").select("page_id", fn(F.col(column)).alias("text"))
+        return text_table(spark, d, "pages").select("page_id", fn(F.col(column)).alias("text"))
 
 
 _pages("strip_tags", tx.strip_tags, sql.sub("html", rules.TAG, " "))
@@ -64,7 +65,7 @@ _pages("unescape", tx.unescape, sql.entities("html"))
 def strip_links(spark, d):
     """Links sit in the pages' url column; the page text follows them."""
     text = F.concat("html", F.lit(" "), "url", F.lit(" end"))
-    return table(spark, d, "pages").select("page_id", tx.strip_links(text).alias("text"))
+    return text_table(spark, d, "pages").select("page_id", tx.strip_links(text).alias("text"))
 
 
 _ASCII = "".join(map(chr, range(0x21, 0x7F)))
@@ -75,7 +76,7 @@ _FULL_WIDTH = "".join(chr(ord(c) + 0xFEE0) for c in _ASCII)
 def nfkc(spark, d):
     """The documents in full-width letters, brought back by compatibility normalization."""
     wide = F.translate("text", _ASCII, _FULL_WIDTH)
-    return table(spark, d, "documents").select("doc_id", tx.nfkc(wide).alias("text"))
+    return text_table(spark, d, "documents").select("doc_id", tx.nfkc(wide).alias("text"))
 
 
 @query("decode_lossy", "SELECT doc_id, regexp_replace(text, '[^\\x00-\\x7f]', chr(65533), 'g') "
@@ -83,25 +84,25 @@ def nfkc(spark, d):
 def decode_lossy(spark, d):
     """The documents as Latin-1 bytes, read as UTF-8 with replacement characters."""
     bytes_ = F.encode("text", "ISO-8859-1").cast("string")
-    return table(spark, d, "documents").select("doc_id", F.make_valid_utf8(bytes_).alias("text"))
+    return text_table(spark, d, "documents").select("doc_id", F.make_valid_utf8(bytes_).alias("text"))
 
 
 @query("plain_corpus", "SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents")
 def plain_lines(spark, d):
-    return plain_corpus(table(spark, d, "documents").select("doc_id", "text"))
+    return plain_corpus(text_table(spark, d, "documents").select("doc_id", "text"))
 
 
 @query("preprocess_mask_first")
 def preprocess_mask_first(spark, d):
     """Placeholders and abbreviations before punctuation spacing."""
-    return table(spark, d, "documents").select(
+    return text_table(spark, d, "documents").select(
         "doc_id", tx.preprocess(F.col("text"), order="mask_first").alias("text")
     )
 
 
 @query("word_count", f"SELECT doc_id, len({sql.words('text')})::BIGINT AS n_words FROM documents")
 def word_count(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.word_count(F.col("text")).alias("n_words"))
+    return text_table(spark, d, "documents").select("doc_id", tx.word_count(F.col("text")).alias("n_words"))
 
 
 @query("drop_blank", "SELECT doc_id, text FROM (SELECT doc_id, "
@@ -110,7 +111,7 @@ def word_count(spark, d):
 def drop_blank(spark, d):
     """Documents that still hold something once plain letters are removed."""
     rest = F.regexp_replace("text", "[a-zA-Z.,]", "")
-    return table(spark, d, "documents").select("doc_id", rest.alias("text")).filter(
+    return text_table(spark, d, "documents").select("doc_id", rest.alias("text")).filter(
         ~tx.is_blank(F.col("text"))
     )
 
@@ -120,6 +121,5 @@ def drop_blank(spark, d):
 def min_words(spark, d):
     """Documents with enough words after cleaning."""
     cleaned = tx.clean_text(F.col("text"), stop_words=STOP_WORDS, extra_letters=rules.LATIN_EXTRA)
-    return table(spark, d, "documents").select(
-        "doc_id", tx.word_count(cleaned).alias("n_words")
-    ).filter(F.col("n_words") >= rules.ARTICLE_MIN_WORDS)
+    docs = text_table(spark, d, "documents").select("doc_id", cleaned.alias("text"))
+    return pages.long_articles(docs).select("doc_id", "n_words")

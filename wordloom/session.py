@@ -44,6 +44,21 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/wordloom/{label}-{uuid.uuid4().hex}"
 
 
+# Python work per row is heavy next to the size of a row, so tasks of the iterative
+# trainers are sized by rows, not by bytes.
+_ROWS_PER_TASK = 8_000
+
+
+def materialize_spread(df: DataFrame, label: str) -> DataFrame:
+    """:func:`materialize`, then laid out in one file per task-sized number of rows."""
+    written = materialize(df, label)
+    spark = df.sparkSession
+    most = max(spark.sparkContext.defaultParallelism,
+               int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(1, min(most, -(-written.count() // _ROWS_PER_TASK)))
+    return materialize(written.repartition(tasks), label)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the work folder and read it back: short lineage that
     survives the loss of any executor."""

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wordloom.functions import text as tx
+from wordloom.functions.text import bind
 from wordloom.operators.ordering import first_n
 
 # fixed values: further line breaks of Python's str.splitlines
@@ -67,13 +68,12 @@ def parse(lines: DataFrame, line: str = "line") -> DataFrame:
     The line is parsed inside brackets, which makes text after the object an error.
     """
     boxed = F.try_parse_json(F.concat(F.lit("["), F.col(line), F.lit("]")))
-    out = lines.withColumn("_boxed", boxed).withColumn(
-        "record",
-        F.when(
-            F.expr("try_variant_get(_boxed, '$[1]', 'variant') is null"),
-            F.expr("try_variant_get(_boxed, '$[0]', 'variant')"),
-        ),
+    only = F.when(
+        F.expr("try_variant_get(_boxed, '$[1]', 'variant') is null"),
+        F.expr("try_variant_get(_boxed, '$[0]', 'variant')"),
     )
+    # Bound, so that a line is parsed once however many fields are read from it.
+    out = bind(bind(lines, "_boxed", boxed), "record", only)
     is_object = F.rlike(F.col(line), F.lit(f"^[{tx.WS}]*\\{{"))
     problem = (
         F.when(tx.is_blank(F.col(line)), F.lit("blank line"))
