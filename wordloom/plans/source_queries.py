@@ -10,6 +10,7 @@ from wordloom.operators import grid, vocabulary as vb
 from wordloom.plans import sql
 from wordloom.plans.page_queries import ARTICLES, article_rows
 from wordloom.plans.registry import query
+from wordloom.plans.token_queries import grid_oracle
 from wordloom.session import new_path
 from wordloom.sources import jsonl, sinks
 from wordloom.sources.tables import table, table_stream, text_table
@@ -152,7 +153,8 @@ def top_tokens_csv(spark, d):
     return sinks.read_csv(spark, path, "token string, cnt bigint")
 
 
-@query("metrics_csv")
+@query("metrics_csv", "SELECT tokenizer, normalizer, vocab_size, printf('%.4f', oov_pct) AS oov_pct, "
+       f"NULL::VARCHAR AS semantic_similarity FROM ({grid_oracle('naive', 'regex')})")
 def metrics_csv(spark, d):
     """Grid metrics with four decimals through CSV; a missing similarity is an empty cell."""
     docs = text_table(spark, d, "documents").select("doc_id", "text")

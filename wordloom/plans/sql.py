@@ -89,6 +89,12 @@ def preprocess(x: str) -> str:
     return f"trim({abbreviations(mask_emails(mask_urls(mask_numbers(out))), rules.ABBREVIATIONS_RU)})"
 
 
+def preprocess_mask_first(x: str) -> str:
+    out = sub(unify(entities(f"lower({x})")), r"\s+", " ")
+    masked = mask_emails(mask_urls(mask_numbers(out)))
+    return f"trim({spacing(abbreviations(masked, rules.ABBREVIATIONS_RU))})"
+
+
 def body(x: str) -> str:
     out = sub(x, "(?s)<!--.*?-->", " ")
     for tag in rules.BOILERPLATE_TAGS:

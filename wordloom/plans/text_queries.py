@@ -53,6 +53,8 @@ _documents("mask_patterns", tx.mask_patterns,
 _documents("expand_abbreviations", lambda t: tx.expand_abbreviations(t, ABBREVIATIONS),
            sql.abbreviations("text", ABBREVIATIONS))
 _documents("preprocess_default", tx.preprocess, sql.preprocess("text"))
+_documents("preprocess_mask_first", lambda t: tx.preprocess(t, order="mask_first"),
+           sql.preprocess_mask_first("text"))
 _documents("trim_ws", lambda t: tx.trim_ws(F.concat(F.lit("\n \t"), t, F.lit(" \n"))),
            sql.sub("(chr(10) || ' ' || chr(9) || text || ' ' || chr(10))", r"^\s+|\s+$", ""))
 _documents("rejoin", lambda t: F.array_join(tx.words(t), " "), sql.join(sql.words("text")))
@@ -92,14 +94,6 @@ def plain_lines(spark, d):
     return plain_corpus(text_table(spark, d, "documents").select("doc_id", "text"))
 
 
-@query("preprocess_mask_first")
-def preprocess_mask_first(spark, d):
-    """Placeholders and abbreviations before punctuation spacing."""
-    return text_table(spark, d, "documents").select(
-        "doc_id", tx.preprocess(F.col("text"), order="mask_first").alias("text")
-    )
-
-
 @query("word_count", f"SELECT doc_id, len({sql.words('text')})::BIGINT AS n_words FROM documents")
 def word_count(spark, d):
     return text_table(spark, d, "documents").select("doc_id", tx.word_count(F.col("text")).alias("n_words"))

@@ -403,16 +403,22 @@ def _grid_sql(name: str) -> str:
         FROM (SELECT 1)"""
 
 
-def _grid_oracle() -> str:
+_SQL_TOKENIZERS = {
+    "naive": _NAIVE, "regex": f"regexp_extract_all(text, {sql.text(tk.regex_pattern())})",
+    "rules": _RULES, "wordpunct": sql.wordpunct("text"),
+}
+
+
+def grid_oracle(*names: str) -> str:
     parts = []
-    for name, tokens in [("naive", _NAIVE), ("regex", f"regexp_extract_all(text, {sql.text(tk.regex_pattern())})"),
-                         ("rules", _RULES), ("wordpunct", sql.wordpunct("text"))]:
+    for name in names:
+        tokens = _SQL_TOKENIZERS[name]
         parts.append(f"""SELECT * FROM (WITH t AS (SELECT is_train, lower(unnest({tokens})) AS token
             FROM {_SPLIT}) {_grid_sql(name)})""")
     return " UNION ALL ".join(parts)
 
 
-@query("tokenizer_grid", _grid_oracle())
+@query("tokenizer_grid", grid_oracle(*_SQL_TOKENIZERS))
 def tokenizer_grid(spark, d):
     """Four tokenizers without normalization: vocabulary size and OOV rate."""
     out = grid.compare(
