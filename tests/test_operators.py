@@ -227,3 +227,15 @@ def test_sinks(spark, tmp_path):
     sinks.write_csv(sinks.format_metrics(metrics, ["x", "y"]), str(tmp_path / "c"))
     back = sinks.read_csv(spark, str(tmp_path / "c"), "n string, x string, y string").first()
     assert tuple(back) == ('a"b', "0.0001", None)
+
+
+@pytest.mark.parametrize("bound", [500_000, 1])
+def test_stop_word_join_small_and_large(spark, monkeypatch, bound):
+    """The broadcast and the salted join give the same rows, one key being hot."""
+    monkeypatch.setattr(vb, "BROADCAST_ROWS", bound)
+    texts = ["the cat the", "the the the dog", "a the"] * 20
+    df = spark.createDataFrame(list(enumerate(texts)), "pos bigint, text string")
+    stop = spark.createDataFrame([("the",), ("a",), ("zzz",)], "token string")
+    rows = vb.remove_stop_words(df, "pos", tx.words(F.col("text")), stop).collect()
+    want = [(p, i, w) for p, t in enumerate(texts) for i, w in enumerate(t.split()) if w not in ("the", "a")]
+    assert sorted((r.pos, r.idx, r.token) for r in rows) == want

@@ -38,8 +38,10 @@ def histogram(dist: DataFrame, bins: int, by: Sequence[str] = ()) -> DataFrame:
     limits = dist.groupBy(*by).agg(
         F.min("value").cast("double").alias("lo"), F.max("value").cast("double").alias("hi")
     )
-    # A handful of rows: one per group, from an already reduced table.
-    joined = dist.join(limits, list(by)) if by else dist.join(F.broadcast(limits))
+    if by:
+        joined = dist.join(limits, list(by))
+    else:
+        joined = dist.withColumns({c: limits.select(c).scalar() for c in ("lo", "hi")})
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     cell = F.floor(F.try_divide(F.col("value") - F.col("lo"), width)).cast("bigint") + 1
     return (

@@ -12,7 +12,7 @@ from wordloom.operators.subword.merging import train_bpe, train_wordpiece
 from wordloom.operators.subword.model import SubwordModel
 from wordloom.operators.subword.types import word_types
 from wordloom.operators.subword.unigram import train_unigram
-from wordloom.session import materialize_spread
+from wordloom.session import discard, store
 
 TRAINERS = {"bpe": train_bpe, "wordpiece": train_wordpiece, "unigram": train_unigram}
 
@@ -43,8 +43,9 @@ def training_grid(
 ) -> DataFrame:
     """One row of settings and metrics per model; ``min_frequency`` is null for
     unigram models, which do not use it."""
-    types = materialize_spread(word_types(df, text), "types")
+    types, path = store(word_types(df, text), "types")
     trained = train_all(types, sizes, min_frequency, kinds)
+    discard(df.sparkSession, path)
     metrics = evaluate(df, {key: model for key, (_, _, model) in trained.items()}, text)
     settings = df.sparkSession.createDataFrame(
         [

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from wordloom import rules
 from wordloom.operators.subword.model import SubwordModel
 from wordloom.operators.subword.types import alphabet
-from wordloom.session import materialize, materialize_spread
+from wordloom.session import discard, store, store_spread
 
 _TOP = 2_000
 _REWRITE_EVERY = 8
@@ -157,7 +157,8 @@ def train(
     """Learn merges from a ``(word, cnt)`` table until the vocabulary is full, no pair
     reaches ``min_frequency`` or ``max_merges`` are made."""
     prefix = rules.CONTINUATION if kind == "wordpiece" else ""
-    types = materialize_spread(types.select("word", "cnt"), "types")
+    spark = types.sparkSession
+    types, types_path = store_spread(types.select("word", "cnt"), "types")
     chars = alphabet(types)
     vocab = [rules.UNK, *chars]
     if prefix:
@@ -170,7 +171,8 @@ def train(
     first = {c: index[c] for c in chars}
     later = {c: index[prefix + c] for c in chars if prefix + c in index}
 
-    state = materialize(_initial_state(types, first, later), f"{kind}-state")
+    state, state_path = store(_initial_state(types, first, later), f"{kind}-state")
+    discard(spark, types_path)
     merges, merge_ids, pending = [], [], []
 
     def join(left: int, right: int) -> str:
@@ -198,8 +200,11 @@ def train(
             batch.append((left, right, index[text]))
         pending.append(tuple(np.array(x, dtype=np.int64) for x in zip(*batch)))
         if len(pending) == _REWRITE_EVERY:
-            state = materialize(state.mapInArrow(_rewrite(pending), _STATE), f"{kind}-state")
+            replaced = state_path
+            state, state_path = store(state.mapInArrow(_rewrite(pending), _STATE), f"{kind}-state")
+            discard(spark, replaced)
             pending = []
+    discard(spark, state_path)
     return SubwordModel(kind, vocab, merges, merge_ids, [], base)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wordloom import rules
 from wordloom.operators.subword.model import SubwordModel
-from wordloom.session import materialize_spread
+from wordloom.session import discard, store_spread
 
 # fixed values of the published procedure
 MAX_PIECE = 16
@@ -201,7 +201,7 @@ def _losses(types: DataFrame, scores: dict[str, float], used: dict[str, float])
 
 def train_unigram(types: DataFrame, vocab_size: int = 16_000) -> SubwordModel:
     """Learn pieces and log probabilities from a ``(word, cnt)`` table."""
-    types = materialize_spread(types.select("word", "cnt"), "types")
+    types, types_path = store_spread(types.select("word", "cnt"), "types")
     seeds = top_seeds(seed_pieces(types), SEED_FACTOR * vocab_size).collect()
     total = float(sum(r.score for r in seeds)) or 1.0
     scores = {r.piece: log(r.score / total) for r in seeds}
@@ -223,6 +223,7 @@ def train_unigram(types: DataFrame, vocab_size: int = 16_000) -> SubwordModel:
         scores = {p: s for p, s in scores.items() if p in keep}
         if room <= 0:
             break
+    discard(types.sparkSession, types_path)
     ranked = sorted(scores, key=lambda p: (-scores[p], p))
     chars = [p for p in ranked if len(p) == 1]
     long = [p for p in ranked if len(p) > 1][: max(wanted - len(chars), 0)]

@@ -90,11 +90,32 @@ def oov_columns(train: Column, test: Column, with_size: bool = True) -> list[Col
     return out
 
 
+# A lookup table of up to this many short rows (some tens of megabytes) is broadcast.
+BROADCAST_ROWS = 500_000
+_SALTS = 32
+
+
+def without_listed(rows: DataFrame, listed: DataFrame, key: str, spread: str) -> DataFrame:
+    """Rows whose ``key`` is not in the one-column table ``listed``.
+
+    The table's size is counted first. A small one is broadcast. A large one is joined
+    by shuffle with every entry in ``_SALTS`` copies, and the rows of one key are dealt
+    to the copies by a hash of ``spread``: a key that holds a third of all rows then
+    meets its entry in many tasks.
+    """
+    listed = listed.select(key).distinct()
+    if listed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(listed), key, "left_anti")
+    copies = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(_SALTS)).cast("int"))
+    return salted.join(copies, [key, "_salt"], "left_anti").drop("_salt")
+
+
 def remove_stop_words(df: DataFrame, pos: str, tokens: Column, stop_words: DataFrame) -> DataFrame:
     """Anti join against a stop-word table ``(token)``, for lists too large for an
     expression; returns ``(pos, idx, token)``."""
     rows = df.select(pos, F.posexplode(tokens).alias("idx", "token"))
-    return rows.join(stop_words, "token", "left_anti").select(pos, "idx", "token")
+    return without_listed(rows, stop_words, "token", pos).select(pos, "idx", "token")
 
 
 def lemmatize(counts: DataFrame, lemmas: DataFrame) -> DataFrame:

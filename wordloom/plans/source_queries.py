@@ -176,7 +176,10 @@ def _run(stream, spark, label, fmt="parquet"):
 
 @query("stream_preprocess", f"SELECT doc_id, {sql.preprocess('text')} AS text FROM documents")
 def stream_preprocess(spark, d):
+    # The stream is one small file: it is dealt out to the cores. A stream of many
+    # files needs no such shuffle.
     docs = table_stream(spark, d, "documents").select("doc_id", "text")
+    docs = docs.repartition(spark.sparkContext.defaultParallelism)
     out = _run(jobs.preprocess_stream(docs), spark, "stream-preprocess", "json")
     return spark.read.schema("doc_id bigint, text string").json(out)
 

@@ -187,8 +187,7 @@ def _metrics(spark, d):
     sum(cnt)::BIGINT AS total_words, sum(greatest(n, 1) * cnt)::BIGINT AS total_tokens FROM n""")
 def subword_totals(spark, d):
     lines = _docs(spark, d).agg(F.count("*").alias("total_lines"))
-    # Two one-row tables.
-    return lines.join(F.broadcast(_metrics(spark, d).select("total_words", "total_tokens")))
+    return _metrics(spark, d).select("total_words", "total_tokens", lines.scalar().alias("total_lines"))
 
 
 @query("fragmentation", f"""{_WORD_COUNTS} SELECT coalesce(sum(cnt) FILTER (WHERE n > 1), 0)::BIGINT AS fragmented_words,

@@ -44,25 +44,39 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/wordloom/{label}-{uuid.uuid4().hex}"
 
 
+def store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to the work folder and read it back: short lineage that survives
+    the loss of any executor. Also returns the path, for :func:`discard`."""
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    return store(df, label)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table this library wrote and has replaced."""
+    if not path.startswith(work_root(spark) + "/wordloom/"):
+        raise ValueError(f"not an intermediate table: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 # Python work per row is heavy next to the size of a row, so tasks of the iterative
 # trainers are sized by rows, not by bytes.
 _ROWS_PER_TASK = 8_000
 
 
-def materialize_spread(df: DataFrame, label: str) -> DataFrame:
-    """:func:`materialize`, then laid out in one file per task-sized number of rows."""
-    written = materialize(df, label)
+def store_spread(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """:func:`store`, laid out in one file per task-sized number of rows."""
     spark = df.sparkSession
+    written, first = store(df, label)
     most = max(spark.sparkContext.defaultParallelism,
                int(spark.conf.get("spark.sql.shuffle.partitions")))
     tasks = max(1, min(most, -(-written.count() // _ROWS_PER_TASK)))
-    return materialize(written.repartition(tasks), label)
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the work folder and read it back: short lineage that
-    survives the loss of any executor."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = store(written.repartition(tasks), label)
+    discard(spark, first)
+    return out

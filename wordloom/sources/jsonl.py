@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from wordloom.functions import text as tx
 from wordloom.functions.text import bind
 from wordloom.operators.ordering import first_n
+from wordloom.session import materialize
+
+_BROADCAST_SPLITS = 1_000_000
 
 # fixed values: further line breaks of Python's str.splitlines
 _OTHER_BREAKS = "[\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"
@@ -57,6 +60,11 @@ def number_lines(lines: DataFrame) -> DataFrame:
             (F.col("f0") + F.coalesce(F.sum("n").over(before_split), zero)).alias("start"),
         )
     )
+    # One row per file split, written once and counted: as long as it is small next to
+    # an executor's memory it is broadcast, so that the lines themselves never move.
+    starts = materialize(starts, "line-starts")
+    if starts.count() <= _BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
     return lines.join(starts, ["file", "split"]).select(
         (F.col("start") + F.col("seq") - F.col("first_seq")).alias("pos"), "line"
     )
