@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordloom.functions import text as tx
+from wordloom.session import materialize
 
 
 def ratio(a: Column, b: Column, default: float = 0.0) -> Column:
@@ -35,6 +36,8 @@ def mean_and_median(dist: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def histogram(dist: DataFrame, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins between the extremes; the maximum falls in the last bin."""
+    # The distribution is small; stored, it is not counted again to find its limits.
+    dist = materialize(dist, "distribution")
     limits = dist.groupBy(*by).agg(
         F.min("value").cast("double").alias("lo"), F.max("value").cast("double").alias("hi")
     )
