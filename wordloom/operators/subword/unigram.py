@@ -8,7 +8,7 @@ What the driver holds is the piece table, at most ``SEED_FACTOR`` x vocabulary s
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import exp, inf, log
+from math import exp, inf, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -64,38 +64,32 @@ def digamma(x: np.ndarray) -> np.ndarray:
 def _log_add(a: float, b: float) -> float:
     if a < b:
         a, b = b, a
-    return a if b == -inf else a + log(1 + exp(b - a))
-
-
-def lattice(word: str, scores: dict[str, float], longest: int, skip: str | None = None):
-    """Edges (start, end, piece, score) of a word."""
-    n = len(word)
-    for end in range(1, n + 1):
-        for start in range(max(0, end - longest), end):
-            piece = word[start:end]
-            score = scores.get(piece)
-            if score is not None and piece != skip:
-                yield start, end, piece, score
+    return a if b == -inf else a + log1p(exp(b - a))
 
 
 def expected_counts(word: str, scores: dict[str, float], longest: int) -> dict[str, float]:
     """Posterior expected use of each piece in a word (forward-backward)."""
-    n = len(word)
-    edges = list(lattice(word, scores, longest))
+    n, find = len(word), scores.get
+    edges = []  # by end, so that both directions can run over them in order
     forward, backward = [0.0] + [-inf] * n, [-inf] * n + [0.0]
-    for start, end, _, score in edges:
-        if forward[start] > -inf:
-            forward[end] = _log_add(forward[end], forward[start] + score)
+    for end in range(1, n + 1):
+        total = -inf
+        for start in range(max(0, end - longest), end):
+            score = find(word[start:end])
+            if score is not None and forward[start] > -inf:
+                edges.append((start, end, score))
+                total = _log_add(total, forward[start] + score)
+        forward[end] = total
     if forward[n] == -inf:
         return {}
-    for start, end, _, score in sorted(edges, key=lambda e: -e[0]):
+    for start, end, score in reversed(edges):
         if backward[end] > -inf:
             backward[start] = _log_add(backward[start], backward[end] + score)
     out: dict[str, float] = {}
-    for start, end, piece, score in edges:
-        weight = forward[start] + score + backward[end] - forward[n]
-        if weight > -inf:
-            out[piece] = out.get(piece, 0.0) + exp(weight)
+    for start, end, score in edges:
+        if backward[end] > -inf:
+            piece = word[start:end]
+            out[piece] = out.get(piece, 0.0) + exp(forward[start] + score + backward[end] - forward[n])
     return out
 
 
