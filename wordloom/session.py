@@ -26,16 +26,21 @@ def build_session(master: str | None = None, app: str = "wordloom", **conf) -> S
     return builder.getOrCreate()
 
 
+_fallback_roots: dict[str, str] = {}
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's checkpoint folder.
 
-    Only when the session names none (tests, a laptop) is a fresh temporary
-    folder created and recorded on the session.
+    Only when the session names none (tests, a laptop) is one fresh temporary folder
+    per application used instead.
     """
     root = spark.conf.get(_CHECKPOINT_KEY, None)
     if not root:
-        root = tempfile.mkdtemp(prefix="wordloom-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
+        app = spark.sparkContext.applicationId
+        if app not in _fallback_roots:
+            _fallback_roots[app] = tempfile.mkdtemp(prefix="wordloom-")
+        root = _fallback_roots[app]
     return root.rstrip("/")
 
 
