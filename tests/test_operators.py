@@ -239,3 +239,9 @@ def test_stop_word_join_small_and_large(spark, monkeypatch, bound):
     rows = vb.remove_stop_words(df, "pos", tx.words(F.col("text")), stop).collect()
     want = [(p, i, w) for p, t in enumerate(texts) for i, w in enumerate(t.split()) if w not in ("the", "a")]
     assert sorted((r.pos, r.idx, r.token) for r in rows) == want
+
+
+def test_approximate_vocabulary_size(documents):
+    words = tx.words(F.col("text"))
+    exact = vb.vocabulary_size(documents, words).first()[0]
+    assert abs(vb.vocabulary_size(documents, words, approximate=True).first()[0] - exact) < 0.05 * exact
