@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordloom.llm import chat, mixing, packing, topk
+from wordloom.llm import chat, mixing, packing, topk, toxicity
 from wordloom.llm.registry import query
 from wordloom.sources.tables import table
 
@@ -96,3 +96,21 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                         public_tokenizers.path("byte_bpe_50k.tiktoken"), CAPACITY)
+
+
+TOXIC_FROM = 0.3
+
+
+def held_out(modulus: int):
+    """Whether crc32 of the id as text leaves a remainder of 2."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == 2, F.lit(False))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents; the lexicon is learned from the other fold's labels."""
+    docs = table(spark, folder, "documents")
+    lexicon = toxicity.learn(docs, table(spark, folder, "labels"), ~held_out(4))
+    scored, score, hits = toxicity.with_scores(docs.select("doc_id", "text"), lexicon)
+    return scored.select("doc_id", held_out(4).alias("held_out"), F.col(score).alias("score"),
+                         (F.col(score) >= TOXIC_FROM).cast("int").alias("predicted"), F.col(hits).alias("n_hits"))
