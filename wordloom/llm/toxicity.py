@@ -6,7 +6,7 @@ one letter, drops invisible characters and turns everything else into single spa
 
 *Learning*: from at most ``sample`` labelled rows (a documented bound; the hash of the id decides
 which), two thirds give the lexicon: whole words and word beginnings whose log odds between toxic and
-other texts are high, with at least ``support`` different toxic texts. On the last third the weights' sums
+other texts, less their standard error, are high, with at least ``support`` different toxic texts. On the last third the weights' sums
 are calibrated, by logistic regression on the sum and on the sum normalised by length. Phrases of
 a term and its neighbour that clean texts use are exceptions: terms inside them don't count.
 
@@ -40,7 +40,7 @@ _FOLD = (
 )
 _INNER_SIGN = re.compile(r"(?<=[^\W_])[!|](?=[^\W_])")
 _OTHER = re.compile(r"[\W_]+")
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8, 9)
 
 
 def fold(text: str) -> str:
@@ -178,8 +178,8 @@ def _calibrate(rows: list[tuple[float, int, int]]) -> tuple[float, tuple[float,
 
 def learn(
     docs: DataFrame, labels: DataFrame, trainable: Column, id_column: str = "doc_id", text_column: str = "text",
-    label_column: str = "toxic", sample: int = 40_000, max_terms: int = 4_000, support: int = 4,
-    least_weight: float = 3.0,
+    label_column: str = "toxic", sample: int = 20_000, max_terms: int = 4_000, support: int = 3,
+    least_weight: float = 2.0,
 ) -> Lexicon:
     """A lexicon from the labelled rows for which ``trainable`` (over the id) holds.
 
@@ -200,13 +200,15 @@ def learn(
         size = {r.toxic: r.n for r in first.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
         odds = lambda a, b: F.log((F.col(a) + 0.5) / (size.get(1, 0) + 1)) - F.log((F.col(b) + 0.5) / (size.get(0, 0) + 1))
 
+        error = F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
+
         def by_label(df: DataFrame, run) -> DataFrame:
             n = df.select("text", "toxic").mapInArrow(run, "pattern string, toxic int, n bigint")
             sums = lambda k: F.coalesce(F.sum(F.when(F.col("toxic") == k, F.col("n"))), F.lit(0))
             return n.groupBy("pattern").agg(sums(1).alias("a"), sums(0).alias("b"))
 
         terms = (by_label(first, _counts).filter(F.col("a") >= support)
-                 .withColumn("w", F.round(odds("a", "b"), 6)).filter(F.col("w") >= least_weight)
+                 .withColumn("w", F.round(odds("a", "b") - error, 6)).filter(F.col("w") >= least_weight)
                  .orderBy(F.desc("w"), "pattern").limit(max_terms).collect())
         lexicon = Lexicon({r.pattern: r.w for r in terms})
         spared = (by_label(first, _phrases(lexicon)).filter(F.col("b") >= support)
