@@ -75,7 +75,7 @@ def _tables(seed: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         n = max(n, 1 << 20)
         p = _MULTIPLIERS[seed]
         values = mix(np.arange(1, 257, dtype=_U) * _U(_MULTIPLIERS[1 - seed]))
-        up, down = (np.cumprod(np.concatenate(([1], np.full(n, q, _U))).astype(_U), dtype=_U)
+        up, down = (np.cumprod(np.concatenate((np.ones(1, _U), np.full(n, q, _U))), dtype=_U)
                     for q in (p, pow(p, -1, 1 << 64)))
         have = _powers[seed] = values, up, down
     return have
@@ -124,3 +124,49 @@ class Words:
     def text_of(self, word: np.ndarray) -> np.ndarray:
         """Which text a word belongs to."""
         return np.repeat(np.arange(len(self.counts)), self.counts)[word]
+
+
+# --- arrays as rows ------------------------------------------------------------------
+# Millions of small records travel as a few binary columns: one row holds the records of one
+# task for one bucket, byte plane by byte plane, so that equal high bytes compress.
+
+def planes(x: np.ndarray) -> bytes:
+    """64-bit values as bytes, all first bytes first."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unplanes(data: bytes, dtype=np.int64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(dtype).ravel()
+
+
+def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket by the high half of a well-spread key."""
+    return ((key >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+
+
+def by_bucket(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The columns' parts for each bucket that occurs."""
+    if not len(bucket):
+        return
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    for part in np.split(order, cuts):
+        yield int(bucket[part[0]]), [c[part] for c in columns]
+
+
+def batch(schema: Sequence[tuple[str, pa.DataType]], rows: Sequence[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, schema)], [n for n, _ in schema])
+
+
+def xxhash_long(x: np.ndarray, seed: int = 42) -> np.ndarray:
+    """What ``xxhash64`` gives in SQL for one bigint."""
+    p1, p2, p3, p4, p5 = (_U(v) for v in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda v, n: (v << _U(n)) | (v >> _U(64 - n))
+    with np.errstate(over="ignore"):
+        h = (_U(seed) + p5 + _U(8)) ^ (turn(x.view(_U) * p2, 31) * p1)
+        h = turn(h, 27) * p1 + p4
+        h = (h ^ (h >> _U(33))) * p2
+        h = (h ^ (h >> _U(29))) * p3
+    return (h ^ (h >> _U(32))).view(np.int64)
