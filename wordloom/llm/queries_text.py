@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordloom.llm import substring_dedup
+from wordloom.llm import lm, substring_dedup
 from wordloom.llm.registry import query
 from wordloom.sources.tables import table
 
@@ -27,3 +27,11 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without windows that start earlier too."""
     out = substring_dedup.remove_repeats(table(spark, folder, "documents"), WINDOW, with_text=False)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op7_lm_score")
+def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents by a model of those not held out."""
+    apart = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    out = lm.score_texts(table(spark, folder, "documents"), ~apart)
+    return out.select("doc_id", (~F.col("is_training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
