@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordloom.llm import lm, substring_dedup
+from wordloom.llm import lm, near_dedup, substring_dedup
 from wordloom.llm.registry import query
 from wordloom.sources.tables import table
 
@@ -35,3 +35,10 @@ def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     apart = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
     out = lm.score_texts(table(spark, folder, "documents"), ~apart)
     return out.select("doc_id", (~F.col("is_training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op5_near_dedup")
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of near copies of every document."""
+    out = near_dedup.near_groups(table(spark, folder, "documents"))
+    return out.select("doc_id", "class_id", "class_size", "kept")
