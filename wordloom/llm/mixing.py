@@ -45,20 +45,19 @@ def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
 def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 6) -> DataFrame:
     """cells with ``weight``: token weights whose shares meet the targets (dimension, target).
 
-    A value without a target gets weight 0, as does a cell without tokens. Each sweep is
-    stored, so the plan stays short; sums are combined in the map tasks and joined by value.
+    A value without a target gets weight 0, as does a cell without tokens. Each step is
+    stored, so the plans stay short; sums are combined in the map tasks and joined by value.
     """
     cells = materialize(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     fixed = {d: materialize(t, "targets") for d, t in targets.items()}
     for _ in range(sweeps):
         for d, target in fixed.items():
             sums = cells.groupBy(d).agg(F.sum("weight").alias("_sum"))
-            total = cells.agg(F.sum("tokens").cast("double").alias("_total"))
-            factor = sums.join(target, d).join(F.broadcast(total)).select(d, F.coalesce(
-                F.col("target") * F.col("_total") / F.nullif("_sum", F.lit(0.0)), F.lit(0.0)).alias("_f"))
-            cells = cells.join(factor, d, "left").withColumn(
-                "weight", F.col("weight") * F.coalesce("_f", F.lit(0.0))).drop("_f")
-        cells = materialize(cells, "cells")
+            factor = sums.join(target, d).select(d, F.coalesce(
+                F.col("target") * total / F.nullif("_sum", F.lit(0.0)), F.lit(0.0)).alias("_f"))
+            cells = materialize(cells.join(factor, d, "left").withColumn(
+                "weight", F.col("weight") * F.coalesce("_f", F.lit(0.0))).drop("_f"), "cells")
     return cells
 
 
