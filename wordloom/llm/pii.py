@@ -64,9 +64,11 @@ def matches(text: Column, pattern: str) -> Column:
     def place(found: Column, gaps: Column) -> Column:
         step = F.zip_with(gaps, found, lambda g, m: F.when(
             m.isNotNull(), (F.length(g) + F.length(m)).cast("bigint")))
-        ends = _running(F.filter(step, lambda x: x.isNotNull()))
+        return let(_running(F.filter(step, lambda x: x.isNotNull())), lambda before: number(found, gaps, before))
+
+    def number(found: Column, gaps: Column, before: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.size(found) - 1), lambda i: let(
-            F.get(ends, i) + F.length(F.get(gaps, i)), lambda start: F.struct(
+            F.get(before, i) + F.length(F.get(gaps, i)), lambda start: F.struct(
                 start.alias("start"), (start + F.length(F.get(found, i))).alias("end"),
                 F.get(found, i).alias("value"), F.get(gaps, i).alias("before"),
                 F.get(gaps, i + 1).alias("after"))))
