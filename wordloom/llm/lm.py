@@ -272,7 +272,7 @@ def _score(model: Broadcast, train_tokens: int, vocabulary: int, weight: float,
 
 def score_texts(
     docs: DataFrame, training: Column, id_column: str = "doc_id", text_column: str = "text",
-    bits: int = 1 << 28, hashes: int = 5, weight: float = 0.5, buckets: int = 1024,
+    bits: int = 1 << 28, hashes: int = 5, weight: float = 0.5, buckets: int | None = None,
 ) -> DataFrame:
     """id, ``is_training``, n_tokens, n_known, train_tokens, base_score and score of each row.
 
@@ -284,6 +284,7 @@ def score_texts(
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(training, F.lit(False)).alias("learn"),
                        whole(text_column).alias("text"))
     deal = partitions(docs)
+    buckets = buckets or max(256, deal)
     counted = rows.filter("learn").select("text").mapInArrow(_count(buckets), _COUNTS_SQL)
     merged = materialize(counted.repartition(deal, "bucket").mapInArrow(_merge, _MERGED_SQL), "ngrams")
     unigrams, bigrams = merged.filter(F.col("kind") == UNIGRAM), merged.filter(F.col("kind") == BIGRAM)

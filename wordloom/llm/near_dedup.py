@@ -1,8 +1,9 @@
 """Near-duplicates by improved consistent weighted sampling.
 
 A text is a weighted set of its five-word shingles: how often each occurs, times a smoothed inverse
-document frequency, 1 + ln(N / df) / ln(N + 1) with df from a count-min sketch of fixed size over all
-documents. Two texts are near-duplicates from a weighted Jaccard similarity of 0.8 on.
+document frequency, 1 + s ln(N / df) / ln(N + 1) with df from a count-min sketch of fixed size over all
+documents. s is small by default: what a large group of near copies shares is frequent, and a steep idf
+would tear the group apart. Two texts are near-duplicates from a weighted Jaccard similarity of 0.8 on.
 
 1. Consistent weighted samples of each text; equal with the probability of the similarity.
    Texts of one weighted set are one node from here on, so exact copies cost one row.
@@ -95,10 +96,10 @@ def document_frequencies(texts: DataFrame, n: int) -> np.ndarray:
 
 
 class Weights:
-    """tf times the smoothed idf."""
+    """tf times the smoothed idf, 1 + strength * ln(N / df) / ln(N + 1)."""
 
-    def __init__(self, sketch: np.ndarray, documents: int):
-        idf = 1 + np.log(max(documents, 1) / np.clip(sketch, 1, max(documents, 1))) / np.log(documents + 1.0 if documents else 2.0)
+    def __init__(self, sketch: np.ndarray, documents: int, strength: float):
+        idf = 1 + strength * np.log(max(documents, 1) / np.clip(sketch, 1, max(documents, 1))) / np.log(documents + 1.0 if documents else 2.0)
         self.idf = idf.astype(np.float32)
 
     def of(self, hashes: np.ndarray, tf: np.ndarray) -> np.ndarray:
@@ -271,6 +272,7 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, weights: Weights, least:
 
 def near_groups(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, least: float = 0.8,
+    strength: float = 0.25,
 ) -> DataFrame:
     """One row for each document: its id, ``text_md5``, class_id (the smallest id of its class),
     class_size and kept (one row of each class: the one with class_id).
@@ -281,7 +283,7 @@ def near_groups(
     """
     rows = docs.select(F.col(id_column).alias("id"), whole(text_column).alias("text"))
     rows = rows.withColumn("h", F.md5("text"))
-    weights = Weights(document_frequencies(rows, shingle), docs.count())
+    weights = Weights(document_frequencies(rows, shingle), docs.count(), strength)
     kind = rows.schema["id"].dataType.simpleString()
     signed = rows.mapInArrow(_sign(shingle, weights, ["id", "h"]), f"id {kind}, h string, node binary, sample array<int>")
     # A text without words has no shingles: its node is its checksum, and it gets no bands.

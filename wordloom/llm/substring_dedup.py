@@ -279,7 +279,7 @@ def remove_repeats(
     shared = not rows.groupBy("id").count().filter("count > 1").isEmpty()
     rows = rows.withColumn("tie", F.crc32("text").bitwiseAND(0x7FFFFFFF) if shared else F.lit(0).cast("bigint"))
     deal = partitions(docs)
-    buckets, shards = buckets or max(1024, 4 * deal), 4 * deal
+    buckets, shards = buckets or deal, 4 * deal
 
     found = rows.select("id", "tie", "text").mapInArrow(_find(k, buckets, shards), _PLACES_SQL)
     settled = found.repartition(deal, "bucket").mapInArrow(_settle(shards, True), _PLACES_SQL)
