@@ -54,7 +54,7 @@ def word_count(text: Column) -> Column:
 
 
 def trim_ws(text: Column) -> Column:
-    return F.regexp_replace(text, f"^[{WS}]+|[{WS}]+$", "")
+    return F.regexp_replace(text, f"^[{WS}]++|(?<![{WS}])[{WS}]++$", "")
 
 
 def squeeze_ws(text: Column) -> Column:

@@ -20,7 +20,8 @@ def naive(text: Column) -> Column:
 
 def regex_pattern(extra_letters: str = "") -> str:
     letters = rules.WORD_ALPHABET + extra_letters
-    return f"[{letters}]+(?:[-'][{letters}]+)*"
+    # Possessive: a chain of any length is matched without recursion, and alike.
+    return f"[{letters}]++(?:[-'][{letters}]++)*+"
 
 
 def regex_words(text: Column, extra_letters: str = "") -> Column:
@@ -28,8 +29,8 @@ def regex_words(text: Column, extra_letters: str = "") -> Column:
 
 
 RULES_PATTERN = (
-    r"\p{Nd}+(?:[.,]\p{Nd}+)*"
-    r"|\p{L}[\p{L}\p{M}]*(?:-\p{L}[\p{L}\p{M}]*)*"
+    r"\p{Nd}++(?:[.,]\p{Nd}++)*+"
+    r"|\p{L}[\p{L}\p{M}]*+(?:-\p{L}[\p{L}\p{M}]*+)*+"
     rf"|[^{rules.WS}]"
 )
 

@@ -8,6 +8,7 @@ every next word. Statistics encode the distinct words only.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
@@ -26,17 +27,27 @@ def bpe_encoder(model: SubwordModel) -> Callable[[str], Encoded]:
     """Lowest-ranked merge first; an unknown character becomes the unknown token."""
     index = {t: i for i, t in enumerate(model.vocab)}
     rank = {pair: (i, new) for i, (pair, new) in enumerate(zip(model.merges, model.merge_ids))}
-    beyond = (len(rank), -1)
 
     def encode(word: str) -> Encoded:
+        # The pairs wait in a heap; a linked list says which are still neighbours.
         ids = [index.get(c, 0) for c in word]
-        while len(ids) > 1:
-            (best, new), at = min(
-                (rank.get(pair, beyond), i) for i, pair in enumerate(zip(ids, ids[1:]))
-            )
-            if new < 0:
-                break
-            ids[at:at + 2] = [new]
+        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
+        gone = len(ids)
+        waiting = [(*rank[pair], at, *pair) for at, pair in enumerate(zip(ids, ids[1:])) if pair in rank]
+        heapify(waiting)
+        while waiting:
+            _, new, at, left, right = heappop(waiting)
+            other = after[at]
+            if ids[at] != left or other >= gone or ids[other] != right:
+                continue
+            ids[at], ids[other] = new, -1
+            after[at] = following = after[other]
+            if following < gone:
+                before[following] = at
+            for i in (before[at], at):
+                if i >= 0 and after[i] < gone and (pair := (ids[i], ids[after[i]])) in rank:
+                    heappush(waiting, (*rank[pair], i, *pair))
+        ids = [i for i in ids if i >= 0]
         return [model.vocab[i] for i in ids], ids
 
     return encode

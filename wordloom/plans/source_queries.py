@@ -158,7 +158,7 @@ def top_tokens_csv(spark, d):
 def metrics_csv(spark, d):
     """Grid metrics with four decimals through CSV; a missing similarity is an empty cell."""
     docs = text_table(spark, d, "documents").select("doc_id", "text")
-    out = grid.compare(docs, "doc_id", "text", ["naive", "regex"], ["none"], similarity_sample=None)
+    out = grid.compare(docs, "doc_id", "text", ["naive", "regex"], ["none"], similarity=False)
     out = out.withColumn("semantic_similarity", F.lit(None).cast("double"))
     path = new_path(spark, "metrics")
     sinks.write_csv(sinks.format_metrics(out, ["oov_pct", "semantic_similarity"]), path)

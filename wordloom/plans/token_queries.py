@@ -423,7 +423,7 @@ def tokenizer_grid(spark, d):
     """Four tokenizers without normalization: vocabulary size and OOV rate."""
     out = grid.compare(
         text_table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text",
-        tokenizers=["naive", "regex", "rules", "wordpunct"], normalizers=["none"], similarity_sample=None)
+        tokenizers=["naive", "regex", "rules", "wordpunct"], normalizers=["none"], similarity=False)
     return _rounded(out, "oov_pct")
 
 

@@ -106,5 +106,4 @@ CONTINUATION = "##"
 VOCAB_SIZES = [8_000, 16_000, 32_000]
 MIN_FREQUENCY = 3
 WORDPIECE_MAX_CHARS = 100
-SAMPLE_FOR_SPEED, SAMPLE_FOR_SIMILARITY = 1_000, 200
 TRAIN_FRACTION = 0.8

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,21 +27,25 @@ def build_session(master: str | None = None, app: str = "wordloom", **conf) -> S
     return builder.getOrCreate()
 
 
-_fallback_roots: dict[str, str] = {}
+_local_roots: dict[str, str] = {}
 
 
 def work_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's checkpoint folder.
 
-    Only when the session names none (tests, a laptop) is one fresh temporary folder
-    per application used instead.
+    A session that names none gets a fresh temporary folder, but only where driver and
+    executors are one process; on a cluster that is an error, as nobody else would
+    see the files.
     """
-    root = spark.conf.get(_CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    root = spark.conf.get(_CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if not root:
-        app = spark.sparkContext.applicationId
-        if app not in _fallback_roots:
-            _fallback_roots[app] = tempfile.mkdtemp(prefix="wordloom-")
-        root = _fallback_roots[app]
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
+        app = context.applicationId
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="wordloom-")
+        root = _local_roots[app]
     return root.rstrip("/")
 
 

@@ -13,11 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wordloom.functions import text as tx
 from wordloom.functions.text import bind
-from wordloom.operators.ordering import first_n
+from wordloom.operators.ordering import prefix_end
 from wordloom.session import materialize
 
-_BROADCAST_SPLITS = 1_000_000
-
 # fixed values: further line breaks of Python's str.splitlines
 _OTHER_BREAKS = "[\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"
 
@@ -39,20 +37,22 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``pos``, the dense 0-based line number over all files.
 
-    Two phases: lines per split (one small row per file split), then each line's
-    offset inside its split. No sort of the lines, no single-task window over them.
+    The lines are read once and stored with their running ids: where a file is cut depends on
+    the settings at the time of a scan, so two scans need not agree. Then two phases:
+    lines per split (one small row per file split), and each line's offset inside its
+    split. No sort of the lines, no single-task window over them or over the files.
     """
+    lines = materialize(lines, "lines")
     splits = lines.groupBy("file", "split").agg(
         F.count("*").alias("n"), F.min("seq").alias("first_seq")
     )
     # Files, then splits inside a file: neither window sees a row per line.
     files = splits.groupBy("file").agg(F.sum("n").alias("file_n"))
-    before_file = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     before_split = Window.partitionBy("file").orderBy("split").rowsBetween(
         Window.unboundedPreceding, -1
     )
     zero = F.lit(0).cast("bigint")
-    files = files.select("file", F.coalesce(F.sum("file_n").over(before_file), zero).alias("f0"))
+    files = _sums_before(files)
     starts = (
         splits.join(files, "file")
         .select(
@@ -60,16 +60,30 @@ def number_lines(lines: DataFrame) -> DataFrame:
             (F.col("f0") + F.coalesce(F.sum("n").over(before_split), zero)).alias("start"),
         )
     )
-    # One row per file split, written once and counted: as long as it is small next to
-    # an executor's memory it is broadcast, so that the lines themselves never move.
+    # One row per file split, stored, so the optimizer knows its size and broadcasts it
+    # where it is small; then the lines themselves never move.
     starts = materialize(starts, "line-starts")
-    if starts.count() <= _BROADCAST_SPLITS:
-        starts = F.broadcast(starts)
-    return lines.join(starts, ["file", "split"]).select(
-        (F.col("start") + F.col("seq") - F.col("first_seq")).alias("pos"), "line"
+    start = F.coalesce("start", F.raise_error(F.lit("a line of an unknown split")).cast("bigint"))
+    return lines.join(starts, ["file", "split"], "left").select(
+        (start + F.col("seq") - F.col("first_seq")).alias("pos"), "line"
     )
 
 
+def _sums_before(files: DataFrame) -> DataFrame:
+    """``(file, f0)``: the lines of all files before each one, in the order of their names.
+
+    Files are dealt out by ranges of names; only one row per range meets in one task.
+    """
+    ranged = files.repartitionByRange("file").withColumn("part", F.spark_partition_id())
+    ranged = materialize(ranged, "files")
+    before = lambda w: F.coalesce(
+        F.sum("file_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint"))
+    parts = ranged.groupBy("part").agg(F.sum("file_n").alias("file_n"))
+    parts = parts.select("part", before(Window.orderBy("part")).alias("p0"))
+    inside = ranged.withColumn("i0", before(Window.partitionBy("part").orderBy("file")))
+    return inside.join(parts, "part").select("file", (F.col("p0") + F.col("i0")).alias("f0"))
+
+
 def parse(lines: DataFrame, line: str = "line") -> DataFrame:
     """Add ``record`` (VARIANT object) and ``problem`` (null when the line is a record).
 
@@ -137,12 +151,25 @@ def read_texts(
         out = out.filter(F.col("text") != "")
     else:
         as_text = F.when(kind == "BOOLEAN", F.initcap(value)).otherwise(value)
-        out = good.select("pos", tx.trim_ws(as_text).alias("text")).filter(F.col("text") != "")
+        out = good.select("pos", "part", tx.trim_ws(as_text).alias("text")).filter(F.col("text") != "")
         if max_records:
-            out = first_n(out, "pos", max_records)
+            out = _first_parts(out, max_records)
+        out = out.drop("part")
     return out
 
 
+def _first_parts(texts: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows by (pos, part); only the line in which the limit falls is ranked."""
+    end = prefix_end(texts, "pos", F.lit(1), n)
+    if end is None:
+        return texts
+    left = n - texts.filter(F.col("pos") < end).count()
+    last = texts.filter(F.col("pos") == end)
+    rank = F.row_number().over(Window.partitionBy("pos").orderBy("part"))
+    last = last.withColumn("_rank", rank).filter(F.col("_rank") <= left).drop("_rank")
+    return texts.filter(F.col("pos") < end).unionByName(last)
+
+
 def transform_records(
     lines: DataFrame, change: callable, text_field: str = "text", line: str = "line"
 ) -> DataFrame:
@@ -156,7 +183,8 @@ def transform_records(
     kind, value = _text_kind(text_field), _get(text_field, "string")
     is_text = (kind == "STRING") & (value != "")
     falsy = kind.isNull() | kind.isin("VOID") | (value == "") | (
-        kind.isin("BIGINT", "DOUBLE", "BOOLEAN") & value.isin("0", "0.0", "false")
+        F.rlike(kind, F.lit("^(BIGINT|FLOAT|DOUBLE|DECIMAL)")) & (value.try_cast("double") == 0)
+    ) | ((kind == "BOOLEAN") & (value == "false")
     ) | (F.rlike(kind, F.lit("^(ARRAY|OBJECT)")) & value.isin("[]", "{}"))
     reason = F.coalesce(
         F.col("problem"),
