@@ -78,3 +78,13 @@ def test_falsy_texts_pass_through(spark, value):
 def test_other_numbers_are_dropped(spark):
     df = spark.createDataFrame([('{"text": 0.5}',), ('{"text": true}',)], "line string")
     assert all(r.record_json is None for r in jsonl.transform_records(df, lambda t: F.upper(t)).collect())
+
+
+def test_breadcrumb_is_a_class_of_its_own(spark):
+    from wordloom.operators import pages
+
+    html = ["<div class='my-breadcrumb'>no</div>", "<div class='a breadcrumb b'>yes</div>", '<nav></nav><ul class="breadcrumbs">too</ul>',
+            '<p class="breadcrumb-item">no</p>']
+    df = spark.createDataFrame([(i, f"<html><body>{h}</body></html>") for i, h in enumerate(html)], "page_id int, html string")
+    got = {r.page_id: r.category for r in pages.with_fields(df).collect()}
+    assert [got[i] for i in range(4)] == [None, "yes", "too", None]

@@ -37,5 +37,5 @@ def test_dedup(spark, tmp_path):
 def test_counters(spark, tmp_path):
     totals = jobs.running_counters(source(spark, str(tmp_path / "in"), ROWS))
     jobs.publish_totals(totals, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
-    row = spark.read.parquet(str(tmp_path / "out")).first()
+    row = jobs.read_totals(spark, str(tmp_path / "out")).first()
     assert (row.total_articles, row.total_words) == (4, 9)

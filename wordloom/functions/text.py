@@ -121,9 +121,8 @@ _FAST_ENTITIES = [
 _RARE_ENTITY = "&(?!(?:" + "|".join(n for n, _ in _FAST_ENTITIES) + ");)[a-zA-Z#]"
 
 
-def unescape(text: Column) -> Column:
-    """HTML5 entity decoding. Common entities stay in the JVM; only texts with
-    another entity are sent to Python, the rest travel as nulls."""
+def _entity_parts(text: Column) -> Column:
+    """The text with its common entities decoded, and the text if it has a rare one."""
     def split_up(t: Column) -> Column:
         fast = t
         for name, char in _FAST_ENTITIES:
@@ -134,10 +133,24 @@ def unescape(text: Column) -> Column:
             F.when(marked & F.rlike(t, F.lit(_RARE_ENTITY)), t).alias("rare"),
         )
 
-    both = let(text, split_up)
+    return let(text, split_up)
+
+
+def unescape(text: Column) -> Column:
+    """HTML5 entity decoding. Common entities stay in the JVM; only texts with
+    another entity are sent to Python, the rest travel as nulls."""
+    both = _entity_parts(text)
     return F.coalesce(kernels.html_unescape(both["rare"]), both["fast"])
 
 
+def bind_unescaped(df: DataFrame, name: str, text: Column) -> DataFrame:
+    """:func:`unescape` as a column that is computed once: a long ``text`` expression goes
+    neither to Python and to the result beside it, nor into each use."""
+    out = bind(df, "_parts", _entity_parts(text))
+    decoded = F.coalesce(kernels.html_unescape(F.col("_parts.rare")), F.col("_parts.fast"))
+    return out.withColumn(name, decoded).drop("_parts")
+
+
 # Characters that NFKC leaves alone in any company: no decomposition, no combining.
 _NFKC_SAFE = "\x80-\x9f«»À-ıĴ-ľŁ-ňŊ-žЀ-ҁҊ-ԯ–—“”‘’€"
 # ASCII is passed over by one comparison; only other characters meet the long class.

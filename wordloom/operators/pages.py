@@ -59,8 +59,8 @@ def _element(html: Column, tag: str) -> Column:
 
 
 _CRUMB = (
-    r"(?is)<([a-z][a-z0-9]*)\b[^>]*\bclass\s*=\s*(?:\"[^\"]*\bbreadcrumbs?(?![\w-])[^\"]*\""
-    r"|'[^']*\bbreadcrumbs?(?![\w-])[^']*')[^>]*>(.*?)</\1\s*>"
+    r"(?is)<([a-z][a-z0-9]*)\b[^>]*\bclass\s*=\s*(?:\"(?:[^\"]*\s)?breadcrumbs?(?:\s[^\"]*)?\""
+    r"|'(?:[^']*\s)?breadcrumbs?(?:\s[^']*)?')[^>]*>(.*?)</\1\s*>"
 )
 
 
@@ -117,8 +117,8 @@ def with_fields(pages: DataFrame, html: str = "html", body: str | None = None) -
     removal, the title before it.
     """
     out = pages if body else bind(pages, "_body", strip_boilerplate(F.col(html)))
-    out = bind(out, "_raw", raw_fields(F.col(html), F.col(body or "_body")))
-    out = bind(out, "_f", parse_fields(tx.unescape(F.col("_raw"))))
+    out = tx.bind_unescaped(out, "_raw", raw_fields(F.col(html), F.col(body or "_body")))
+    out = bind(out, "_f", parse_fields(F.col("_raw")))
     out = out.withColumns({
         "title": F.col("_f.title"), "date_raw": F.col("_f.date.raw"),
         "date_ts": F.col("_f.date.ts"), "category": F.col("_f.category"),
@@ -164,14 +164,20 @@ def article_text(body: Column) -> Column:
     return F.array_join(paragraph_texts(tx.unescape(paragraph_marks(body))), "\n\n")
 
 
-def articles(pages: DataFrame, url: str = "url", html: str = "html", **clean_options) -> DataFrame:
-    """One row per page with text: title, cleaned text, date, url, category.
+def articles(
+    pages: DataFrame, url: str = "url", html: str = "html", fields: bool = True, **clean_options
+) -> DataFrame:
+    """One row per page with text: title, cleaned text, date, url, category; without
+    ``fields`` only the text and the url, and nothing else is looked for.
 
     Further columns of ``pages`` (such as an order column) are kept.
     """
     out = bind(pages.filter(F.col(html).isNotNull()), "_body", strip_boilerplate(F.col(html)))
-    text = tx.clean_text(article_text(F.col("_body")), **clean_options)
-    out = bind(out, "text", text, keep=lambda t: ~tx.is_blank(t))
+    out = tx.bind_unescaped(out, "_marks", paragraph_marks(F.col("_body")))
+    text = tx.clean_text(F.array_join(paragraph_texts(F.col("_marks")), "\n\n"), **clean_options)
+    out = bind(out, "text", text, keep=lambda t: ~tx.is_blank(t)).drop("_marks")
+    if not fields:
+        return out.drop("_body", html)
     out = with_fields(out, html, "_body")
     return out.withColumns({
         "title": F.coalesce("title", F.lit("")), "date": iso_date(F.col("date_ts")),

@@ -10,7 +10,7 @@ from wordloom.operators import ordering, pages as pg, vocabulary as vb
 from wordloom.plans import sql
 from wordloom.plans.registry import query
 from wordloom.plans.text_queries import STOP_WORDS
-from wordloom.sources.tables import text_table
+from wordloom.sources.tables import table
 
 _OPTIONS = {"stop_words": STOP_WORDS, "extra_letters": rules.LATIN_EXTRA}
 _BODY = sql.body("html")
@@ -18,7 +18,7 @@ _TITLE = sql.nodes(r"regexp_extract(html, '(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>',
 
 
 def _pages(spark, d):
-    return text_table(spark, d, "pages")
+    return table(spark, d, "pages")
 
 
 @query("page_title", f"SELECT page_id, {_TITLE} AS title FROM pages")
@@ -192,7 +192,7 @@ _TOP = 5
         SELECT site, token, count(*)::BIGINT AS cnt FROM t GROUP BY site, token)) WHERE rank <= {_TOP}""")
 def flagship(spark, d):
     """Pages to cleaned articles, long ones up to the word budget, top words by site."""
-    found = pg.articles(_pages(spark, d), **_OPTIONS)
+    found = pg.articles(_pages(spark, d), fields=False, **_OPTIONS)
     kept = ordering.budget_prefix(pg.long_articles(found), "page_id", F.col("n_words"), rules.CORPUS_WORD_BUDGET)
     kept = kept.withColumn("site", pg.url_parts(F.col("url"))["netloc"])
     counts = vb.token_counts(kept, tk.regex_words(F.col("text"), rules.LATIN_EXTRA), ["site"])

@@ -13,7 +13,7 @@ from wordloom.plans.registry import query
 from wordloom.plans.token_queries import grid_oracle
 from wordloom.session import new_path
 from wordloom.sources import jsonl, sinks
-from wordloom.sources.tables import table, table_stream, text_table
+from wordloom.sources.tables import table, table_stream
 from wordloom.streaming import jobs
 
 # Kinds of line by doc_id % 10, to meet every branch of the readers.
@@ -37,7 +37,7 @@ def _lines(spark, d) -> DataFrame:
         .when(kind == 8, F.lit("  "))
         .otherwise(_record(F.lit(" ")))
     )
-    return text_table(spark, d, "documents").select("doc_id", line.alias("line"))
+    return table(spark, d, "documents").select("doc_id", line.alias("line"))
 
 
 def _lines_path(spark, d) -> str:
@@ -129,7 +129,7 @@ def sink_articles(spark, d):
 @query("sink_processed", f"SELECT doc_id, {sql.preprocess('text')} AS text FROM documents")
 def sink_processed(spark, d):
     path = new_path(spark, "processed")
-    docs = text_table(spark, d, "documents").select("doc_id", tx.preprocess(F.col("text")).alias("text"))
+    docs = table(spark, d, "documents").select("doc_id", tx.preprocess(F.col("text")).alias("text"))
     sinks.overwrite_records(docs.select(F.to_json(F.struct("doc_id", "text")).alias("record_json")), path)
     return spark.read.schema("doc_id bigint, text string").json(path)
 
@@ -137,7 +137,7 @@ def sink_processed(spark, d):
 @query("sink_plain_corpus", "SELECT replace(text, chr(10), ' ') AS value FROM documents")
 def sink_plain_corpus(spark, d):
     path = new_path(spark, "corpus")
-    sinks.write_plain_corpus(text_table(spark, d, "documents"), path)
+    sinks.write_plain_corpus(table(spark, d, "documents"), path)
     return spark.read.text(path)
 
 
@@ -149,7 +149,7 @@ _TOKENS = f"(SELECT unnest({sql.regex_words('lower(text)')}) AS token FROM docum
 def top_tokens_csv(spark, d):
     words = tk.regex_words(F.lower(F.col("text")), rules.LATIN_EXTRA)
     path = new_path(spark, "top-tokens")
-    sinks.write_csv(vb.top_tokens(vb.token_counts(text_table(spark, d, "documents"), words), 50), path)
+    sinks.write_csv(vb.top_tokens(vb.token_counts(table(spark, d, "documents"), words), 50), path)
     return sinks.read_csv(spark, path, "token string, cnt bigint")
 
 
@@ -157,7 +157,7 @@ def top_tokens_csv(spark, d):
        f"NULL::VARCHAR AS semantic_similarity FROM ({grid_oracle('naive', 'regex')})")
 def metrics_csv(spark, d):
     """Grid metrics with four decimals through CSV; a missing similarity is an empty cell."""
-    docs = text_table(spark, d, "documents").select("doc_id", "text")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     out = grid.compare(docs, "doc_id", "text", ["naive", "regex"], ["none"], similarity=False)
     out = out.withColumn("semantic_similarity", F.lit(None).cast("double"))
     path = new_path(spark, "metrics")
@@ -194,7 +194,7 @@ def stream_dedup(spark, d):
 def stream_dedup_watermark(spark, d):
     """First event of every user with bounded state."""
     events = table_stream(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
-    first = jobs.distinct_urls(events, "user_id", event_time="ts", delay="400 days").select("user_id")
+    first = jobs.distinct_urls(events, "user_id", event_time="ts", delay="7 days").select("user_id")
     return spark.read.parquet(_run(first, spark, "stream-dedup-time"))
 
 
@@ -204,4 +204,4 @@ def stream_counters(spark, d):
     path = new_path(spark, "stream-counters")
     totals = jobs.running_counters(table_stream(spark, d, "documents"), by=("source",))
     jobs.publish_totals(totals, f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{path}/out")
+    return jobs.read_totals(spark, f"{path}/out")

@@ -136,3 +136,8 @@ WORDPUNCT_CLASS = r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}"
 
 def wordpunct(x: str) -> str:
     return f"regexp_extract_all({x}, '[{WORDPUNCT_CLASS}]+|[^{WORDPUNCT_CLASS}\\s]+')"
+
+
+def plain_regex(pattern: str) -> str:
+    """Possessive quantifiers as ordinary ones: RE2 is linear without them."""
+    return pattern.replace("++", "+").replace("*+", "*")

@@ -10,7 +10,7 @@ from wordloom.plans import sql
 from wordloom.plans.registry import query
 from wordloom.session import new_path
 from wordloom.sources import sinks
-from wordloom.sources.tables import text_table
+from wordloom.sources.tables import table, version
 
 _MERGES = 40
 _UNIGRAM_SIZE = 300
@@ -19,12 +19,12 @@ _models: dict[tuple, md.SubwordModel] = {}
 
 
 def _docs(spark, d):
-    return text_table(spark, d, "documents").select("doc_id", "text")
+    return table(spark, d, "documents").select("doc_id", "text")
 
 
 def _model(spark, d, kind: str) -> md.SubwordModel:
-    """Trained once per session and input; a model is small."""
-    key = (spark.sparkContext.applicationId, d, kind)
+    """Trained once per session and state of the input's files; a model is small."""
+    key = (spark.sparkContext.applicationId, version(spark, d, "documents"), kind)
     if key not in _models:
         types = ty.word_types(_docs(spark, d))
         if kind == "unigram":

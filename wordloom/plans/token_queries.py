@@ -11,7 +11,7 @@ from wordloom.plans import sql
 from wordloom.plans.registry import query
 from wordloom.plans.text_queries import STOP_WORDS
 from wordloom.session import materialize
-from wordloom.sources.tables import table, text_table
+from wordloom.sources.tables import table
 
 
 def _regex(text="text"):
@@ -27,7 +27,7 @@ def _tokens(name, fn, sql_tokens):
            f"SELECT doc_id, {sql.join(sql_tokens)} AS tokens, len({sql_tokens})::BIGINT AS n_tokens "
            "FROM documents")
     def run(spark, d):
-        out = text_table(spark, d, "documents").select("doc_id", fn(F.col("text")).alias("t"))
+        out = table(spark, d, "documents").select("doc_id", fn(F.col("text")).alias("t"))
         return out.select(
             "doc_id", F.array_join("t", " ").alias("tokens"), F.size("t").cast("bigint").alias("n_tokens")
         )
@@ -43,7 +43,7 @@ _tokens("ws_tokens", tx.words, sql.words("text"))
 _tokens("tok_naive", tk.naive, _NAIVE)
 _tokens("tok_regex", lambda t: tk.regex_words(t, rules.LATIN_EXTRA), sql.regex_words("text"))
 _tokens("tok_regex_default", tk.regex_words,
-        f"regexp_extract_all(text, {sql.text(tk.regex_pattern())})")
+        f"regexp_extract_all(text, {sql.text(sql.plain_regex(tk.regex_pattern()))})")
 _tokens("tok_rules", tk.rule_tokens, _RULES)
 _tokens("tok_wordpunct", tk.wordpunct, sql.wordpunct("text"))
 _tokens("tok_sentences", lambda t: tk.sentence_words(t, "en", "US"), None)
@@ -56,7 +56,7 @@ _COUNTS = f"SELECT token, count(*)::BIGINT AS cnt FROM {_DOC_TOKENS} GROUP BY to
 
 
 def _counts(spark, d, by=()):
-    return vb.token_counts(text_table(spark, d, "documents"), _lower_regex(), by)
+    return vb.token_counts(table(spark, d, "documents"), _lower_regex(), by)
 
 
 @query("token_freq", _COUNTS)
@@ -84,7 +84,7 @@ _SPLIT = """(SELECT *, row_number() OVER (ORDER BY doc_id) - 1 < floor(0.8 * cou
 
 @query("split_80_20", f"SELECT doc_id, is_train FROM {_SPLIT}")
 def split_80_20(spark, d):
-    docs = text_table(spark, d, "documents").select("doc_id")
+    docs = table(spark, d, "documents").select("doc_id")
     return ordering.split_train_test(docs, "doc_id", 0.8)
 
 
@@ -94,19 +94,19 @@ _TRAIN_VOCAB = f"""(SELECT DISTINCT token FROM (
 
 @query("vocab_size", f"SELECT count(*)::BIGINT AS vocab_size FROM {_TRAIN_VOCAB}")
 def vocab_size(spark, d):
-    docs = text_table(spark, d, "documents").select("doc_id", "text")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     train = ordering.split_train_test(docs, "doc_id").filter("is_train")
     return vb.vocabulary_size(train, _regex())
 
 
 @query("vocab_size_approx")
 def vocab_size_approx(spark, d):
-    return vb.vocabulary_size(text_table(spark, d, "documents"), _regex(), approximate=True)
+    return vb.vocabulary_size(table(spark, d, "documents"), _regex(), approximate=True)
 
 
 @query("vocabulary", f"SELECT DISTINCT token FROM {_DOC_TOKENS}")
 def vocabulary(spark, d):
-    return vb.vocabulary(text_table(spark, d, "documents"), _regex())
+    return vb.vocabulary(table(spark, d, "documents"), _regex())
 
 
 _BENCH = f"(SELECT unnest({sql.regex_words('lower(text)')}) AS token FROM benchmark)"
@@ -121,14 +121,14 @@ def _rounded(df, *names, places=6):
 @query("oov_rate", f"{_OOV} {_BENCH} t LEFT JOIN (SELECT DISTINCT token FROM {_DOC_TOKENS}) v USING (token)")
 def oov_rate(spark, d):
     """Benchmark tokens that the documents do not hold."""
-    out = vb.oov_between(text_table(spark, d, "benchmark"), _regex(), text_table(spark, d, "documents"), _regex())
+    out = vb.oov_between(table(spark, d, "benchmark"), _regex(), table(spark, d, "documents"), _regex())
     return _rounded(out, "oov_pct")
 
 
 @query("oov_split", f"""{_OOV} (SELECT unnest({sql.regex_words('lower(text)')}) AS token FROM {_SPLIT}
     WHERE NOT is_train) t LEFT JOIN {_TRAIN_VOCAB} v USING (token)""")
 def oov_split(spark, d):
-    docs = ordering.split_train_test(text_table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    docs = ordering.split_train_test(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     counts = grid.token_table(docs, "doc_id", "text", {"regex": lambda t: _lower_regex()}, "is_train")
     return _rounded(counts.agg(*vb.oov_columns(F.col("train"), F.col("test"), with_size=False)), "oov_pct")
 
@@ -138,8 +138,8 @@ _DOCV = f"(SELECT DISTINCT token FROM {_DOC_TOKENS})"
 
 
 def _vocabularies(spark, d):
-    return (vb.vocabulary(text_table(spark, d, "conversations"), _regex()),
-            vb.vocabulary(text_table(spark, d, "documents"), _regex()))
+    return (vb.vocabulary(table(spark, d, "conversations"), _regex()),
+            vb.vocabulary(table(spark, d, "documents"), _regex()))
 
 
 @query("oov_tokens", f"SELECT token FROM {_CONV} WHERE token NOT IN (SELECT token FROM {_DOCV})")
@@ -170,20 +170,22 @@ def vocab_intersect(spark, d):
     return a.intersect(b)
 
 
-# Words seen at least this often in the corpus make up the data-driven stop list.
-_FREQUENT = 1000
+# Words that make up at least this share of the corpus are the data-driven stop list.
+_FREQUENT = 0.0025
 
 
 @query("stopwords_join", f"""
     WITH rows AS (SELECT doc_id, unnest(w) AS token, unnest(range(len(w))) AS idx FROM (
         SELECT doc_id, {sql.words('lower(text)')} AS w FROM documents)),
-    stop AS (SELECT token FROM rows GROUP BY token HAVING count(*) >= {_FREQUENT})
+    stop AS (SELECT token FROM rows GROUP BY token HAVING count(*) >= {_FREQUENT} * (SELECT count(*) FROM rows))
     SELECT doc_id, count(*)::BIGINT AS kept, sum(length(token))::BIGINT AS chars
     FROM rows WHERE token NOT IN (SELECT token FROM stop) GROUP BY doc_id""")
 def stopwords_join(spark, d):
     """Stop words taken from the corpus itself, removed by an anti join."""
-    docs, words = text_table(spark, d, "documents"), tx.words(F.lower("text"))
-    stop = vb.token_counts(docs, words).filter(F.col("cnt") >= _FREQUENT).select("token")
+    docs, words = table(spark, d, "documents"), tx.words(F.lower("text"))
+    counts = materialize(vb.token_counts(docs, words), "counts")
+    total = counts.agg(F.sum("cnt").alias("n")).scalar()
+    stop = counts.filter(F.col("cnt") >= F.lit(_FREQUENT) * total).select("token")
     kept = vb.remove_stop_words(docs, "doc_id", words, stop)
     return kept.groupBy("doc_id").agg(
         F.count("*").alias("kept"), F.sum(F.length("token")).alias("chars"))
@@ -235,12 +237,12 @@ def _hist_sql(dist: str, bins: int) -> str:
 
 
 def _lengths(spark, d):
-    counts = vb.token_counts(text_table(spark, d, "documents"), tk.wordpunct(F.col("text")))
+    counts = vb.token_counts(table(spark, d, "documents"), tk.wordpunct(F.col("text")))
     return stats.distribution(counts, F.length("token").cast("bigint"), weight=F.col("cnt"))
 
 
 def _per_word(spark, d):
-    words = vb.token_counts(text_table(spark, d, "documents"), tx.words(F.col("text")))
+    words = vb.token_counts(table(spark, d, "documents"), tx.words(F.col("text")))
     n = F.size(tk.wordpunct(F.col("token"))).cast("bigint")
     return stats.distribution(words, n, weight=F.col("cnt"))
 
@@ -277,13 +279,13 @@ def _summary_sql(by: str) -> str:
 
 @query("corpus_summary", _summary_sql(""))
 def corpus_summary(spark, d):
-    docs = text_table(spark, d, "documents")
+    docs = table(spark, d, "documents")
     return _rounded(stats.corpus_summary(docs, F.col("text"), tk.wordpunct(F.col("text"))), "tokens_per_word")
 
 
 @query("corpus_summary_by_lang", _summary_sql("lang"))
 def corpus_summary_by_lang(spark, d):
-    docs = text_table(spark, d, "documents")
+    docs = table(spark, d, "documents")
     return _rounded(
         stats.corpus_summary(docs, F.col("text"), tk.wordpunct(F.col("text")), ["lang"]), "tokens_per_word")
 
@@ -292,9 +294,10 @@ def corpus_summary_by_lang(spark, d):
     sum(len({sql.words('text')}))::BIGINT AS total_words FROM documents JOIN labels USING (doc_id)
     GROUP BY quality""")
 def corpus_summary_by_quality(spark, d):
-    labelled = text_table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
-    return stats.corpus_summary(labelled, F.col("text"), tx.words(F.col("text")), ["quality"]).select(
-        "quality", "documents", "total_words")
+    # Counted first: the join carries a number for each document, not its text.
+    counted = table(spark, d, "documents").select("doc_id", tx.word_count(F.col("text")).alias("n"))
+    return counted.join(table(spark, d, "labels"), "doc_id").groupBy("quality").agg(
+        F.count("*").alias("documents"), F.coalesce(F.sum("n"), F.lit(0)).alias("total_words"))
 
 
 # A vocabulary of the most frequent tokens; everything else is unknown.
@@ -310,7 +313,7 @@ _KNOWN = 1000
 def unk_ratio(spark, d):
     """Conversation tokens looked up in a closed vocabulary of the documents."""
     known = vb.top_tokens(_counts(spark, d), _KNOWN).select("token", F.col("token").alias("known"))
-    talk = vb.token_counts(text_table(spark, d, "conversations"), _lower_regex())
+    talk = vb.token_counts(table(spark, d, "conversations"), _lower_regex())
     looked_up = talk.join(F.broadcast(known), "token", "left").select(
         F.coalesce("known", F.lit(rules.UNK)).alias("token"), "cnt")
     return _rounded(stats.unk_ratio(looked_up), "oov_ratio")
@@ -325,7 +328,7 @@ def decode(spark, d):
 
     marked = F.transform(tx.words(F.col("text")), lambda w: F.when(
         F.length(w) > 8, F.lit(rules.UNK)).otherwise(w))
-    return text_table(spark, d, "documents").select("doc_id", join_tokens(marked).alias("text"))
+    return table(spark, d, "documents").select("doc_id", join_tokens(marked).alias("text"))
 
 
 # --- similarity and distance -----------------------------------------------------------------------
@@ -357,7 +360,7 @@ def text_similarity(spark, d):
     """Each document against its cleaned form."""
     cleaned = tx.clean_text(F.col("text"), stop_words=STOP_WORDS, extra_letters=rules.LATIN_EXTRA)
     score = similarity.text_similarity(F.col("text"), tx.words(cleaned))
-    return text_table(spark, d, "documents").select("doc_id", F.round(score, 6).alias("cosine"))
+    return table(spark, d, "documents").select("doc_id", F.round(score, 6).alias("cosine"))
 
 
 @query("pair_by_pos", f"""SELECT a.conv_id, a.turn, len({sql.words('a.text')})::BIGINT AS words,
@@ -365,7 +368,7 @@ def text_similarity(spark, d):
     ON b.conv_id = a.conv_id AND b.turn = a.turn + 1""")
 def pair_by_pos(spark, d):
     """Each turn with the next one of its conversation."""
-    turns = text_table(spark, d, "conversations").select(
+    turns = table(spark, d, "conversations").select(
         "conv_id", "turn", tx.word_count(F.col("text")).alias("words"))
     following = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("words").alias("next_words"))
     return turns.join(following, ["conv_id", "turn"])
@@ -378,19 +381,19 @@ def pair_by_pos(spark, d):
     SELECT doc_id, n_words FROM (SELECT *, sum(n_words) OVER (ORDER BY doc_id) - n_words AS before FROM w
         WHERE n_words >= {rules.ARTICLE_MIN_WORDS}) WHERE before < {rules.CORPUS_WORD_BUDGET}""")
 def budget_prefix(spark, d):
-    docs = pages.long_articles(text_table(spark, d, "documents")).select("doc_id", "n_words")
+    docs = pages.long_articles(table(spark, d, "documents")).select("doc_id", "n_words")
     return ordering.budget_prefix(docs, "doc_id", F.col("n_words"), rules.CORPUS_WORD_BUDGET)
 
 
 @query("first_n", "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 137")
 def first_n(spark, d):
-    docs = text_table(spark, d, "documents").select("doc_id", "n_chars")
+    docs = table(spark, d, "documents").select("doc_id", "n_chars")
     return ordering.first_n(docs, "doc_id", 137)
 
 
 @query("sample_n")
 def sample_n(spark, d):
-    return ordering.sample_n(text_table(spark, d, "documents").select("doc_id", "lang"), "doc_id", 200, seed=7)
+    return ordering.sample_n(table(spark, d, "documents").select("doc_id", "lang"), "doc_id", 200, seed=7)
 
 
 # --- tokenizer grid ------------------------------------------------------------------------------------
@@ -404,7 +407,7 @@ def _grid_sql(name: str) -> str:
 
 
 _SQL_TOKENIZERS = {
-    "naive": _NAIVE, "regex": f"regexp_extract_all(text, {sql.text(tk.regex_pattern())})",
+    "naive": _NAIVE, "regex": f"regexp_extract_all(text, {sql.text(sql.plain_regex(tk.regex_pattern()))})",
     "rules": _RULES, "wordpunct": sql.wordpunct("text"),
 }
 
@@ -422,7 +425,7 @@ def grid_oracle(*names: str) -> str:
 def tokenizer_grid(spark, d):
     """Four tokenizers without normalization: vocabulary size and OOV rate."""
     out = grid.compare(
-        text_table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text",
+        table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text",
         tokenizers=["naive", "regex", "rules", "wordpunct"], normalizers=["none"], similarity=False)
     return _rounded(out, "oov_pct")
 
@@ -430,6 +433,6 @@ def tokenizer_grid(spark, d):
 @query("tokenizer_grid_full")
 def tokenizer_grid_full(spark, d):
     """All twenty combinations with similarity; the lemma table is data-driven."""
-    docs = text_table(spark, d, "documents").select("doc_id", "text")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     lemmas = materialize(lemma_lookup(spark, d).filter("token <> lemma").select("token", "lemma"), "lemmas")
     return grid.compare(docs, "doc_id", "text", lemmas=lemmas)

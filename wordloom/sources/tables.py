@@ -9,15 +9,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table whose texts are CPU work for every row.
-
-    A table stored in fewer splits than there are cores (one small file) is dealt
-    out to all cores first; one with many splits is read as it is, without a shuffle.
-    """
-    df = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def version(spark: SparkSession, folder: str, name: str) -> tuple:
+    """Files of a table with their sizes and times: another value when the data change."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(path)))
 
 
 def table_stream(

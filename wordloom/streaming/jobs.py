@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wordloom.functions import text as tx
@@ -16,11 +16,15 @@ def preprocess_stream(docs: DataFrame, text: str = "text", **options) -> DataFra
 def distinct_urls(
     records: DataFrame, url: str = "url", event_time: str | None = None, delay: str = "1 day"
 ) -> DataFrame:
-    """First record of every URL. With an event time the state is bounded: a URL is
+    """First record of every URL, or of every text. The state holds a 256-bit hash of it,
+    however long it is. With an event time the state is bounded: a URL is
     forgotten once the watermark has passed it by ``delay``."""
+    keyed = records.withColumn("_key", F.sha2(F.col(url).cast("string"), 256))
     if event_time:
-        return records.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([url])
-    return records.dropDuplicates([url])
+        keyed = keyed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["_key"])
+    else:
+        keyed = keyed.dropDuplicates(["_key"])
+    return keyed.drop("_key")
 
 
 def running_counters(records: DataFrame, text: str = "text", by: tuple[str, ...] = ()) -> DataFrame:
@@ -40,11 +44,21 @@ def append_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parq
 
 
 def publish_totals(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Complete-mode results, the newest state replacing the previous one."""
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    """Complete-mode results, one folder for each batch; :func:`read_totals` takes the newest
+    that is complete, so a crash while one is written loses nothing."""
+    def publish(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch-{number:012d}")
 
     return (
         stream.writeStream.outputMode("complete").trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint).foreachBatch(replace).start()
+        .option("checkpointLocation", checkpoint).foreachBatch(publish).start()
     )
+
+
+def read_totals(spark: SparkSession, path: str) -> DataFrame:
+    """The totals of the newest batch that was written to its end."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    done = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch-*/_SUCCESS"))
+    newest = max(s.getPath().getParent().toString() for s in done)
+    return spark.read.parquet(newest)
