@@ -7,12 +7,14 @@ would tear the group apart. Two texts are near-duplicates from a weighted Jaccar
 
 1. Consistent weighted samples of each text; equal with the probability of the similarity.
    Texts of one weighted set are one node from here on, so exact copies cost one row.
-2. Bands of samples bring nodes into buckets (very large ones are split by a second band). In a bucket, nodes whose samples agree often enough are
-   candidates; each proposes the most central one of another component, so a group of near copies
-   gives a star around its original, not all pairs.
-3. The exact similarity of the proposed pairs decides; a hub's pairs are verified in chunks.
-4. Components are joined up, and 2 and 3 are repeated without rejected pairs until nothing is
-   proposed: then every candidate pair is either verified, rejected or inside one component.
+2. Bands of samples bring nodes into buckets (very large ones are split by a second band). In a
+   bucket, nodes whose samples agree often enough are candidates; each proposes the most central
+   one, so a group of near copies gives a star around its original, not all pairs.
+3. The exact similarity of the proposed pairs decides; a hub's pairs are verified in chunks, and
+   the pairs that hold are joined up to components.
+4. Candidates that still lie in two components meet once more, bucket by bucket, with their texts:
+   the likeliest pairs first, each is verified unless its components have been joined by then. After that
+   every candidate pair is verified, rejected or inside one component.
 """
 
 from __future__ import annotations
@@ -174,16 +176,18 @@ def _sign(n: int, weights: Weights, columns: list[str]):
 _PAIR = [("a", pa.binary()), ("b", pa.binary())]
 
 
-def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members sorted by bucket; for each the most central agreeing member of another component."""
+def _buckets(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[int, list[tuple]]]:
+    """The rows of each bucket, which come sorted by bucket."""
     now, rows = None, []
     for b in batches:
-        for row in zip(*[b.column(c).to_pylist() for c in ("bucket", "node", "root", "sample", "rejected")]):
-            if row[0] != now:
-                yield batch(_PAIR, _pairs(rows))
-                now, rows = row[0], []
+        for row in zip(*[b.column(c).to_pylist() for c in ("bucket", *columns)]):
+            if row[0] != now and rows:
+                yield now, rows
+                rows = []
+            now = row[0]
             rows.append(row[1:])
-    yield batch(_PAIR, _pairs(rows))
+    if rows:
+        yield now, rows
 
 
 def _agreement(some: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -194,26 +198,77 @@ def _agreement(some: np.ndarray, others: np.ndarray) -> np.ndarray:
     return same
 
 
-def _pairs(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
-    """All members are compared, some rows at a time, but each proposes one pair at most."""
-    if len(rows) < 2 or len({r[1] for r in rows}) < 2:
-        return []
-    sample, step = np.array([r[2] for r in rows], np.int32), 512
-    central = np.concatenate([_agreement(sample[i:i + step], sample).sum(axis=1, dtype=np.int64)
-                              for i in range(0, len(rows), step)])
-    order = np.lexsort(([r[0] for r in rows], -central))
-    rows, sample = [rows[i] for i in order], sample[order]
-    root = np.unique([r[1] for r in rows], return_inverse=True)[1]
-    out = []
-    for low in range(0, len(rows), step):
-        high = min(low + step, len(rows))
-        fit = (_agreement(sample[low:high], sample[:high]) >= AGREE) & (root[low:high, None] != root[None, :high])
-        for i in range(low, high):
-            node, no = rows[i][0], set(rows[i][3] or ())
-            other = next((rows[j][0] for j in np.flatnonzero(fit[i - low, :i]) if rows[j][0] not in no), None)
-            if other is not None:
-                out.append((min(node, other), max(node, other)))
-    return out
+def _candidates(sample: np.ndarray, root: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Some rows low .. high-1 at a time: their agreement with all rows up to theirs, and whether that makes
+    a candidate pair of two components."""
+    for low in range(0, len(sample), 512):
+        high = min(low + 512, len(sample))
+        same = _agreement(sample[low:high], sample[:high])
+        yield low, high, same, (same >= AGREE) & (root[low:high, None] != root[None, :high])
+
+
+def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each member of a bucket a pair with the most central member that it agrees with."""
+    for _, rows in _buckets(batches, ["node", "sample"]):
+        sample = np.array([r[1] for r in rows], np.int32)
+        central = np.concatenate([_agreement(sample[i:i + 512], sample).sum(axis=1, dtype=np.int64)
+                                  for i in range(0, len(rows), 512)])
+        order = np.lexsort(([r[0] for r in rows], -central))
+        node, sample = [rows[i][0] for i in order], sample[order]
+        out = []
+        for low, high, _, fit in _candidates(sample, np.arange(len(node))):
+            for i in range(low, high):
+                if (other := np.flatnonzero(fit[i - low, :i])).size:
+                    out.append((min(node[i], node[other[0]]), max(node[i], node[other[0]])))
+        yield batch(_PAIR, out)
+
+
+def _still_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of each bucket that are candidates with a member of another component."""
+    for bucket, rows in _buckets(batches, ["node", "root", "sample"]):
+        if len({r[1] for r in rows}) > 1:
+            root = np.unique([r[1] for r in rows], return_inverse=True)[1]
+            some = np.zeros(len(rows), bool)
+            for low, high, _, fit in _candidates(np.array([r[2] for r in rows], np.int32), root):
+                lower = np.tril(np.ones((high, high), bool), -1)[low:high]
+                fit &= lower
+                some[low:high] |= fit.any(axis=1)
+                some[:high] |= fit.any(axis=0)
+            yield batch([("bucket", pa.int64()), ("node", pa.binary())], [(bucket, rows[i][0]) for i in np.flatnonzero(some)])
+
+
+def _resolve(n: int, weights: "Weights", least: float):
+    """Buckets of open members with their texts, to the pairs that join components."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _buckets(batches, ["node", "root", "sample", "text"]):
+            root = np.unique([r[1] for r in rows], return_inverse=True)[1]
+            up = list(range(int(root.max()) + 1))
+            bags: dict[int, tuple] = {}
+
+            def find(x: int) -> int:
+                while up[x] != x:
+                    up[x] = up[up[x]]
+                    x = up[x]
+                return x
+
+            def bag(i: int) -> tuple:
+                if i not in bags:
+                    _, h, tf = shingles([rows[i][3].encode()], n)
+                    bags[i] = h, weights.of(h, tf)
+                return bags[i]
+
+            out = []
+            for low, high, same, fit in _candidates(np.array([r[2] for r in rows], np.int32), root):
+                for i in range(low, high):
+                    others = np.flatnonzero(fit[i - low, :i])
+                    for j in others[np.argsort(-same[i - low, others].astype(int), kind="stable")]:
+                        a, b = find(root[i]), find(root[j])
+                        if a != b and similarity(bag(i), bag(j)) >= least:
+                            up[a] = b
+                            out.append((min(rows[i][0], rows[j][0]), max(rows[i][0], rows[j][0])))
+            yield batch(_PAIR, out)
+
+    return run
 
 
 # --- verification ---------------------------------------------------------------------------
@@ -305,32 +360,26 @@ def near_groups(
     texts = rows.groupBy("h").agg(F.min("text").alias("text")).join(active.select("h", "node"), "h").select("node", "text")
     texts = materialize(texts, "texts")
 
-    verified: list[DataFrame] = []
-    roots = active.select("node", F.col("node").alias("root"))
-    rejected = None
-    while True:
-        state = active.select("node", "sample").join(roots, "node", "left").select(
-            "node", F.coalesce("root", "node").alias("root"), "sample")
-        if rejected is None:
-            state = state.withColumn("rejected", F.lit(None).cast("array<binary>"))
-        else:
-            both = rejected.select(F.col("a").alias("node"), F.col("b").alias("no")).unionByName(
-                rejected.select(F.col("b").alias("node"), F.col("a").alias("no")))
-            state = state.join(both.groupBy("node").agg(F.collect_list("no").alias("rejected")), "node", "left")
-        placed = members.join(state, "node").select("bucket", "node", "root", "sample", "rejected")
-        placed = placed.repartition(partitions(docs), "bucket").sortWithinPartitions("bucket", "node")
-        pairs = materialize(placed.mapInArrow(_propose, "a binary, b binary").distinct(), "proposed")
-        if pairs.isEmpty():
-            break
-        judged = materialize(verify(pairs, texts, shingle, weights, least), "judged")
-        verified.append(judged.filter("near").select("a", "b"))
-        bad = judged.filter("not near").select("a", "b")
-        rejected = bad if rejected is None else rejected.unionByName(bad)
-        edges = verified[0]
-        for more in verified[1:]:
-            edges = edges.unionByName(more)
-        if not verified[-1].isEmpty():
-            roots = components(edges)
+    by_bucket = lambda df: df.repartition(partitions(docs), "bucket").sortWithinPartitions("bucket", "node")
+    placed = members.join(active.select("node", "sample"), "node").select("bucket", "node", "sample")
+    pairs = materialize(by_bucket(placed).mapInArrow(_propose, "a binary, b binary").distinct(), "proposed")
+    judged = materialize(verify(pairs, texts, shingle, weights, least), "judged")
+    edges = judged.filter("near").select("a", "b")
+    roots = components(edges)
+
+    # Of buckets with the same members one is enough.
+    alike = members.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("mark"))
+    alike = alike.groupBy("n", "mark").agg(F.min("bucket").alias("bucket")).select("bucket")
+    state = active.select("node", "sample").join(roots, "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root"), "sample")
+    state = materialize(state, "state")
+    placed = members.join(alike, "bucket").join(state, "node").select("bucket", "node", "root", "sample")
+    left = materialize(by_bucket(placed).mapInArrow(_still_open, "bucket bigint, node binary"), "open")
+    if not left.isEmpty():
+        told = left.join(state, "node").join(texts, "node").select("bucket", "node", "root", "sample", "text")
+        more = by_bucket(told).mapInArrow(_resolve(shingle, weights, least), "a binary, b binary").distinct()
+        roots = components(materialize(edges.unionByName(more), "edges"))
 
     rooted = signed.join(roots, "node", "left").select("id", "h", F.coalesce("root", "node").alias("root"))
     rooted = materialize(rooted, "rooted")
