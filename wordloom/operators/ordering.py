@@ -89,7 +89,7 @@ def sample_n(df: DataFrame, pos: str, n: int, seed: int = 0) -> DataFrame:
 
     Top-n by a hash of the position: every task keeps n rows, no full sort.
     """
-    key = F.xxhash64(F.col(pos), F.lit(seed))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(pos).cast("string")))
     return df.orderBy(key, F.col(pos)).limit(n)
 
 

@@ -346,7 +346,7 @@ def cosine_pairs(spark, d):
 _CLEAN = sql.clean("text", STOP_WORDS, rules.LATIN_EXTRA)
 
 
-@query("text_similarity", f"""
+_SIMILARITY = f"""
     WITH o AS (SELECT doc_id, token, count(*) n FROM (SELECT doc_id, unnest({sql.words('lower(text)')}) token
         FROM documents) GROUP BY ALL),
     p AS (SELECT doc_id, token, count(*) n FROM (SELECT doc_id, unnest({sql.words(_CLEAN)}) token
@@ -355,14 +355,27 @@ _CLEAN = sql.clean("text", STOP_WORDS, rules.LATIN_EXTRA)
     no AS (SELECT doc_id, sqrt(sum(n * n)) x FROM o GROUP BY doc_id),
     np AS (SELECT doc_id, sqrt(sum(n * n)) x FROM p GROUP BY doc_id)
     SELECT doc_id, round(coalesce(dot.x / (no.x * np.x), 0.0), 6)::DOUBLE AS cosine FROM documents
-    LEFT JOIN dot USING (doc_id) LEFT JOIN no USING (doc_id) LEFT JOIN np USING (doc_id)""")
+    LEFT JOIN dot USING (doc_id) LEFT JOIN no USING (doc_id) LEFT JOIN np USING (doc_id)"""
+
+
+def _cleaned_words():
+    return tx.words(tx.clean_text(F.col("text"), stop_words=STOP_WORDS, extra_letters=rules.LATIN_EXTRA))
+
+
+@query("text_similarity", _SIMILARITY)
 def text_similarity(spark, d):
     """Each document against its cleaned form."""
-    cleaned = tx.clean_text(F.col("text"), stop_words=STOP_WORDS, extra_letters=rules.LATIN_EXTRA)
-    score = similarity.text_similarity(F.col("text"), tx.words(cleaned))
+    score = similarity.text_similarity(F.col("text"), _cleaned_words())
     return table(spark, d, "documents").select("doc_id", F.round(score, 6).alias("cosine"))
 
 
+@query("semantic_similarity", f"SELECT round(coalesce(avg(cosine), 0.0), 4)::DOUBLE AS semantic_similarity FROM ({_SIMILARITY})")
+def semantic_similarity(spark, d):
+    """The mean over all documents."""
+    out = similarity.mean_similarity(table(spark, d, "documents"), "doc_id", F.col("text"), _cleaned_words())
+    return _rounded(out, "semantic_similarity", places=4)
+
+
 @query("pair_by_pos", f"""SELECT a.conv_id, a.turn, len({sql.words('a.text')})::BIGINT AS words,
     len({sql.words('b.text')})::BIGINT AS next_words FROM conversations a JOIN conversations b
     ON b.conv_id = a.conv_id AND b.turn = a.turn + 1""")
@@ -391,7 +404,7 @@ def first_n(spark, d):
     return ordering.first_n(docs, "doc_id", 137)
 
 
-@query("sample_n")
+@query("sample_n", "SELECT doc_id, lang FROM documents ORDER BY md5('7:' || doc_id), doc_id LIMIT 200")
 def sample_n(spark, d):
     return ordering.sample_n(table(spark, d, "documents").select("doc_id", "lang"), "doc_id", 200, seed=7)
 
