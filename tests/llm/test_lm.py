@@ -75,6 +75,33 @@ def test_a_full_filter_takes_larger_counts_only(table_of):
     assert len(got) == 3 and all(math.isfinite(r.score) for r in got)
 
 
+def test_every_bigram_counts_however_many(table_of):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(60)}" for _ in range(100)) for _ in range(40)]
+    two = Counter(p for x in texts for t in [tokens(x)] for p in zip([None] + t[:-1], t))
+    one = Counter(x for t in texts for x in tokens(t))
+    n, v = sum(one.values()), len(one)
+    assert len(two) * 5 / math.log(2) > 4 * (1 << 12) and min(two.values()) == 1
+    few, many = ({r.doc_id: r.score for r in lm.score_texts(
+        table_of(texts), F.lit(True), bits=bits, buckets=16, least=1).collect()} for bits in (1 << 12, 1 << 20))
+    for i, text in enumerate(texts):
+        want = 0.0
+        for u, x in zip([None] + tokens(text)[:-1], tokens(text)):
+            joint = min(2 ** (int(math.log2(two[u, x])) + 0.5), one[u])
+            want += math.log10(0.5 * (one[x] + 1) / (n + v + 1) + 0.5 * joint / one[u])
+        assert math.isclose(many[i], want, rel_tol=1e-3)
+        assert want - 1e-9 <= few[i] <= want + 0.02 * abs(want)  # no level is lost; false positives only add
+
+
+def test_the_filter_follows_the_levels():
+    keys, counts = np.arange(3, dtype=np.uint64), np.array([1, 1, 5])
+    rows = [(lm.BIGRAM, 0, -1, lm.planes(keys), lm.planes(counts))] * 2
+    [merged] = lm._merge(iter([lm.batch(lm._COUNTS, rows[:1])]), 1)
+    assert merged.column("levels").to_pylist() == [[3, 1, 1]]
+    [made] = lm._build(1, 5, 0)(iter([lm.batch(lm._COUNTS, rows)]))
+    assert 8 * len(made.column("keys")[0].as_py()) == math.ceil(sum([3, 3, 1, 1]) * 5 / math.log(2) / 8) * 8
+
+
 def test_odd_rows(odd, odd_rows, none):
     got = scored(odd, F.col("doc_id") < 5)
     assert len(got) == len(odd_rows) and all(math.isfinite(r.score) for r in got)

@@ -1,14 +1,15 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Training counts bigrams of all training texts in the cluster. A bigram seen c times is put into a
-Bloom filter at the levels 1 .. 1 + floor(log2(c / t)); to read it back, its levels are probed until
-one is missing. The filter has a fixed number of bits, whatever the corpus, and that bounds the
-broadcast: t, the smallest count taken in, is the least power of two from 2 on at which the levels fit.
+Bloom filter at the levels 1 .. 1 + floor(log2(c / t)) for a chosen smallest count t; to read it back, its
+levels are probed until one is missing. The filter is one segment for each bucket of hashes, and a segment
+has as many bits as its levels need, so the filter grows with the corpus and is as full at every size.
 
 P(v | u) interpolates the quantised bigram estimate, over the count of u, with the add-one unigram
 probability. Unigram counts are exact: the texts are dealt out to shards, each shard asks for the counts
-of its distinct words, and the answers meet its texts again. So a word that is everywhere is one record
-for each shard, and no task holds the vocabulary.
+of its distinct words and the levels of its distinct bigrams, bucket by bucket, and the answers meet its
+texts again. So a word that is everywhere is one record for each shard, no task holds the vocabulary or
+the filter, and nothing of either goes to the driver.
 
 Words and bigrams are 64-bit hashes; two of n words share one with probability n * n / 2 ** 65.
 """
@@ -19,7 +20,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordloom.llm.common import (
@@ -32,6 +32,9 @@ END = mix(np.array([0x656E64], _U))[0]
 UNIGRAM, BIGRAM, REQUEST = 0, 1, 2
 _COUNTS = [("kind", pa.int32()), ("bucket", pa.int64()), ("shard", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
 _COUNTS_SQL = "kind int, bucket bigint, shard bigint, keys binary, counts binary"
+#: What a shard is told by a bucket: its known words and, in the order of their hashes, the level of each bigram.
+_ANSWERS = [("bucket", pa.int64()), ("part", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("levels", pa.binary())]
+_ANSWERS_SQL = "bucket bigint, part bigint, keys binary, counts binary, levels binary"
 _LEVELS = 40
 _FLUSH = 8_000_000
 
@@ -112,19 +115,18 @@ def levels(counts: np.ndarray, least: int) -> np.ndarray:
     return np.where(counts >= least, np.frexp(np.maximum(counts // least, 1).astype(np.float64))[1], 0)
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts by kind and bucket; bigrams seen once are left out. ``levels`` has, for t = 2, 4, 8
-    and so on, how many levels would go into a filter."""
+def _merge(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Counts by kind and bucket. ``levels`` has how many bigrams take the levels 1, 2 and so on."""
     held: dict[tuple, list] = {}
     for b in batches:
         for kind, bucket, _, keys, counts in zip(*[b.column(n).to_pylist() for n, _ in _COUNTS]):
             held.setdefault((kind, bucket), []).append((unplanes(keys, _U), unplanes(counts)))
-    for (kind, bucket), rows in held.items():
+    while held:
+        (kind, bucket), rows = held.popitem()
         keys, counts = _tally(*map(list, zip(*rows)))
-        if kind == BIGRAM:
-            keys, counts = keys[counts > 1], counts[counts > 1]
-        sizes = [int(levels(counts, 1 << i).sum()) for i in range(1, _LEVELS)] if kind == BIGRAM else []
-        yield batch(_MERGED, [(kind, bucket, planes(keys), planes(counts), len(keys), int(counts.sum()), sizes)])
+        top = np.bincount(levels(counts, least)) if kind == BIGRAM else np.zeros(1, np.int64)
+        taken = top[:0:-1].cumsum()[::-1].tolist()
+        yield batch(_MERGED, [(kind, bucket, planes(keys), planes(counts), len(keys), int(counts.sum()), taken)])
 
 
 def _places(keys: np.ndarray, level: int, hashes: int, bits: int) -> np.ndarray:
@@ -135,19 +137,35 @@ def _places(keys: np.ndarray, level: int, hashes: int, bits: int) -> np.ndarray:
 
 
 def _segment(least: int, hashes: int, bits: int):
-    """Bigram counts of a bucket to the filter's segment for it."""
+    """Bigram counts of a bucket to the filter's segment for it: half full, or of ``bits`` if that is more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for bucket, keys, counts in zip(*[b.column(n).to_pylist() for n in ("bucket", "keys", "counts")]):
+            for bucket, keys, counts, taken in zip(*[b.column(n).to_pylist() for n in ("bucket", "keys", "counts", "levels")]):
                 keys, top = unplanes(keys, _U), levels(unplanes(counts), least)
-                on = np.zeros(bits, bool)
+                size = max(bits, int(np.ceil(sum(taken) * hashes / np.log(2) / 8)) * 8, 8)
+                on = np.zeros(size, bool)
                 for level in range(1, int(top.max(initial=0)) + 1):
-                    on[_places(keys[top >= level], level, hashes, bits).ravel()] = True
+                    on[_places(keys[top >= level], level, hashes, size).ravel()] = True
                 yield batch([("bucket", pa.int64()), ("data", pa.binary())], [(bucket, np.packbits(on).tobytes())])
 
     return run
 
 
+def _build(least: int, hashes: int, bits: int):
+    """Merged counts of words, and of bigrams the segment in place of hashes and counts."""
+    segment = _segment(least, hashes, bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _merge(batches, least):
+            [row] = b.to_pylist()
+            if row["kind"] == BIGRAM:
+                [made] = segment(iter([b]))
+                row |= {"keys": made.column("data")[0].as_py(), "counts": b""}
+            yield batch(_MERGED, [tuple(row.values())])
+
+    return run
+
+
 class LogFrequencyFilter:
     """Quantised counts of bigrams: one segment of ``bits`` bits for each bucket of hashes."""
 
@@ -176,20 +194,22 @@ class LogFrequencyFilter:
                 break
         return out
 
-    def count(self, keys: np.ndarray) -> np.ndarray:
-        """The middle, in logarithms, of the counts that have the level; 0 for none."""
-        level = self.level(keys)
-        return np.where(level > 0, self.least * 2.0 ** (level - 0.5), 0.0)
+
+def middle(level: np.ndarray, least: int) -> np.ndarray:
+    """The middle, in logarithms, of the counts that have the level; 0 for none."""
+    return np.where(level > 0, least * 2.0 ** (level - 0.5), 0.0)
 
 
 def _ask(buckets: int):
-    """Shards to the distinct words they ask counts for."""
+    """Shards to the distinct words they ask counts for, and (in ``counts``) the distinct bigrams."""
     def flush(held) -> pa.RecordBatch:
         rows = []
-        for shard, keys in held.items():
-            found = np.unique(np.concatenate(keys))
-            for b, (k,) in by_bucket(bucket_of(found, buckets), found):
-                rows.append((REQUEST, b, shard, planes(k), b""))
+        for shard, (words, pairs) in held.items():
+            asked = []
+            for keys in (words, pairs):
+                found = np.unique(np.concatenate(keys))
+                asked.append({b: planes(k) for b, (k,) in by_bucket(bucket_of(found, buckets), found)})
+            rows += [(REQUEST, b, shard, asked[0].get(b, b""), asked[1].get(b, b"")) for b in asked[0] | asked[1]]
         return batch(_COUNTS, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,8 +220,10 @@ def _ask(buckets: int):
             for low, high in slices(texts):
                 token, each = tokens(texts[low:high])
                 of = np.repeat(shards[low:high], each)
-                for shard, (k,) in by_bucket(of, token):
-                    held.setdefault(shard, []).append(np.unique(k))
+                for shard, (k, p) in by_bucket(of, token, pair(before(token, each), token)):
+                    words, pairs = held.setdefault(shard, ([], []))
+                    words.append(np.unique(k))
+                    pairs.append(np.unique(p))
                 size += len(token)
                 if size > _FLUSH:
                     yield flush(held)
@@ -212,35 +234,42 @@ def _ask(buckets: int):
     return run
 
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Requests and counts of a bucket meet: what each shard asked for and is known."""
-    known, asked = {}, {}
-    for b in batches:
-        for kind, bucket, shard, keys, counts in zip(*[b.column(n).to_pylist() for n, _ in _COUNTS]):
-            if kind == UNIGRAM:
-                known[bucket] = unplanes(keys, _U), unplanes(counts)
-            else:
-                asked.setdefault(bucket, []).append((shard, unplanes(keys, _U)))
-    for bucket, rows in asked.items():
-        keys, counts = known.get(bucket, (np.zeros(0, _U), np.zeros(0, np.int64)))
-        out = []
-        for shard, k in rows:
-            at = np.minimum(np.searchsorted(keys, k), max(len(keys) - 1, 0))
-            hit = keys[at] == k if len(keys) else np.zeros(len(k), bool)
-            if hit.any():
-                out.append((UNIGRAM, shard, shard, planes(k[hit]), planes(counts[at[hit]])))
-        yield batch(_COUNTS, out)
+def _answer(hashes: int, least: int):
+    """Requests, counts and segment of a bucket meet: what each shard asked for and is known."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, filters, asked = {}, {}, {}
+        for b in batches:
+            for kind, bucket, shard, keys, counts in zip(*[b.column(n).to_pylist() for n, _ in _COUNTS]):
+                if kind == UNIGRAM:
+                    known[bucket] = unplanes(keys, _U), unplanes(counts)
+                elif kind == BIGRAM:
+                    filters[bucket] = LogFrequencyFilter(np.frombuffer(keys, np.uint8)[None, :], 8 * len(keys), hashes, least)
+                else:  # a shard may ask in several parts
+                    words, pairs = asked.setdefault(bucket, {}).setdefault(shard, ([], []))
+                    words.append(keys)
+                    pairs.append(counts)
+        for bucket, shards in asked.items():
+            keys, counts = known.get(bucket, (np.zeros(0, _U), np.zeros(0, np.int64)))
+            for shard, parts in shards.items():
+                k, p = (np.unique(np.concatenate([unplanes(x, _U) for x in xs])) for xs in parts)
+                at = np.minimum(np.searchsorted(keys, k), max(len(keys) - 1, 0))
+                hit = keys[at] == k if len(keys) else np.zeros(len(k), bool)
+                level = filters[bucket].level(p) if bucket in filters else np.zeros(len(p), np.int64)
+                yield batch(_ANSWERS, [(shard, bucket, planes(k[hit]), planes(counts[at[hit]]), level.astype(np.uint8).tobytes())])
+
+    return run
 
 
 _SCORES = [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
 
 
-def _score(model: Broadcast, train_tokens: int, vocabulary: int, weight: float, columns: list[str]):
+def _score(least: int, train_tokens: int, vocabulary: int, weight: float, columns: list[str]):
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = [(unplanes(k, _U), unplanes(c)) for k, c in zip(
-            answers.column("keys").to_pylist(), answers.column("counts").to_pylist())]
-        keys, counts = _tally(*map(list, zip(*rows))) if rows else (np.zeros(1, _U), np.zeros(1, np.int64))
-        bigrams: LogFrequencyFilter = model.value
+        # Buckets are ranges of hashes, so in their order the answers are in the order of the hashes.
+        told = sorted(zip(*[answers.column(n).to_pylist() for n in ("part", "keys", "counts", "levels")]), key=lambda r: r[0])
+        keys, counts = _tally([unplanes(r[1], _U) for r in told], [unplanes(r[2]) for r in told]) if told else (np.zeros(0, _U),) * 2
+        keys, counts = (keys, counts) if len(keys) else (np.zeros(1, _U), np.zeros(1, np.int64))
+        level = np.frombuffer(b"".join(r[3] for r in told), np.uint8)
         below = float(train_tokens + vocabulary + 1)
 
         def known(token: np.ndarray) -> np.ndarray:
@@ -249,6 +278,10 @@ def _score(model: Broadcast, train_tokens: int, vocabulary: int, weight: float,
 
         parts = [[], [], [], []]
         bodies = [x for c in texts.column("text").chunks for x in byte_lists(c)]
+        pairs = np.unique(np.concatenate([np.zeros(0, _U)] + [
+            np.unique(pair(before(*t), t[0])) for low, high in slices(bodies) for t in [tokens(bodies[low:high])]]))
+        if len(pairs) != len(level):
+            raise RuntimeError(f"{len(pairs)} bigrams, {len(level)} answers")
         for low, high in slices(bodies):
             token, each = tokens(bodies[low:high])
             c = known(token)
@@ -258,7 +291,7 @@ def _score(model: Broadcast, train_tokens: int, vocabulary: int, weight: float,
             of_u = known(np.array([END], _U)).repeat(len(token))  # texts begin after an end
             of_u[1:] = c[:-1]
             of_u[first] = known(np.array([END], _U))[0]
-            joint = np.minimum(bigrams.count(pair(u, token)), of_u)
+            joint = np.minimum(middle(level[np.searchsorted(pairs, pair(u, token))].astype(np.int64), least), of_u)
             p = np.where(of_u > 0, (1 - weight) * one + weight * joint / np.maximum(of_u, 1), one)
             for out, values in zip(parts, (each, np.add.reduceat((c > 0).astype(np.int64), first),
                                            np.add.reduceat(np.log10(one), first), np.add.reduceat(np.log10(p), first))):
@@ -272,41 +305,32 @@ def _score(model: Broadcast, train_tokens: int, vocabulary: int, weight: float,
 
 def score_texts(
     docs: DataFrame, training: Column, id_column: str = "doc_id", text_column: str = "text",
-    bits: int = 1 << 28, hashes: int = 5, weight: float = 0.5, buckets: int | None = None,
+    bits: int = 0, hashes: int = 5, weight: float = 0.5, buckets: int | None = None, least: int = 2,
 ) -> DataFrame:
     """id, ``is_training``, n_tokens, n_known, train_tokens, base_score and score of each row.
 
     ``training`` says which rows are learned from; null counts as no. A null or empty text is one end
     token. Without training rows all counts are 0 and both scores are those of one unknown token
     for each token. Repeated rows count and score each for itself; empty tables give no rows;
-    other columns are not read. ``bits`` and ``hashes`` size the filter, which is broadcast.
+    other columns are not read. Bigrams count from ``least`` on, 1 for all. The filter has ``hashes`` bits for each level
+    and is half full; ``bits`` is the least size of the whole filter, for fewer false positives.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(training, F.lit(False)).alias("learn"),
                        whole(text_column).alias("text"))
     deal = partitions(docs)
     buckets = buckets or max(256, deal)
     counted = rows.filter("learn").select("text").mapInArrow(_count(buckets), _COUNTS_SQL)
-    merged = materialize(counted.repartition(deal, "bucket").mapInArrow(_merge, _MERGED_SQL), "ngrams")
-    unigrams, bigrams = merged.filter(F.col("kind") == UNIGRAM), merged.filter(F.col("kind") == BIGRAM)
-    size = unigrams.agg(F.sum("n").alias("v"), F.sum("total").alias("n")).first()
-    capacity = int(bits * np.log(2) / hashes)
-    fits = [n or 0 for n in bigrams.agg(*[F.sum(F.get("levels", F.lit(i))) for i in range(_LEVELS - 1)]).first()]
-    least = 1 << (1 + next(i for i, n in enumerate(fits + [0]) if n <= capacity))
-    per_bucket = max(bits // buckets // 8 * 8, 8)
-    data = np.zeros((buckets, per_bucket // 8), np.uint8)
-    made = bigrams.select("bucket", "keys", "counts").mapInArrow(
-        _segment(least, hashes, per_bucket), "bucket bigint, data binary")
-    for r in made.toLocalIterator():  # ``bits`` bits in all
-        data[r.bucket] = np.frombuffer(r.data, np.uint8)
-    model = docs.sparkSession.sparkContext.broadcast(LogFrequencyFilter(data, per_bucket, hashes, least))
+    merged = materialize(counted.repartition(deal, "bucket").mapInArrow(
+        _build(least, hashes, bits // buckets // 8 * 8), _MERGED_SQL), "ngrams")
+    size = merged.filter(F.col("kind") == UNIGRAM).agg(F.sum("n").alias("v"), F.sum("total").alias("n")).first()
 
     texts = rows.withColumn("bucket", F.pmod(F.xxhash64("id", "text"), F.lit(4 * deal)).cast("bigint")).repartition(deal, "bucket")
     asked = texts.mapInArrow(_ask(buckets), _COUNTS_SQL)
-    known = unigrams.select("kind", "bucket", F.lit(-1).cast("bigint").alias("shard"), "keys", "counts")
-    answers = asked.unionByName(known).repartition(deal, "bucket").mapInArrow(_answer, _COUNTS_SQL)
+    known = merged.select("kind", "bucket", F.lit(-1).cast("bigint").alias("shard"), "keys", "counts")
+    answers = asked.unionByName(known).repartition(deal, "bucket").mapInArrow(_answer(hashes, least), _ANSWERS_SQL)
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, learn boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     scored = texts.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
-        _score(model, size.n or 0, size.v or 0, weight, ["id", "learn"]), schema)
+        _score(least, size.n or 0, size.v or 0, weight, ["id", "learn"]), schema)
     return scored.select(F.col("id").alias(id_column), F.col("learn").alias("is_training"), "n_tokens", "n_known",
                          F.lit(size.n or 0).cast("bigint").alias("train_tokens"), "base_score", "score")
