@@ -71,6 +71,33 @@ def test_a_star_and_its_copies(table_of):
     assert [r.doc_id for r in out if r.kept] == [0]
 
 
+def test_large_buckets_lose_no_pair(table_of, monkeypatch):
+    """Pairs inside one template: many share only a band that most other texts have too."""
+    rng = random.Random(13)
+    words = lambda n: [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+    template, texts = words(78), []
+    for _ in range(80):
+        both = words(14)
+        texts += [" ".join(template + both + words(8)) for _ in range(2)]
+    df = table_of(texts)
+    want = {r.doc_id: r.class_id for r in nd.near_groups(df).collect()}
+    assert len(set(want.values())) < 85
+    monkeypatch.setattr(nd, "_BLOCK", 3)
+    assert {r.doc_id: r.class_id for r in nd.near_groups(df).collect()} == want
+
+
+def test_all_that_must_meet_meet_in_bounded_buckets(spark):
+    rows = [(5, i, 0 if i % 4 else i, [i], 200) for i in range(200)] + [(6, i, i, [i], 3) for i in range(3)]
+    made = nd._meetings(spark.createDataFrame(rows, "bucket bigint, node int, root int, sample array<int>, n int"), 40).collect()
+    held = defaultdict(set)
+    for r in made:
+        held[r.bucket].add((r.node, r.root))
+    assert max(map(len, held.values())) < 80
+    met = {(a, b) for rows in held.values() for a, _ in rows for b, _ in rows}
+    roots = {i: 0 if i % 4 else i for i in range(200)}
+    assert all((a, b) in met for a in range(200) for b in range(200) if roots[a] != roots[b])
+
+
 def test_samples_agree_as_often_as_the_similarity():
     rng = np.random.default_rng(3)
     keys = np.sort(rng.integers(0, 1 << 62, 3000).astype(np.uint64))

@@ -7,14 +7,15 @@ would tear the group apart. Two texts are near-duplicates from a weighted Jaccar
 
 1. Consistent weighted samples of each text; equal with the probability of the similarity.
    Texts of one weighted set are one node from here on, so exact copies cost one row.
-2. Bands of samples bring nodes into buckets (very large ones are split by a second band). In a
-   bucket, nodes whose samples agree often enough are candidates; each proposes the most central
+2. Bands of samples bring nodes into buckets (very large ones are dealt into blocks). In a bucket or
+   block, nodes whose samples agree often enough are candidates; each proposes the most central
    one, so a group of near copies gives a star around its original, not all pairs.
 3. The exact similarity of the proposed pairs decides; a hub's pairs are verified in chunks, and
    the pairs that hold are joined up to components.
 4. Candidates that still lie in two components meet once more, bucket by bucket, with their texts:
    the likeliest pairs first, each is verified unless its components have been joined by then. After that
-   every candidate pair is verified, rejected or inside one component.
+   every candidate pair is verified, rejected or inside one component. A very large bucket meets in pairs of
+   blocks, each a key of its own: those outside its largest component with each other and with all others.
 """
 
 from __future__ import annotations
@@ -271,6 +272,28 @@ def _resolve(n: int, weights: "Weights", least: float):
     return run
 
 
+def _meetings(placed: DataFrame, block: int) -> DataFrame:
+    """bucket, node, root, sample: any two members of a bucket with different roots share a bucket here too. One
+    of more than ``block`` members (column n) becomes buckets of about ``block`` at most: blocks of its largest
+    component meet blocks of the others, and those each other."""
+    columns = ["bucket", "node", "root", "sample"]
+    hot = placed.filter(F.col("n") > block)
+    parts = hot.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(
+        F.max(F.struct("c", "root")).alias("most"), F.sum("c").alias("all"))
+    parts = parts.select("bucket", F.col("most.root").alias("main"), F.ceil(2 * F.col("most.c") / block).alias("inner"),
+                         F.ceil(2 * (F.col("all") - F.col("most.c")) / block).alias("outer")).filter("outer > 0")
+    apart = F.col("root") != F.col("main")
+    own = F.pmod(F.xxhash64("node", "bucket"), F.when(apart, F.col("outer")).otherwise(F.col("inner")))
+    blocks = lambda n, key: F.transform(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1), key)
+    key = lambda kind, i, j: F.xxhash64("bucket", F.lit(kind), i, j)
+    keys = F.when(apart, F.concat(
+        blocks("inner", lambda j: key(0, F.col("own"), j)),
+        blocks("outer", lambda j: key(1, F.least("own", j), F.greatest("own", j))),
+    )).otherwise(blocks("outer", lambda j: key(0, j, F.col("own"))))
+    dealt = hot.join(parts, "bucket").withColumn("own", own).select(F.explode(keys).alias("bucket"), "node", "root", "sample")
+    return placed.filter(F.col("n") <= block).select(*columns).unionByName(dealt)
+
+
 # --- verification ---------------------------------------------------------------------------
 
 def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
@@ -348,20 +371,19 @@ def near_groups(
         F.min("h").alias("h"), F.min("sample").alias("sample")), "nodes")
 
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.slice("sample", i * ROWS + 1, F.lit(ROWS))))
-    banded = nodes.select("node", bands.alias("bands")).select("node", "bands", F.explode("bands").alias("bucket"))
+    banded = nodes.select("node", F.explode(bands).alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = banded.join(shared, "bucket")
-    # A bucket of very many different texts is split by what they have in a second band.
-    second = F.explode(F.when(F.col("n") <= _BLOCK, F.array("bucket")).otherwise(F.transform(
-        F.filter("bands", lambda x: x != F.col("bucket")), lambda x: F.xxhash64("bucket", x))))
-    members = materialize(members.select("node", second.alias("bucket")), "members")
+    members = materialize(banded.join(shared, "bucket").select("node", "bucket", "n"), "members")
     active = nodes.join(members.select("node").distinct(), "node")
     active = materialize(active, "active")
     texts = rows.groupBy("h").agg(F.min("text").alias("text")).join(active.select("h", "node"), "h").select("node", "text")
     texts = materialize(texts, "texts")
 
     by_bucket = lambda df: df.repartition(partitions(docs), "bucket").sortWithinPartitions("bucket", "node")
-    placed = members.join(active.select("node", "sample"), "node").select("bucket", "node", "sample")
+    # A block of a very large bucket proposes for itself; every band deals the nodes anew.
+    part = F.pmod(F.xxhash64("node", "bucket"), F.ceil(F.col("n") / _BLOCK))
+    block = F.when(F.col("n") <= _BLOCK, F.col("bucket")).otherwise(F.xxhash64("bucket", part))
+    placed = members.join(active.select("node", "sample"), "node").select(block.alias("bucket"), "node", "sample")
     pairs = materialize(by_bucket(placed).mapInArrow(_propose, "a binary, b binary").distinct(), "proposed")
     judged = materialize(verify(pairs, texts, shingle, weights, least), "judged")
     edges = judged.filter("near").select("a", "b")
@@ -374,8 +396,8 @@ def near_groups(
     state = active.select("node", "sample").join(roots, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"), "sample")
     state = materialize(state, "state")
-    placed = members.join(alike, "bucket").join(state, "node").select("bucket", "node", "root", "sample")
-    left = materialize(by_bucket(placed).mapInArrow(_still_open, "bucket bigint, node binary"), "open")
+    placed = members.join(alike, "bucket").join(state, "node").select("bucket", "node", "root", "sample", "n")
+    left = materialize(by_bucket(_meetings(placed, _BLOCK)).mapInArrow(_still_open, "bucket bigint, node binary"), "open")
     if not left.isEmpty():
         told = left.join(state, "node").join(texts, "node").select("bucket", "node", "root", "sample", "text")
         more = by_bucket(told).mapInArrow(_resolve(shingle, weights, least), "a binary, b binary").distinct()
