@@ -1,13 +1,15 @@
 """Unigram language model training (Kudo 2018) as Spark rounds over the word types.
 
-Each round runs two expectation steps over the type table and drops a quarter of
-the pieces, those whose loss costs least likelihood, until the wanted size is near.
-What the driver holds is the piece table, at most ``SEED_FACTOR`` x vocabulary size.
+The seeds are repeated substrings, found on a sorted suffix array that is spread over range
+partitions. Each round runs two expectation steps over the type table and drops a quarter of
+the pieces, those whose loss costs least likelihood, until the wanted size is near. Sums of
+expectations are of integers, so the model doesn't depend on how the data are dealt out.
+What the driver holds is the piece table, at most ``seeds`` rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from math import exp, inf, log, log1p
 
 import numpy as np
@@ -20,7 +22,7 @@ from wordloom.session import discard, store_spread
 
 # fixed values of the published procedure
 MAX_PIECE = 16
-SEED_FACTOR = 10
+SEEDS = 1_000_000
 EM_PASSES = 2
 KEEP_SHARE = 0.75
 NEAR_SIZE = 1.1
@@ -28,20 +30,92 @@ MIN_EXPECTED = 0.5
 UNKNOWN_PENALTY = 10.0
 
 
+def _suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Each position of each word with the characters from there on, combined by the thousand words."""
+    def out(totals: dict[str, int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64())], names=["suffix", "cnt"])
+
+    totals: dict[str, int] = {}
+    for batch in batches:
+        for word, cnt in zip(batch.column("word").to_pylist(), batch.column("cnt").to_pylist()):
+            for i in range(len(word)):
+                suffix = word[i:i + length]
+                totals[suffix] = totals.get(suffix, 0) + cnt
+                if len(totals) >= 100_000:
+                    yield out(totals)
+                    totals = {}
+    yield out(totals)
+
+
+def _repeats(longest: int):
+    """Sorted suffixes to the prefixes they share: a walk over the suffix array, neighbour by neighbour.
+
+    A prefix of length k is open from the first suffix that has it to the last. It is a repeat of its own if it
+    is followed by different characters, or by none; ``low`` and ``high`` are the characters that follow
+    the first and the last of its suffixes. Prefixes of a partition's first or last suffix may go on in
+    another partition and come out as open, with what is known here.
+    """
+    names = ["piece", "cnt", "low", "high", "open"]
+    kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.bool_())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, total, front = None, 0, longest  # the first suffix's prefixes up to ``front`` are still open
+        start, low, high = [0] * (longest + 1), [""] * (longest + 1), [""] * (longest + 1)
+        rows: list[tuple] = []
+
+        def close(suffix: str, shared: int, last: bool = False) -> None:
+            for k in range(min(len(suffix), longest), shared, -1):
+                is_open = last or k <= front
+                if is_open or k == 1 or low[k] != high[k] or not low[k]:
+                    rows.append((suffix[:k], total - start[k], low[k], high[k], is_open))
+
+        for batch in batches:
+            for suffix, cnt in zip(batch.column("suffix").to_pylist(), batch.column("cnt").to_pylist()):
+                shared = 0
+                if before is not None:
+                    most = min(len(before), len(suffix), longest)
+                    while shared < most and before[shared] == suffix[shared]:
+                        shared += 1
+                    close(before, shared)
+                    front = min(front, shared)
+                    high[shared] = suffix[shared:shared + 1]
+                else:
+                    front = min(longest, len(suffix))
+                for k in range(shared + 1, min(len(suffix), longest) + 1):
+                    start[k], low[k] = total, suffix[k:k + 1]
+                    high[k] = low[k]
+                total += cnt
+                before = suffix
+            if len(rows) > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                rows.clear()
+        if before is not None:
+            close(before, 0, last=True)
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+
+    return run
+
+
 def seed_pieces(types: DataFrame, max_len: int = MAX_PIECE) -> DataFrame:
-    """Substrings of the words with weighted count, scored count x length; single
-    characters always stay. Words are cut up and counted inside the task."""
-    length = F.length("word")
-    starts = F.sequence(F.lit(1), length)
-    pieces = F.flatten(F.transform(starts, lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(max_len), length - i + 1)),
-        lambda n: F.substring("word", i, n),
-    )))
+    """(piece, cnt, score): repeated substrings that no one-character extension always follows.
+
+    Counts are weighted by the words', the score is count x length, single characters always stay. All
+    suffixes, cut one character beyond ``max_len``, are sorted over range partitions, and neighbours compared; no row
+    is longer than that, however long a word is.
+    """
+    suffixes = types.select("word", "cnt").mapInArrow(lambda b: _suffixes(b, max_len + 1), "suffix string, cnt bigint")
+    suffixes = suffixes.groupBy("suffix").agg(F.sum("cnt").alias("cnt"))
+    parts = int(types.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = (suffixes.repartitionByRange(parts, "suffix").sortWithinPartitions("suffix")
+             .mapInArrow(_repeats(max_len), "piece string, cnt bigint, low string, high string, open boolean"))
+    # What comes out open is a few prefixes of each partition; the others are not split.
     return (
-        types.filter(length > 0).select("cnt", F.explode(pieces).alias("piece"))
-        .groupBy("piece").agg(F.sum("cnt").alias("cnt"))
-        .filter((F.length("piece") == 1) | (F.col("cnt") >= 2))
-        .withColumn("score", F.col("cnt") * F.length("piece"))
+        found.groupBy("piece").agg(
+            F.sum("cnt").alias("cnt"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("low").alias("top"))
+        .filter((F.length("piece") == 1) | ((F.col("cnt") >= 2) & ((F.col("low") == "") | (F.col("low") != F.greatest("high", "top")))))
+        .select("piece", "cnt", (F.col("cnt") * F.length("piece")).alias("score"))
     )
 
 
@@ -70,26 +144,25 @@ def _log_add(a: float, b: float) -> float:
 def expected_counts(word: str, scores: dict[str, float], longest: int) -> dict[str, float]:
     """Posterior expected use of each piece in a word (forward-backward)."""
     n, find = len(word), scores.get
-    edges = []  # by end, so that both directions can run over them in order
     forward, backward = [0.0] + [-inf] * n, [-inf] * n + [0.0]
     for end in range(1, n + 1):
         total = -inf
         for start in range(max(0, end - longest), end):
-            score = find(word[start:end])
-            if score is not None and forward[start] > -inf:
-                edges.append((start, end, score))
+            if forward[start] > -inf and (score := find(word[start:end])) is not None:
                 total = _log_add(total, forward[start] + score)
         forward[end] = total
     if forward[n] == -inf:
         return {}
-    for start, end, score in reversed(edges):
-        if backward[end] > -inf:
-            backward[start] = _log_add(backward[start], backward[end] + score)
     out: dict[str, float] = {}
-    for start, end, score in edges:
-        if backward[end] > -inf:
+    for end in range(n, 0, -1):  # all that follows ``end`` is known by now
+        after = backward[end]
+        if after == -inf:
+            continue
+        for start in range(max(0, end - longest), end):
             piece = word[start:end]
-            out[piece] = out.get(piece, 0.0) + exp(forward[start] + score + backward[end] - forward[n])
+            if forward[start] > -inf and (score := find(piece)) is not None:
+                backward[start] = _log_add(backward[start], after + score)
+                out[piece] = out.get(piece, 0.0) + exp(forward[start] + score + after - forward[n])
     return out
 
 
@@ -119,37 +192,37 @@ def best_path(word: str, scores: dict[str, float], longest: int, skip: str | Non
     return path[::-1]
 
 
-def _sums(totals: dict[str, float]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.float64())],
-        names=["piece", "x"],
-    )
+#: Expected counts are summed as integers, in parts of 2 ** -30, so that no order of tasks changes a sum.
+_ONE = 1 << 30
+_HALF = 40  # a sum travels as two longs, of so many bits and of the rest
 
 
 def _count_job(types: DataFrame, scores: dict[str, float], viterbi: bool) -> dict[str, float]:
     """Weighted piece use over all types; tasks return one row per piece they met."""
+    names = list(scores)
     shared = types.sparkSession.sparkContext.broadcast(scores)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         longest = max(map(len, table))
-        totals: dict[str, float] = {}
+        totals: dict[str, int] = {}
         for batch in batches:
             for word, cnt in zip(batch.column("word").to_pylist(), batch.column("cnt").to_pylist()):
                 if viterbi:
-                    path = best_path(word, table, longest) or []
-                    used = [(word[a:b], 1.0) for a, b, _ in path]
+                    for a, b, _ in best_path(word, table, longest) or ():
+                        totals[word[a:b]] = totals.get(word[a:b], 0) + cnt * _ONE
                 else:
-                    used = expected_counts(word, table, longest).items()
-                for piece, x in used:
-                    totals[piece] = totals.get(piece, 0.0) + x * cnt
-        if totals:
-            yield _sums(totals)
-
-    rows = types.mapInArrow(run, "piece string, x double").groupBy("piece").agg(F.sum("x").alias("x"))
-    out = {r.piece: r.x for r in rows.collect()}
+                    for piece, x in expected_counts(word, table, longest).items():
+                        totals[piece] = totals.get(piece, 0) + cnt * round(x * _ONE)
+        place = {piece: i for i, piece in enumerate(table)}
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([place[p] for p in totals], pa.int32()), pa.array([x & ((1 << _HALF) - 1) for x in totals.values()], pa.int64()),
+             pa.array([x >> _HALF for x in totals.values()], pa.int64())], names=["i", "low", "high"])
+
+    rows = types.mapInArrow(run, "i int, low bigint, high bigint").groupBy("i").agg(F.sum("low").alias("low"), F.sum("high").alias("high"))
+    found = rows.toArrow()
     shared.destroy()
-    return out
+    return {names[i]: (low + (high << _HALF)) / _ONE for i, low, high in zip(*[found.column(c).to_pylist() for c in ("i", "low", "high")])}
 
 
 def _em_pass(types: DataFrame, scores: dict[str, float]) -> dict[str, float]:
@@ -168,58 +241,81 @@ def _em_pass(types: DataFrame, scores: dict[str, float]) -> dict[str, float]:
 def _losses(types: DataFrame, scores: dict[str, float], used: dict[str, float]) -> dict[str, float]:
     """Likelihood lost by segmenting each piece into its best alternative."""
     spark = types.sparkSession
-    total = sum(used.values()) or 1.0
-    shared = spark.sparkContext.broadcast(scores)
-    pieces = spark.createDataFrame(
-        [(p, float(used.get(p, 0.0))) for p in scores if len(p) > 1], "piece string, used double"
-    )
+    names = [p for p in scores if len(p) > 1]
+    total = sum(used[p] for p in sorted(used)) or 1.0
+    shared = spark.sparkContext.broadcast((scores, names, [used.get(p, 0.0) for p in names]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, pieces, counts = shared.value
         longest = max(map(len, table))
         for batch in batches:
-            out = {}
-            for piece, count in zip(batch.column("piece").to_pylist(), batch.column("used").to_pylist()):
+            at, out = batch.column("id").to_pylist(), []
+            for i in at:
+                piece = pieces[i]
                 path = best_path(piece, table, longest, skip=piece)
-                if path is None:
-                    out[piece] = inf
-                else:
-                    other = sum(table[piece[a:b]] for a, b, _ in path)
-                    out[piece] = count / total * (table[piece] - other)
-            yield _sums(out)
+                out.append(inf if path is None else counts[i] / total * (
+                    table[piece] - sum(table[piece[a:b]] for a, b, _ in path)))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.float64())], names=["id", "x"])
 
-    rows = pieces.mapInArrow(run, "piece string, x double").collect()
+    parts = max(spark.sparkContext.defaultParallelism, len(names) // 20_000)
+    found = spark.range(0, len(names), 1, parts).mapInArrow(run, "id bigint, x double").toArrow()
     shared.destroy()
-    return {r.piece: r.x for r in rows}
+    return {names[i]: x for i, x in zip(found.column("id").to_pylist(), found.column("x").to_pylist())}
 
 
-def train_unigram(types: DataFrame, vocab_size: int = 16_000) -> SubwordModel:
-    """Learn pieces and log probabilities from a ``(word, cnt)`` table."""
-    types, types_path = store_spread(types.select("word", "cnt"), "types")
-    seeds = top_seeds(seed_pieces(types), SEED_FACTOR * vocab_size).collect()
-    total = float(sum(r.score for r in seeds)) or 1.0
-    scores = {r.piece: log(r.score / total) for r in seeds}
-    # One place is the unknown token's; characters are never dropped.
-    wanted = vocab_size - 1
-    target = max(int(NEAR_SIZE * wanted), 1)
-    while scores:
-        for _ in range(EM_PASSES):
-            scores = _em_pass(types, scores)
-        if len(scores) <= target:
-            break
-        loss = _losses(types, scores, _count_job(types, scores, viterbi=True))
-        chars = [p for p in scores if len(p) == 1]
-        room = max(int(KEEP_SHARE * len(scores)), target) - len(chars)
-        long = sorted(loss, key=lambda p: (-loss[p], p))
-        if room >= len(long):
-            break
-        keep = set(chars) | set(long[:max(room, 0)])
-        scores = {p: s for p, s in scores.items() if p in keep}
-        if room <= 0:
-            break
-    discard(types.sparkSession, types_path)
+def _pruned(scores: dict[str, float], loss: dict[str, float], size: int) -> dict[str, float]:
+    """The characters and the pieces of largest loss, ``size`` in all where characters leave room."""
+    chars = [p for p in scores if len(p) == 1]
+    keep = set(sorted(loss, key=lambda p: (-loss[p], p))[:max(size - len(chars), 0)]).union(chars)
+    return {p: s for p, s in scores.items() if p in keep}
+
+
+def _finished(scores: dict[str, float], wanted: int) -> SubwordModel:
     ranked = sorted(scores, key=lambda p: (-scores[p], p))
     chars = [p for p in ranked if len(p) == 1]
     long = [p for p in ranked if len(p) > 1][: max(wanted - len(chars), 0)]
     final = sorted(chars + long, key=lambda p: (-scores[p], p))
     return SubwordModel("unigram", [rules.UNK, *final], [], [], [0.0, *(scores[p] for p in final)])
+
+
+def train_unigram_sizes(types: DataFrame, sizes: Sequence[int], seeds: int = SEEDS) -> dict[int, SubwordModel]:
+    """A model for each vocabulary size, from a ``(word, cnt)`` table and at most so many seeds.
+
+    Pruning for one size is pruning for a larger one until that is near, so all sizes share the
+    rounds and each model is what training it alone gives.
+    """
+    types, types_path = store_spread(types.select("word", "cnt"), "types")
+
+    def expect(scores: dict[str, float]) -> dict[str, float]:
+        for _ in range(EM_PASSES):
+            scores = _em_pass(types, scores) if scores else scores
+        return scores
+
+    found = top_seeds(seed_pieces(types), seeds).toArrow()
+    found = dict(zip(found.column("piece").to_pylist(), found.column("score").to_pylist()))
+    total = float(sum(found.values())) or 1.0
+    scores = {p: log(found[p] / total) for p in sorted(found)}
+    # One place is the unknown token's; characters are never dropped.
+    target = {size: max(int(NEAR_SIZE * (size - 1)), 1) for size in sizes}
+    models: dict[int, SubwordModel] = {}
+    scores = expect(scores)
+    while len(models) < len(target):
+        left = [s for s in sorted(target, reverse=True) if s not in models]
+        chars = sum(len(p) == 1 for p in scores)
+        done = [s for s in left if len(scores) <= target[s] or len(scores) == chars]
+        if not done:
+            loss, smaller = _losses(types, scores, _count_job(types, scores, viterbi=True)), int(KEEP_SHARE * len(scores))
+            for size in left:
+                if smaller <= target[size]:
+                    models[size] = _finished(expect(_pruned(scores, loss, target[size])), size - 1)
+            if len(models) < len(target):
+                scores = expect(_pruned(scores, loss, smaller))
+        for size in done:
+            models[size] = _finished(scores, size - 1)
+    discard(types.sparkSession, types_path)
+    return {size: models[size] for size in sizes}
+
+
+def train_unigram(types: DataFrame, vocab_size: int = 16_000, seeds: int = SEEDS) -> SubwordModel:
+    """Learn pieces and log probabilities from a ``(word, cnt)`` table."""
+    return train_unigram_sizes(types, [vocab_size], seeds)[vocab_size]
