@@ -21,7 +21,8 @@ from wordloom.plans import subword_queries  # noqa: E402
 from wordloom.plans.catalog import QUERIES  # noqa: E402
 from wordloom.session import build_session, new_path  # noqa: E402
 
-TABLES = "documents pages events embeddings".split()
+#: The tables that the queries read.
+TABLES = "documents pages events embeddings benchmark conversations labels".split()
 
 HEADLINE = """flagship articles page_links links_distinct clean_text preprocess_default mask_patterns
     ws_tokens tok_naive tok_regex tok_rules tok_sentences tok_wordpunct top_tokens top_tokens_by_lang
@@ -31,7 +32,7 @@ HEADLINE = """flagship articles page_links links_distinct clean_text preprocess_
 
 
 def run(spark, folder: str, name: str) -> float:
-    subword_queries._models.clear()  # training is part of every run
+    subword_queries.forget_models(spark, folder)  # training is part of every run
     start = time.time()
     QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
     return time.time() - start

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from wordloom.functions.kernels import edit_fraction, levenshtein
-from wordloom.operators.subword.merging import merge_once
+from wordloom.operators.subword.merging import apply_merges, pack_merges
 from wordloom.operators.subword.unigram import best_path, digamma, expected_counts
 
 
@@ -36,26 +36,50 @@ def test_digamma():
     assert np.allclose(digamma(x), slope, rtol=1e-5, atol=1e-5)
 
 
-def test_merge_once_against_lists():
+def merged(word, left, right, new):
+    out, i = [], 0
+    while i < len(word):
+        if i + 1 < len(word) and (word[i], word[i + 1]) == (left, right):
+            out.append(new)
+            i += 2
+        else:
+            out.append(word[i])
+            i += 1
+    return out
+
+
+def test_apply_merges_against_lists():
+    """Merges that build on each other, also ones that spell a symbol which is there already."""
     rng = random.Random(2)
-    for _ in range(200):
-        words = [[rng.randint(1, 4) for _ in range(rng.randint(2, 9))] for _ in range(6)]
-        left = right = rng.randint(1, 4)
-        if rng.random() < 0.5:
-            right = left % 4 + 1
+    for _ in range(400):
+        words = [[rng.randint(1, 4) for _ in range(rng.randint(1, 12))] for _ in range(8)]
+        merges, known = [], 4
+        for _ in range(rng.randint(1, 6)):
+            pair = rng.randint(1, known), rng.randint(1, known)
+            if any(m[:2] == pair for m in merges):
+                continue
+            if rng.random() < 0.8:
+                known += 1
+            merges.append((*pair, known))
         ids = np.array([i for w in words for i in w], dtype=np.int64)
-        word = np.repeat(np.arange(6), [len(w) for w in words])
-        got_ids, got_word = merge_once(ids, word, np.array([left]), np.array([right]), np.array([9]))
+        word = np.repeat(np.arange(8), [len(w) for w in words])
+        got_ids, got_word = apply_merges(ids, word, pack_merges(merges))
         for k, w in enumerate(words):
-            out, i = [], 0
-            while i < len(w):
-                if i + 1 < len(w) and (w[i], w[i + 1]) == (left, right):
-                    out.append(9)
-                    i += 2
-                else:
-                    out.append(w[i])
-                    i += 1
-            assert got_ids[got_word == k].tolist() == out
+            for m in merges:
+                w = merged(w, *m)
+            assert got_ids[got_word == k].tolist() == w
+
+
+def test_distance_of_other_spacing():
+    rng = random.Random(4)
+    for _ in range(1500):
+        base = [rng.choice("ab") for _ in range(rng.randint(0, 14))]
+        a, b = ("".join(c + rng.choice(gaps) for c in base) for gaps in (["", "", " ", "\n", "  ", "\n\n"], ["", " ", " ##"]))
+        if rng.random() < 0.3:
+            a = b[:rng.randint(0, 9)] + a
+        assert levenshtein(a, b) == slow_levenshtein(a, b) == levenshtein(b, a)
+    long = "ab cd\nefg " * 100_000
+    assert levenshtein(long, long.replace("b", "b ").replace("\n", " ")) == 200_000
 
 
 def segmentations(word, scores):

@@ -8,8 +8,8 @@ from tokenizers import Tokenizer, models, normalizers, pre_tokenizers, trainers
 
 from wordloom.functions import tokenizers as tk
 from wordloom.functions.kernels import edit_fraction
-from wordloom.operators.subword import encode, evaluate, grid, merging, model as md, types as ty, unigram
-from wordloom.session import new_path
+from wordloom.operators.subword import encode, evaluate, grid, merging, model as md, registry, types as ty, unigram
+from wordloom.session import exists, new_path
 
 
 def library(model, trainer, texts):
@@ -51,9 +51,31 @@ def test_bpe_equals_library(bpe, texts):
     check_merges(bpe, library_bpe(texts, 260, 3))
 
 
-@pytest.mark.slow
-def test_bpe_equals_library_long(types, texts):
-    check_merges(merging.train_bpe(types, 800, 3), library_bpe(texts, 800, 3))
+@pytest.mark.parametrize("contexts", [100_000, 300])
+def test_bpe_equals_library_with_few_contexts(types, texts, contexts):
+    """Fewer contexts mean fewer merges a round and the same merges."""
+    check_merges(merging.train(types, 500, 3, "bpe", contexts), library_bpe(texts, 500, 3))
+
+
+def test_bpe_of_full_size_equals_library(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    check_merges(merging.train_bpe(ty.word_types(docs), 8_000, 2), library_bpe(texts, 8_000, 2))
+
+
+def test_decide_stops_at_the_bar():
+    symbols = ["", "a", "b", "c"]
+
+    def spell(l, r):
+        text = symbols[l] + symbols[r]
+        if text in symbols:
+            return symbols.index(text), True
+        symbols.append(text)
+        return len(symbols) - 1, False
+
+    contexts = [([1, 2, 3], 5), ([1, 2], 4), ([2, 3], 2)]
+    assert merging.decide(contexts, (6, 3, 1), 1, spell) == [(1, 2, 4)]
+    assert merging.decide(contexts, None, 3, spell) == [(1, 2, 4)]  # a known symbol ends the round
 
 
 def test_bpe_repeated_characters(spark):
@@ -122,6 +144,50 @@ def test_unigram_training(uni, types, texts):
     assert ours_len <= 1.1 * theirs_len
 
 
+def substrings(types, longest):
+    counts = {}
+    for r in types.collect():
+        for i in range(len(r.word)):
+            for n in range(1, longest + 2):
+                if i + n <= len(r.word):
+                    counts[r.word[i:i + n]] = counts.get(r.word[i:i + n], 0) + r.cnt
+    most = {}
+    for p, n in counts.items():
+        most[p[:-1]] = max(most.get(p[:-1], 0), n)
+    return {p: n for p, n in counts.items() if len(p) <= longest and (len(p) == 1 or n >= 2 and n > most.get(p, 0))}
+
+
+@pytest.mark.parametrize("parts", [1, 8, 61])
+def test_seeds_against_brute_force(spark, types, parts):
+    """Repeats that go over the borders of range partitions included."""
+    odd = spark.createDataFrame([("aaaaaaaaaaaaaaaaaaaaaaaa", 3), ("abab" * 9, 1), ("ab", 1), ("x", 1), ("日本日本", 2), ("a" * 40, 1)], "word string, cnt bigint")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        for df in (odd, types.limit(3_000).unionByName(odd) if parts == 8 else odd):
+            df = df.groupBy("word").agg(F.sum("cnt").alias("cnt"))
+            assert {r.piece: r.cnt for r in unigram.seed_pieces(df).collect()} == substrings(df, 16)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_seeds_of_a_very_long_word(spark):
+    df = spark.createDataFrame([("".join(chr(97 + (i * i + i // 7) % 26) for i in range(1_000_000)), 1)], "word string, cnt bigint")
+    row = unigram.seed_pieces(df).agg(F.count("*"), F.max("cnt"), F.sum(F.when(F.length("piece") == 1, F.col("cnt")))).first()
+    assert row[0] > 26 and row[2] == 1_000_000
+
+
+def test_unigram_model_is_the_same_however_dealt(spark, types):
+    sizes = unigram.train_unigram_sizes(types.coalesce(1), [900, 300])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 3)
+    try:
+        assert unigram.train_unigram(types.repartition(7), 300) == sizes[300]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert (len(sizes[900].vocab), len(sizes[300].vocab)) == (900, 300)
+
+
 def test_unigram_encode_equals_library(uni, texts):
     tok = Tokenizer(models.Unigram(list(zip(uni.vocab, uni.scores)), unk_id=0))
     tok.pre_tokenizer = pre_tokenizers.Whitespace()
@@ -138,6 +204,19 @@ def test_save_and_load(spark, bpe, uni):
         assert md.load(spark, path) == model
 
 
+def test_registry(spark, bpe, uni):
+    root, calls = new_path(spark, "test-models"), []
+    train = lambda: calls.append(1) or {"b": bpe, "u": uni}
+    assert registry.trained(spark, root, train) == registry.trained(spark, root, train) == {"b": bpe, "u": uni}
+    assert calls == [1] and registry.load_all(spark, root, ["u"]) == {"u": uni}
+    assert {(r.model, r.kind, r.learned_size) for r in registry.listed(spark, root).collect()} == {
+        ("b", "bpe", len(bpe.vocab)), ("u", "unigram", len(uni.vocab))}
+    with pytest.raises(KeyError):
+        registry.load_all(spark, root, ["w"])
+    registry.forget(spark, root)
+    assert not exists(spark, root)
+
+
 def test_evaluate_against_a_plain_loop(spark, bpe, uni, documents, texts):
     sample = documents.filter("doc_id < 12")
     rows = {r.model: r for r in evaluate.evaluate(sample, {"bpe": bpe, "uni": uni}).collect()}
@@ -178,6 +257,7 @@ def test_training_grid(documents):
     rows = grid.training_grid(documents.filter("doc_id < 60"), (120, 140), 3).collect()
     assert [(r.model, r.vocab_size) for r in sorted(rows, key=lambda r: (r.model, r.vocab_size))] == [
         (k, s) for k in ("bpe", "unigram", "wordpiece") for s in (120, 140)]
+    assert all(exists(documents.sparkSession, r.model_file) for r in rows)
     assert all((r.min_frequency is None) == (r.model == "unigram") for r in rows)
     by = {(r.model, r.vocab_size): r for r in rows}
     assert by["bpe", 140].total_tokens <= by["bpe", 120].total_tokens

@@ -7,6 +7,7 @@ Spark decides which rows reach them and how the work is spread.
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 from collections import Counter
 from math import sqrt
@@ -26,7 +27,7 @@ def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
-def levenshtein(a: str, b: str) -> int:
+def _bit_parallel(a: str, b: str) -> int:
     """Bit-parallel edit distance (Myers 1999, Hyyrö 2003).
 
     The column of the dynamic-programming table is held as the bits of two Python
@@ -59,6 +60,78 @@ def levenshtein(a: str, b: str) -> int:
     return distance
 
 
+def _trimmed(a: str, b: str) -> tuple[str, str]:
+    """Both without what they share at their ends."""
+    def shared(x: str, y: str) -> int:
+        low, high = 0, min(len(x), len(y))
+        while low < high:
+            mid = (low + high + 1) // 2
+            if x[low:mid] == y[low:mid]:
+                low = mid
+            else:
+                high = mid - 1
+        return low
+
+    n = shared(a, b)
+    a, b = a[n:], b[n:]
+    n = shared(a[::-1], b[::-1])
+    return a[:len(a) - n], b[:len(b) - n]
+
+
+def _inside(a: str, b: str) -> bool:
+    """Whether ``a`` is a subsequence of ``b``."""
+    at = 0
+    for ch in a:
+        at = b.find(ch, at) + 1
+        if not at:
+            return False
+    return True
+
+
+def _gaps(text: str, loose: re.Pattern) -> tuple[str, dict[int, str]]:
+    """A text without its loose characters, and runs of these by the place where they were."""
+    parts, at, gaps, last = [], 0, {}, 0
+    for m in loose.finditer(text):
+        parts.append(text[last:m.start()])
+        at += m.start() - last
+        gaps[at] = m[0]
+        last = m.end()
+    return "".join([*parts, text[last:]]), gaps
+
+
+def _spacing_distance(a: str, b: str) -> int | None:
+    """Edit distance of texts that differ in *loose* characters only, white space and those that only
+    one of them has, where two bounds prove it; None where they don't.
+
+    Editing each gap between the others for itself is one way, so the distance is no more than the gaps' sum. It is
+    no less than the difference in length and what one text has and the other hasn't at all.
+    """
+    loose = re.compile(f"[\\s{re.escape(''.join(sorted(set(a) ^ set(b))))}]+")
+    (x, in_a), (y, in_b) = _gaps(a, loose), _gaps(b, loose)
+    if x != y:
+        return None
+    most = sum(_bit_parallel(in_a.get(k, ""), in_b.get(k, "")) if in_a.get(k) != in_b.get(k) else 0 for k in in_a.keys() | in_b.keys())
+    have, want = Counter("".join(in_a.values())), Counter("".join(in_b.values()))
+    least = max((have - want).total(), (want - have).total())
+    # A character that b hasn't at all is deleted or replaced; the lengths ask for the rest.
+    foreign = sum(n for ch, n in have.items() if ch not in want and ch not in x)
+    missing = sum(n for ch, n in want.items() if ch not in have and ch not in x)
+    least = max(least, len(b) - len(a) + foreign, len(a) - len(b) + missing)
+    return most if most == least else None
+
+
+def levenshtein(a: str, b: str) -> int:
+    """Edit distance. In linear time where one text is part of the other, character by character, or where both
+    differ in single white space; bit-parallel on what differs otherwise."""
+    a, b = _trimmed(a, b)
+    if len(a) > len(b):
+        a, b = b, a
+    if _inside(a, b):
+        return len(b) - len(a)
+    found = _spacing_distance(a, b)
+    return _bit_parallel(a, b) if found is None else found
+
+
 def edit_fraction(a: str, b: str) -> float:
     longest = max(len(a), len(b))
     return levenshtein(a, b) / longest if longest else 0.0

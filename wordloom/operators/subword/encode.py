@@ -11,11 +11,12 @@ from collections.abc import Callable, Iterator, Mapping
 from heapq import heapify, heappop, heappush
 
 import pandas as pd
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, SparkSession, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from wordloom import rules
 from wordloom.functions import tokenizers as tk
+from wordloom.functions.kernels import edit_fraction
 from wordloom.operators.subword.model import SubwordModel
 from wordloom.operators.subword.unigram import UNKNOWN_PENALTY, best_path
 
@@ -118,6 +119,66 @@ def encoder(model: SubwordModel) -> Callable[[str], Encoded]:
 _RESULT = "tokens array<string>, ids array<int>"
 
 
+class Shared:
+    """Models broadcast once for any number of columns. As a context it releases them at its end, when
+    what uses the columns must have run."""
+
+    def __init__(self, spark: SparkSession, models: Mapping[str, SubwordModel]):
+        self.names = list(models)
+        self._models = spark.sparkContext.broadcast(dict(models))
+
+    def __enter__(self) -> "Shared":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._models.destroy()
+
+    def _each(self, returns: str, name: str, result: Callable, pretokens: Column, line: Column | None = None) -> Column:
+        """A row for each model: its name and ``result(tokens, ids, line)``."""
+        shared = self._models
+
+        @pandas_udf(f"array<{returns}>")
+        def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            encoders = {key: encoder(model) for key, model in shared.value.items()}
+            for pretokens, lines in batches:
+                out = []
+                for words, line in zip(pretokens, lines):
+                    row = []
+                    for encode in encoders.values():
+                        tokens, ids = [], []
+                        for word in words if words is not None else ():
+                            t, i = encode(word)
+                            tokens += t
+                            ids += i
+                        row.append(result(tokens, ids, line))
+                    out.append(row)
+                yield pd.Series(out)
+
+        keys = F.array(*[F.lit(n) for n in self.names])
+        return F.explode(F.arrays_zip(keys.alias("model"), run(pretokens, F.lit(None).cast("string") if line is None else line).alias(name)))
+
+    def encoded(self, pretokens: Column) -> Column:
+        """One row ``(model, enc)`` for each model; texts go to Python once for all of them."""
+        return self._each(f"struct<{_RESULT.replace(' ', ':').replace(',:', ',')}>", "enc", lambda tokens, ids, _: {"tokens": tokens, "ids": ids}, pretokens)
+
+    def counted(self, pretokens: Column) -> Column:
+        """One row ``(model, n_tokens)`` for each model."""
+        return self._each("bigint", "n_tokens", lambda tokens, ids, _: len(tokens), pretokens)
+
+    def restored(self, pretokens: Column, line: Column, lossless: bool = False) -> Column:
+        """One row ``(model, back)`` for each model: whether the tokens give the line back, and how far they are from it.
+
+        Tokens are joined by spaces, the unknown token left out; ``lossless`` joins them without spaces or prefixes."""
+        def compare(tokens: list[str], ids: list[int], line: str | None):
+            if lossless:
+                back = "".join(t[2:] if len(t) > 2 and t.startswith(rules.CONTINUATION) else t for t in tokens)
+            else:
+                back = " ".join(t for t in tokens if t != rules.UNK)
+            return {"same": back == (line or ""), "distance": edit_fraction(line or "", back)}
+
+        return self._each("struct<same:boolean,distance:double>", "back", compare, pretokens, line)
+
+
 def encode_udf(spark: SparkSession, models: Mapping[str, SubwordModel]):
     """``udf(model_key, pretokens) -> struct<tokens, ids>`` for a set of models."""
     shared = spark.sparkContext.broadcast(dict(models))
@@ -142,6 +203,4 @@ def encode_udf(spark: SparkSession, models: Mapping[str, SubwordModel]):
 
 def encode_column(spark: SparkSession, model: SubwordModel, text: Column) -> Column:
     """Tokens and ids of a text column."""
-    from pyspark.sql import functions as F
-
     return encode_udf(spark, {model.kind: model})(F.lit(model.kind), tk.subword_pretokens(text))

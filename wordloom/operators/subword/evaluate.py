@@ -8,34 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from wordloom import rules
 from wordloom.functions import tokenizers as tk
-from wordloom.functions.kernels import long_edit_distance
 from wordloom.operators import stats
-from wordloom.operators.subword.encode import encode_udf
-from wordloom.operators.subword.model import SubwordModel, decode
+from wordloom.operators.subword.encode import Shared
+from wordloom.operators.subword.model import SubwordModel
 from wordloom.operators.subword.types import space_word_types, word_types
+from wordloom.session import materialize
 
 
-def _with_models(df: DataFrame, models: Mapping[str, SubwordModel]) -> DataFrame:
-    return df.withColumn("model", F.explode(F.array(*[F.lit(k) for k in models])))
-
-
-def _encoded(df: DataFrame, models: Mapping[str, SubwordModel], text: Column) -> DataFrame:
-    udf = encode_udf(df.sparkSession, models)
-    return _with_models(df.withColumn("_pre", tk.subword_pretokens(text)), models).withColumn(
-        "enc", udf("model", "_pre")
-    ).drop("_pre")
-
-
-def word_counts(df: DataFrame, models: Mapping[str, SubwordModel], text: str = "text") -> DataFrame:
+def word_counts(df: DataFrame, models: Mapping[str, SubwordModel], text: str = "text", shared: Shared | None = None) -> DataFrame:
     """(model, n_tokens, cnt): white-space words by the number of their subwords."""
-    encoded = _encoded(space_word_types(df, text), models, F.col("word"))
-    return encoded.groupBy("model", F.size("enc.tokens").cast("bigint").alias("n_tokens")).agg(
-        F.sum("cnt").cast("bigint").alias("cnt")
-    )
+    shared = shared or Shared(df.sparkSession, models)
+    counted = space_word_types(df, text).select("cnt", shared.counted(tk.subword_pretokens(F.col("word"))).alias("x"))
+    return counted.groupBy("x.model", "x.n_tokens").agg(F.sum("cnt").cast("bigint").alias("cnt"))
 
 
 def word_metrics(counts: DataFrame) -> DataFrame:
@@ -51,52 +39,41 @@ def word_metrics(counts: DataFrame) -> DataFrame:
     )
 
 
-def decoded(enc: Column, kind: Column | str = "bpe", lossless: bool = False) -> Column:
-    """Text of encoded tokens. The plain form joins tokens by spaces and leaves the
-    special unknown token out; ``lossless`` joins them without spaces or prefixes and
-    is compared with the pre-tokens joined the same way."""
-    tokens = enc["tokens"]
-    if lossless:
-        return F.array_join(F.transform(tokens, lambda t: F.regexp_replace(t, "^##(?=.)", "")), "")
-    return decode(tokens)
-
-
 def reconstruction(
-    df: DataFrame, models: Mapping[str, SubwordModel], text: str = "text", lossless: bool = False
+    df: DataFrame, models: Mapping[str, SubwordModel], text: str = "text", lossless: bool = False, shared: Shared | None = None,
 ) -> DataFrame:
-    """(model, total_lines, exact fraction, mean normalized edit distance)."""
-    encoded = _encoded(df.select(text), models, F.col(text))
-    back = decoded(F.col("enc"), lossless=lossless)
-    wanted = F.array_join(tk.subword_pretokens(F.col(text)), "") if lossless else F.col(text)
-    lines = encoded.select("model", wanted.alias("line"), back.alias("back"))
-    same = F.col("line") == F.col("back")
-    # Equal texts have distance 0 and skip the kernel's work.
-    distance = F.when(same, F.lit(0.0)).otherwise(
-        long_edit_distance(F.when(~same, F.col("line")), F.when(~same, F.col("back")))
-    )
-    return lines.groupBy("model").agg(
+    """(model, total_lines, exact fraction, mean normalized edit distance).
+
+    The plain form joins tokens by spaces and leaves the unknown token out; ``lossless`` joins them without
+    spaces or prefixes and compares with the pre-tokens joined the same way. A null text counts as empty.
+    """
+    shared = shared or Shared(df.sparkSession, models)
+    pretokens = tk.subword_pretokens(F.col(text))
+    line = F.array_join(pretokens, "") if lossless else F.col(text)
+    lines = df.select(shared.restored(pretokens, F.coalesce(line, F.lit("")), lossless).alias("x"))
+    return lines.groupBy("x.model").agg(
         F.count("*").alias("total_lines"),
-        stats.ratio(F.count_if(same), F.count("*")).alias("reconstruction_exact_frac"),
-        F.coalesce(F.avg(distance), F.lit(1.0)).alias("avg_normalized_edit_distance"),
+        stats.ratio(F.count_if("x.back.same"), F.count("*")).alias("reconstruction_exact_frac"),
+        F.coalesce(F.avg("x.back.distance"), F.lit(1.0)).alias("avg_normalized_edit_distance"),
     )
 
 
 def evaluate(df: DataFrame, models: Mapping[str, SubwordModel], text: str = "text") -> DataFrame:
-    """Eight metrics per model."""
-    return reconstruction(df, models, text).join(
-        word_metrics(word_counts(df, models, text)), "model"
-    ).select(
-        "model", "total_lines", "total_words", "total_tokens", "fragmented_words",
-        "frag_percent", "compression_ratio", "reconstruction_exact_frac",
-        "avg_normalized_edit_distance",
-    )
+    """Eight metrics per model, as a stored table; the models are released."""
+    with Shared(df.sparkSession, models) as shared:
+        return materialize(reconstruction(df, models, text, shared=shared).join(
+            word_metrics(word_counts(df, models, text, shared=shared)), "model"
+        ).select(
+            "model", "total_lines", "total_words", "total_tokens", "fragmented_words",
+            "frag_percent", "compression_ratio", "reconstruction_exact_frac",
+            "avg_normalized_edit_distance",
+        ), "metrics")
 
 
 def token_counts(df: DataFrame, models: Mapping[str, SubwordModel], text: str = "text") -> DataFrame:
     """(model, token, id, cnt) over the whole corpus, from the distinct pre-tokens."""
-    types = word_types(df, text)
-    udf = encode_udf(df.sparkSession, models)
-    encoded = _with_models(types, models).withColumn("enc", udf("model", F.array("word")))
+    shared = Shared(df.sparkSession, models)
+    encoded = word_types(df, text).select("cnt", shared.encoded(F.array("word")).alias("x")).select("x.model", "cnt", "x.enc")
     pairs = F.explode(F.arrays_zip(F.col("enc.tokens").alias("token"), F.col("enc.ids").alias("id")))
     return encoded.select("model", "cnt", pairs.alias("p")).groupBy("model", "p.token", "p.id").agg(
         F.sum("cnt").cast("bigint").alias("cnt")

@@ -5,33 +5,49 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wordloom import rules
-from wordloom.operators.subword import encode, evaluate, grid, merging, model as md, types as ty, unigram
+from wordloom.operators.subword import encode, evaluate, grid, merging, model as md, registry, types as ty, unigram
 from wordloom.plans import sql
 from wordloom.plans.registry import query
 from wordloom.session import new_path
 from wordloom.sources import sinks
 from wordloom.sources.tables import table, version
 
-_MERGES = 40
-_UNIGRAM_SIZE = 300
-_GRID_SIZES = (150, 200, 300)
-_models: dict[tuple, md.SubwordModel] = {}
+# Vocabulary sizes whose merges DuckDB's recursion can follow, over the whole table; the grid has the full sizes.
+_SIZES = {"bpe": 160, "wordpiece": 250, "unigram": rules.VOCAB_SIZES[-1]}
+_MIN_FREQUENCY = 2
 
 
 def _docs(spark, d):
     return table(spark, d, "documents").select("doc_id", "text")
 
 
+def _root(spark, d, *settings) -> str:
+    """The registry for models of the documents as they are now."""
+    return registry.root_for(spark, version(spark, d, "documents"), *settings)
+
+
+def _models(spark, d, *kinds: str) -> dict[str, md.SubwordModel]:
+    """Trained where the registry has no model of these documents yet, and read from there."""
+    out = {}
+    for kind in kinds:
+        def train(kind=kind):
+            types = ty.word_types(_docs(spark, d))
+            if kind == "unigram":
+                return {kind: unigram.train_unigram(types, _SIZES[kind])}
+            return {kind: merging.train(types, _SIZES[kind], _MIN_FREQUENCY, kind)}
+
+        out |= registry.trained(spark, _root(spark, d, kind, _SIZES[kind], _MIN_FREQUENCY), train)
+    return out
+
+
 def _model(spark, d, kind: str) -> md.SubwordModel:
-    """Trained once per session and state of the input's files; a model is small."""
-    key = (spark.sparkContext.applicationId, version(spark, d, "documents"), kind)
-    if key not in _models:
-        types = ty.word_types(_docs(spark, d))
-        if kind == "unigram":
-            _models[key] = unigram.train_unigram(types, _UNIGRAM_SIZE)
-        else:
-            _models[key] = merging.train(types, 10_000, 2, kind, max_merges=_MERGES)
-    return _models[key]
+    return _models(spark, d, kind)[kind]
+
+
+def forget_models(spark, d) -> None:
+    """Remove the registries of these documents, so that the next query trains anew."""
+    for settings in [(kind, _SIZES[kind], _MIN_FREQUENCY) for kind in md.KINDS] + [("grid",)]:
+        registry.forget(spark, _root(spark, d, *settings))
 
 
 # Symbols are written between the marks chr(1) and chr(2), so that replacing the text of
@@ -43,7 +59,10 @@ _TYPES = f"""(SELECT word, count(*)::BIGINT AS cnt FROM (
 def _training(kind: str) -> str:
     tail = "'##'" if kind == "wordpiece" else "''"
     cut = "substr(p.r, 3)" if kind == "wordpiece" else "p.r"
+    tails = "UNION ALL SELECT DISTINCT '##' || unnest((regexp_extract_all(word, '(?s).'))[2:]) FROM types" if tail != "''" else ""
     return f"""WITH RECURSIVE types AS MATERIALIZED {_TYPES},
+    room AS MATERIALIZED (SELECT {_SIZES[kind]} - 1 - count(*) AS n FROM (
+        SELECT DISTINCT unnest(regexp_extract_all(word, '(?s).')) AS c FROM types {tails})),
     steps AS (
         SELECT 0 AS it, word, cnt, chr(1) || array_to_string(list_transform(
             regexp_extract_all(word, '(?s).'), lambda c, i: CASE WHEN i > 1 THEN {tail} ELSE '' END || c),
@@ -56,14 +75,14 @@ def _training(kind: str) -> str:
                 SELECT cnt, unnest(y[:-2]) AS l, unnest(y[2:]) AS r FROM (
                     SELECT cnt, string_split(syms[2:-2], chr(2) || chr(1)) AS y FROM steps) WHERE len(y) > 1)
             GROUP BY l, r ORDER BY c DESC, l, r LIMIT 1) p
-        WHERE s.it < {_MERGES})"""
+        WHERE s.it < (SELECT n FROM room))"""
 
 
 def _symbols(x: str = "syms") -> str:
     return f"string_split({x}[2:-2], chr(2) || chr(1))"
 
 
-_BPE_FINAL = f"{_training('bpe')}, enc AS MATERIALIZED (SELECT word, cnt, {_symbols()} AS tokens FROM steps WHERE it = {_MERGES})"
+_BPE_FINAL = f"{_training('bpe')}, enc AS MATERIALIZED (SELECT word, cnt, {_symbols()} AS tokens FROM steps WHERE it = (SELECT n FROM room))"
 
 
 @query("word_types", f"SELECT word, cnt FROM {_TYPES}")
@@ -105,10 +124,12 @@ def wordpiece_vocab(spark, d):
     return md.vocab_table(spark, _model(spark, d, "wordpiece")).select("token")
 
 
-@query("unigram_seeds", f"""SELECT piece, sum(cnt)::BIGINT AS cnt, (sum(cnt) * length(piece))::BIGINT AS score
-    FROM (SELECT cnt, unnest(flatten(list_transform(range(1, length(word) + 1), lambda i: list_transform(
-        range(1, least(16, length(word) - i + 1) + 1), lambda n: substr(word, i, n))))) AS piece FROM {_TYPES})
-    GROUP BY piece HAVING length(piece) = 1 OR sum(cnt) >= 2""")
+@query("unigram_seeds", f"""WITH found AS MATERIALIZED (SELECT piece, sum(cnt)::BIGINT AS cnt FROM (
+        SELECT cnt, unnest(flatten(list_transform(range(1, length(word) + 1), lambda i: list_transform(
+            range(1, least(17, length(word) - i + 1) + 1), lambda n: substr(word, i, n))))) AS piece FROM {_TYPES}) GROUP BY piece),
+    longer AS (SELECT left(piece, length(piece) - 1) AS piece, max(cnt) AS most FROM found GROUP BY ALL)
+    SELECT piece, cnt, (cnt * length(piece))::BIGINT AS score FROM found LEFT JOIN longer USING (piece)
+    WHERE length(piece) = 1 OR (length(piece) <= 16 AND cnt >= 2 AND cnt > coalesce(most, 0))""")
 def unigram_seeds(spark, d):
     return unigram.seed_pieces(ty.word_types(_docs(spark, d)))
 
@@ -133,7 +154,7 @@ def bpe_encode(spark, d):
     return _encoded_types(spark, d, "bpe")
 
 
-@query("wordpiece_encode", f"""{_training('wordpiece')},
+_WORDPIECE_ENCODED = f"""{_training('wordpiece')},
     vocab AS MATERIALIZED (SELECT token FROM {_WP_VOCAB}),
     longest AS MATERIALIZED (
         SELECT word, i, max(n) AS n FROM (
@@ -148,7 +169,10 @@ def bpe_encode(spark, d):
             w.n_tokens + 1 FROM walk w JOIN longest x ON x.word = w.word AND x.i = w.i)
     SELECT word, CASE WHEN length(word) > {rules.WORDPIECE_MAX_CHARS} THEN '[UNK]' ELSE tokens END AS tokens,
         CASE WHEN length(word) > {rules.WORDPIECE_MAX_CHARS} THEN 1 ELSE n_tokens END AS n_tokens
-    FROM walk WHERE i > length(word)""")
+    FROM walk WHERE i > length(word)"""
+
+
+@query("wordpiece_encode", _WORDPIECE_ENCODED)
 def wordpiece_encode(spark, d):
     return _encoded_types(spark, d, "wordpiece")
 
@@ -179,7 +203,7 @@ _WORD_COUNTS = f"""{_BPE_FINAL},
 
 
 def _metrics(spark, d):
-    models = {"bpe": _model(spark, d, "bpe")}
+    models = _models(spark, d, "bpe")
     return evaluate.word_metrics(evaluate.word_counts(_docs(spark, d), models))
 
 
@@ -204,53 +228,66 @@ def compression(spark, d):
 
 @query("subword_tokens_per_word", f"""{_WORD_COUNTS} SELECT n AS n_tokens, sum(cnt)::BIGINT AS cnt FROM n GROUP BY n""")
 def subword_tokens_per_word(spark, d):
-    models = {"bpe": _model(spark, d, "bpe")}
+    models = _models(spark, d, "bpe")
     return evaluate.word_counts(_docs(spark, d), models).select("n_tokens", "cnt")
 
 
 @query("subword_token_freq", f"""{_BPE_FINAL} SELECT token, sum(cnt)::BIGINT AS cnt FROM (
     SELECT unnest(tokens) AS token, cnt FROM enc) GROUP BY token""")
 def subword_token_freq(spark, d):
-    return evaluate.token_counts(_docs(spark, d), {"bpe": _model(spark, d, "bpe")}).select("token", "cnt")
+    return evaluate.token_counts(_docs(spark, d), _models(spark, d, "bpe")).select("token", "cnt")
 
 
 @query("reconstruction")
 def reconstruction(spark, d):
-    models = {k: _model(spark, d, k) for k in md.KINDS}
+    models = _models(spark, d, *md.KINDS)
     out = evaluate.reconstruction(_docs(spark, d), models)
     return out.withColumns({c: F.round(c, 6) for c in out.columns[2:]})
 
 
 @query("evaluate_model")
 def evaluate_model(spark, d):
-    return evaluate.evaluate(_docs(spark, d), {"bpe": _model(spark, d, "bpe")})
+    return evaluate.evaluate(_docs(spark, d), _models(spark, d, *md.KINDS))
 
 
 @query("model_token_stats")
 def model_token_stats(spark, d):
-    docs, models = _docs(spark, d), {k: _model(spark, d, k) for k in md.KINDS}
+    docs, models = _docs(spark, d), _models(spark, d, *md.KINDS)
     return evaluate.token_statistics(evaluate.token_counts(docs, models), evaluate.word_counts(docs, models))
 
 
-@query("model_roundtrip", f"{_BPE_FINAL} SELECT word, {sql.join('tokens')} AS tokens FROM enc")
+@query("model_roundtrip", f"""SELECT 'bpe' AS model, word, tokens FROM ({_BPE_FINAL} SELECT word, {sql.join('tokens')} AS tokens FROM enc)
+    UNION ALL SELECT 'wordpiece', word, tokens FROM ({_WORDPIECE_ENCODED})""")
 def model_roundtrip(spark, d):
-    """Save the model tables, load them and encode with the loaded model."""
-    path = new_path(spark, "model")
-    md.save(spark, _model(spark, d, "bpe"), path)
-    loaded = md.load(spark, path)
-    udf = encode.encode_udf(spark, {"bpe": loaded})
-    return ty.word_types(_docs(spark, d)).select(
-        "word", F.array_join(udf(F.lit("bpe"), F.array("word"))["tokens"], " ").alias("tokens"))
+    """Save models of both kinds as one registry, load them and encode with what was loaded."""
+    root = new_path(spark, "models")
+    registry.save_all(spark, _models(spark, d, "bpe", "wordpiece"), root)
+    shared = encode.Shared(spark, registry.load_all(spark, root))
+    out = ty.word_types(_docs(spark, d)).select("word", shared.encoded(F.array("word")).alias("x"))
+    return out.select("x.model", "word", F.array_join("x.enc.tokens", " ").alias("tokens"))
+
+
+@query("model_registry")
+def model_registry(spark, d):
+    """What the registry of the full-size grid holds."""
+    training_grid(spark, d)
+    return registry.listed(spark, _root(spark, d, "grid"))
+
+
+def _grid(spark, d):
+    return grid.training_grid(_docs(spark, d), rules.VOCAB_SIZES, rules.MIN_FREQUENCY, root=_root(spark, d, "grid"))
 
 
 @query("training_grid")
 def training_grid(spark, d):
-    return grid.training_grid(_docs(spark, d), _GRID_SIZES, rules.MIN_FREQUENCY)
+    """Nine models of the full sizes, trained, saved and measured."""
+    return _grid(spark, d)
 
 
 @query("training_results_csv")
 def training_results_csv(spark, d):
-    out = grid.training_grid(_docs(spark, d), _GRID_SIZES[:1], rules.MIN_FREQUENCY, kinds=["bpe"])
+    """The nine rows through CSV."""
+    out = _grid(spark, d)
     path = new_path(spark, "training")
     sinks.write_csv(out, path)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema)

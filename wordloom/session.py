@@ -67,6 +67,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return store(df, label)[0]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table this library wrote and has replaced."""
     if not path.startswith(work_root(spark) + "/wordloom/"):
