@@ -10,7 +10,6 @@ import html
 import re
 import unicodedata
 from collections import Counter
-from math import sqrt
 
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
@@ -143,15 +142,3 @@ def long_edit_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([
         None if x is None or y is None else edit_fraction(x, y) for x, y in zip(a, b)
     ], dtype="float64")
-
-
-@pandas_udf(DoubleType())
-def bag_cosine(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Cosine of the term-count vectors of two token arrays; 0 for an empty side."""
-    out = []
-    for x, y in zip(a, b):
-        left, right = Counter(x), Counter(y)
-        dot = sum(n * right[t] for t, n in left.items() if t in right)
-        norm = sum(n * n for n in left.values()) * sum(n * n for n in right.values())
-        out.append(dot / sqrt(norm) if norm else 0.0)
-    return pd.Series(out, dtype="float64")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordloom.functions import text as tx
-from wordloom.functions.kernels import bag_cosine
 from wordloom.operators.ordering import sample_n
 
 
@@ -28,9 +29,22 @@ def paired_cosine(left: DataFrame, right: DataFrame, key: str, vector: str) -> D
     return joined.select(key, cosine(F.col("_a"), F.col("_b")).alias("cosine"))
 
 
-def text_similarity(original: Column, processed_tokens: Column) -> Column:
-    """Term-count cosine of a text's lowercased words and its processed tokens."""
-    return bag_cosine(tx.words(F.lower(original)), processed_tokens)
+def bag_cosines(df: DataFrame, key: str, original: Column, processed_tokens: Column) -> DataFrame:
+    """(key, cosine): term-count cosine of a text's lowercased words and its processed tokens.
+
+    Grouped counts of distinct terms, no array goes to Python. Rows of one key are one document; a null or empty
+    side scores 0.
+    """
+    sides = df.select(key, F.explode(F.array(
+        F.struct(F.lit(True).alias("own"), tx.words(F.lower(original)).alias("terms")),
+        F.struct(F.lit(False).alias("own"), processed_tokens.alias("terms")))).alias("s"))
+    # The outer form keeps documents without terms.
+    terms = sides.select(key, "s.own", F.explode_outer("s.terms").alias("term"))
+    one = lambda own: F.count_if((F.col("own") == own) & F.col("term").isNotNull()).cast("double")
+    counts = terms.groupBy(key, "term").agg(one(True).alias("a"), one(False).alias("b"))
+    product = lambda x, y: F.sum(F.col(x) * F.col(y))
+    return counts.groupBy(key).agg(
+        F.coalesce(F.try_divide(product("a", "b"), F.sqrt(product("a", "a") * product("b", "b"))), F.lit(0.0)).alias("cosine"))
 
 
 def mean_similarity(
@@ -40,12 +54,16 @@ def mean_similarity(
     processed_tokens: Column,
     sample_size: int | None = None,
     seed: int = 0,
+    embed: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Mean over a seeded sample of rows, or over all rows; 0 for none.
 
-    An embedding model is plugged in by computing two vector columns with an
-    iterator ``pandas_udf`` and averaging :func:`cosine` instead.
+    ``embed`` turns a text column into dense vectors (an Arrow-batched ``pandas_udf`` around a model); the text and
+    its tokens joined by spaces are then compared by their vectors.
     """
     rows = sample_n(df, pos, sample_size, seed) if sample_size else df
-    score = text_similarity(original, processed_tokens)
-    return rows.agg(F.coalesce(F.avg(score), F.lit(0.0)).alias("semantic_similarity"))
+    if embed:
+        scores = rows.select(cosine(embed(original), embed(F.array_join(processed_tokens, " "))).alias("cosine"))
+    else:
+        scores = bag_cosines(rows, pos, original, processed_tokens)
+    return scores.agg(F.coalesce(F.avg("cosine"), F.lit(0.0)).alias("semantic_similarity"))

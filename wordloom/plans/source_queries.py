@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from wordloom import rules
 from wordloom.functions import text as tx, tokenizers as tk
-from wordloom.operators import grid, vocabulary as vb
+from wordloom.operators import vocabulary as vb
 from wordloom.plans import sql
 from wordloom.plans.page_queries import ARTICLES, article_rows
 from wordloom.plans.registry import query
-from wordloom.plans.token_queries import grid_oracle
+from wordloom.plans.token_queries import SQL_TOKENIZERS, grid_oracle, tokenizer_grid, tokenizer_grid_full, tokenizer_seconds
 from wordloom.session import new_path
 from wordloom.sources import jsonl, sinks
 from wordloom.sources.tables import table, table_stream
@@ -153,13 +153,21 @@ def top_tokens_csv(spark, d):
     return sinks.read_csv(spark, path, "token string, cnt bigint")
 
 
-@query("metrics_csv", "SELECT tokenizer, normalizer, vocab_size, printf('%.4f', oov_pct) AS oov_pct, "
-       f"NULL::VARCHAR AS semantic_similarity FROM ({grid_oracle('naive', 'regex')})")
+@query("metrics_csv")
 def metrics_csv(spark, d):
-    """Grid metrics with four decimals through CSV; a missing similarity is an empty cell."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    out = grid.compare(docs, "doc_id", "text", ["naive", "regex"], ["none"], similarity=False)
-    out = out.withColumn("semantic_similarity", F.lit(None).cast("double"))
+    """The grid's twenty rows with four decimals, and their seconds, through CSV."""
+    out = tokenizer_grid_full(spark, d).join(F.broadcast(tokenizer_seconds(spark, d).drop("rows")), ["tokenizer", "normalizer"])
+    path = new_path(spark, "metrics")
+    sinks.write_csv(sinks.format_metrics(out, ["oov_pct", "semantic_similarity", "seconds"]), path)
+    return sinks.read_csv(spark, path, "tokenizer string, normalizer string, vocab_size bigint, "
+                          "oov_pct string, semantic_similarity string, seconds string")
+
+
+@query("metrics_csv_plain", "SELECT tokenizer, normalizer, vocab_size, printf('%.4f', oov_pct) AS oov_pct, "
+       f"NULL::VARCHAR AS semantic_similarity FROM ({grid_oracle(*SQL_TOKENIZERS)})")
+def metrics_csv_plain(spark, d):
+    """The rows that SQL can say; a missing similarity is an empty cell."""
+    out = tokenizer_grid(spark, d).withColumn("semantic_similarity", F.lit(None).cast("double"))
     path = new_path(spark, "metrics")
     sinks.write_csv(sinks.format_metrics(out, ["oov_pct", "semantic_similarity"]), path)
     return sinks.read_csv(spark, path, "tokenizer string, normalizer string, vocab_size bigint, "

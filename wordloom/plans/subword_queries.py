@@ -13,7 +13,7 @@ from wordloom.sources import sinks
 from wordloom.sources.tables import table, version
 
 # Vocabulary sizes whose merges DuckDB's recursion can follow, over the whole table; the grid has the full sizes.
-_SIZES = {"bpe": 160, "wordpiece": 250, "unigram": rules.VOCAB_SIZES[-1]}
+_SIZES = {"bpe": 260, "wordpiece": 350, "unigram": rules.VOCAB_SIZES[-1]}
 _MIN_FREQUENCY = 2
 
 

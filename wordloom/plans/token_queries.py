@@ -191,11 +191,12 @@ def stopwords_join(spark, d):
         F.count("*").alias("kept"), F.sum(F.length("token")).alias("chars"))
 
 
-@query("lemma_lookup", f"""
-    WITH c AS ({_COUNTS}),
-    lemmas AS (SELECT c.token, left(c.token, length(c.token) - 1) AS lemma FROM c
-        WHERE c.token LIKE '%s' AND left(c.token, length(c.token) - 1) IN (SELECT token FROM c))
-    SELECT c.token, c.cnt, coalesce(lemma, c.token) AS lemma FROM c LEFT JOIN lemmas USING (token)""")
+_LEMMAS = f"""WITH c AS MATERIALIZED ({_COUNTS}),
+    shorter AS MATERIALIZED (SELECT token AS lemma, token || 's' AS token FROM c)
+    SELECT c.token, c.cnt, coalesce(lemma, c.token) AS lemma FROM c LEFT JOIN shorter ON shorter.token = c.token"""
+
+
+@query("lemma_lookup", _LEMMAS)
 def lemma_lookup(spark, d):
     """The lemma table pairs a token in -s with its shorter form where both occur."""
     counts = _counts(spark, d)
@@ -365,8 +366,8 @@ def _cleaned_words():
 @query("text_similarity", _SIMILARITY)
 def text_similarity(spark, d):
     """Each document against its cleaned form."""
-    score = similarity.text_similarity(F.col("text"), _cleaned_words())
-    return table(spark, d, "documents").select("doc_id", F.round(score, 6).alias("cosine"))
+    out = similarity.bag_cosines(table(spark, d, "documents"), "doc_id", F.col("text"), _cleaned_words())
+    return _rounded(out, "cosine")
 
 
 @query("semantic_similarity", f"SELECT round(coalesce(avg(cosine), 0.0), 4)::DOUBLE AS semantic_similarity FROM ({_SIMILARITY})")
@@ -419,7 +420,7 @@ def _grid_sql(name: str) -> str:
         FROM (SELECT 1)"""
 
 
-_SQL_TOKENIZERS = {
+SQL_TOKENIZERS = {
     "naive": _NAIVE, "regex": f"regexp_extract_all(text, {sql.text(sql.plain_regex(tk.regex_pattern()))})",
     "rules": _RULES, "wordpunct": sql.wordpunct("text"),
 }
@@ -428,13 +429,13 @@ _SQL_TOKENIZERS = {
 def grid_oracle(*names: str) -> str:
     parts = []
     for name in names:
-        tokens = _SQL_TOKENIZERS[name]
+        tokens = SQL_TOKENIZERS[name]
         parts.append(f"""SELECT * FROM (WITH t AS (SELECT is_train, lower(unnest({tokens})) AS token
             FROM {_SPLIT}) {_grid_sql(name)})""")
     return " UNION ALL ".join(parts)
 
 
-@query("tokenizer_grid", grid_oracle(*_SQL_TOKENIZERS))
+@query("tokenizer_grid", grid_oracle(*SQL_TOKENIZERS))
 def tokenizer_grid(spark, d):
     """Four tokenizers without normalization: vocabulary size and OOV rate."""
     out = grid.compare(
@@ -443,9 +444,54 @@ def tokenizer_grid(spark, d):
     return _rounded(out, "oov_pct")
 
 
+def _lemmas(spark, d):
+    return materialize(lemma_lookup(spark, d).filter("token <> lemma").select("token", "lemma"), "lemmas")
+
+
+def _both_sql(name: str) -> str:
+    """A tokenizer's rows without normalization and with the lemma table, similarity included."""
+    return f"""SELECT * FROM (WITH f AS MATERIALIZED (
+            SELECT doc_id, is_train, tokens.token AS raw, lower(coalesce(lemma, tokens.token)) AS lemma, lower(tokens.token) AS plain
+            FROM (SELECT doc_id, is_train, unnest({SQL_TOKENIZERS[name]}) AS token FROM s) tokens LEFT JOIN lemmas USING (token)),
+        v AS (SELECT doc_id, is_train, 'none' AS normalizer, plain AS token FROM f UNION ALL SELECT doc_id, is_train, 'lemma', lemma FROM f),
+        known AS (SELECT normalizer, token, bool_or(is_train) AS seen, count(*) FILTER (NOT is_train) AS tests FROM v GROUP BY ALL),
+        counts AS (SELECT normalizer, count(*) FILTER (seen)::BIGINT AS vocab_size,
+            round(100.0 * sum(tests) FILTER (NOT seen) / sum(tests), 6)::DOUBLE AS oov_pct FROM known GROUP BY normalizer),
+        w AS (SELECT doc_id, normalizer, token, count(*) AS n FROM v GROUP BY ALL),
+        scores AS (SELECT w.doc_id, normalizer, sum(w.n * coalesce(o.n, 0)) / sqrt(sum(w.n * w.n) * any_value(norms.x)) AS score
+            FROM w LEFT JOIN o ON o.doc_id = w.doc_id AND o.token = w.token JOIN norms ON norms.doc_id = w.doc_id GROUP BY ALL)
+        SELECT '{name}' AS tokenizer, normalizer, vocab_size, oov_pct,
+            round((SELECT sum(score) FROM scores WHERE scores.normalizer = counts.normalizer) / (SELECT count(*) FROM documents), 6)::DOUBLE
+                AS semantic_similarity FROM counts)"""
+
+
+def grid_similarity_oracle() -> str:
+    return f"""WITH s AS MATERIALIZED (SELECT * FROM {_SPLIT}), lemmas AS MATERIALIZED (SELECT token, lemma FROM ({_LEMMAS}) WHERE token <> lemma),
+        o AS MATERIALIZED (SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, unnest({sql.words('lower(text)')}) AS token FROM documents) GROUP BY ALL),
+        norms AS MATERIALIZED (SELECT doc_id, sum(n * n) AS x FROM o GROUP BY doc_id)
+        {" UNION ALL ".join(_both_sql(n) for n in SQL_TOKENIZERS)}"""
+
+
+@query("tokenizer_grid_similarity", grid_similarity_oracle())
+def tokenizer_grid_similarity(spark, d):
+    """What SQL can say of the full grid: four tokenizers, plain and with lemmas, similarity included."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    out = grid.compare(docs, "doc_id", "text", list(SQL_TOKENIZERS), ["none"], _lemmas(spark, d))
+    return _rounded(out, "oov_pct", "semantic_similarity")
+
+
 @query("tokenizer_grid_full")
 def tokenizer_grid_full(spark, d):
     """All twenty combinations with similarity; the lemma table is data-driven."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    lemmas = materialize(lemma_lookup(spark, d).filter("token <> lemma").select("token", "lemma"), "lemmas")
-    return grid.compare(docs, "doc_id", "text", lemmas=lemmas)
+    return grid.compare(docs, "doc_id", "text", lemmas=_lemmas(spark, d))
+
+
+_TIMED_ROWS = 100  # the size of the sample whose seconds are reported
+
+
+@query("tokenizer_seconds")
+def tokenizer_seconds(spark, d):
+    """Seconds of each combination over a sample of texts."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return grid.combination_seconds(docs, "doc_id", "text", tk.TOKENIZERS, nz.NORMALIZERS, _TIMED_ROWS, _lemmas(spark, d))
