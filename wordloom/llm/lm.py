@@ -6,7 +6,9 @@ levels are probed until one is missing. The filter is one segment for each bucke
 has as many bits as its levels need, so the filter grows with the corpus and is as full at every size.
 
 P(v | u) interpolates the quantised bigram estimate, over the count of u, with the add-one unigram
-probability. Unigram counts are exact: the texts are dealt out to shards, each shard asks for the counts
+probability. A level reads as the smallest count that has it, so seen successors of u have no more than all
+of its probability; what the filter takes for seen by mistake, at 2 ** -hashes a probe of a new pair, comes on top.
+The filter is asked by bucket, not broadcast: it grows with the corpus, so no bound on its size could hold. Unigram counts are exact: the texts are dealt out to shards, each shard asks for the counts
 of its distinct words and the levels of its distinct bigrams, bucket by bucket, and the answers meet its
 texts again. So a word that is everywhere is one record for each shard, no task holds the vocabulary or
 the filter, and nothing of either goes to the driver.
@@ -129,11 +131,21 @@ def _merge(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
         yield batch(_MERGED, [(kind, bucket, planes(keys), planes(counts), len(keys), int(counts.sum()), taken)])
 
 
+def _start(keys: np.ndarray, level: int) -> np.ndarray:
+    return mix(keys ^ _U((0x9E3779B97F4A7C15 * (level + 1)) & (2 ** 64 - 1)))
+
+
+def _bit(start: np.ndarray, step: np.ndarray, i: int, bits: int) -> np.ndarray:
+    """The bit number of hash ``i`` inside a segment of fewer than 2 ** 32 bits, without a division."""
+    x = start + _U(i) * step if i else start
+    return ((x >> _U(32)) * _U(bits) >> _U(32)).astype(np.int64)
+
+
 def _places(keys: np.ndarray, level: int, hashes: int, bits: int) -> np.ndarray:
     """Bit numbers inside a segment, ``hashes`` for each key, at one level."""
-    h = mix(keys ^ _U((0x9E3779B97F4A7C15 * (level + 1)) & (2 ** 64 - 1)))
-    step = mix(h) | _U(1)
-    return (h[None, :] + np.arange(hashes, dtype=_U)[:, None] * step[None, :]) % _U(bits)
+    start = _start(keys, level)
+    step = mix(start) | _U(1)
+    return np.stack([_bit(start, step, i, bits) for i in range(hashes)])
 
 
 def _segment(least: int, hashes: int, bits: int):
@@ -143,6 +155,8 @@ def _segment(least: int, hashes: int, bits: int):
             for bucket, keys, counts, taken in zip(*[b.column(n).to_pylist() for n in ("bucket", "keys", "counts", "levels")]):
                 keys, top = unplanes(keys, _U), levels(unplanes(counts), least)
                 size = max(bits, int(np.ceil(sum(taken) * hashes / np.log(2) / 8)) * 8, 8)
+                if size >= 1 << 32:
+                    raise ValueError("a segment of this size needs more buckets")
                 on = np.zeros(size, bool)
                 for level in range(1, int(top.max(initial=0)) + 1):
                     on[_places(keys[top >= level], level, hashes, size).ravel()] = True
@@ -174,30 +188,32 @@ class LogFrequencyFilter:
         self.buckets = len(data)
 
     def level(self, keys: np.ndarray) -> np.ndarray:
-        """The highest level up to which every level is there."""
+        """The highest level up to which every level is there. A hash is probed only for keys that had all before."""
         out = np.zeros(len(keys), np.int64)
         left = np.arange(len(keys))
         flat, width = self.data.ravel(), self.bits // 8
-        level = 1
-        while len(left):
-            k = keys[left]
-            base = bucket_of(k, self.buckets) * width
-            at = _places(k, level, self.hashes, self.bits)
-            there = np.ones(len(k), bool)
-            for row in at:
-                row = row.astype(np.int64)
-                there &= (flat[base + (row >> 3)] >> (7 - (row & 7)).astype(np.uint8)) & 1 == 1
-            left = left[there]
-            out[left] = level
-            level += 1
-            if level > _LEVELS:
+        base = bucket_of(keys, self.buckets) * width if self.buckets > 1 else None
+        for level in range(1, _LEVELS + 1):
+            start = _start(keys[left], level)
+            step = None
+            for i in range(self.hashes):
+                if i == 1:
+                    step = mix(start) | _U(1)
+                at = _bit(start, step, i, self.bits)
+                byte = flat[(at >> 3) if base is None else base[left] + (at >> 3)]
+                there = (byte >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+                left, start = left[there], start[there]
+                step = step[there] if i else None
+            if not len(left):
                 break
+            out[left] = level
         return out
 
 
-def middle(level: np.ndarray, least: int) -> np.ndarray:
-    """The middle, in logarithms, of the counts that have the level; 0 for none."""
-    return np.where(level > 0, least * 2.0 ** (level - 0.5), 0.0)
+def least_count(level: np.ndarray, least: int) -> np.ndarray:
+    """The smallest count that has the level, 0 for none. No more than the count that was put in, so the
+    counts of a word's successors sum to no more than its own."""
+    return np.where(level > 0, least * 2.0 ** (level - 1), 0.0)
 
 
 def _ask(buckets: int):
@@ -215,15 +231,19 @@ def _ask(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = {}, 0
         for b in batches:
-            shards = b.column("bucket").to_numpy(zero_copy_only=False)
-            texts = byte_lists(b.column("text"))
+            shards, texts = b.column("bucket").to_numpy(zero_copy_only=False), byte_lists(b.column("text"))
+            order = np.argsort(shards, kind="stable")  # texts of one shard side by side, so tokens need no sorting by shard
+            shards, texts = shards[order], [texts[i] for i in order]
             for low, high in slices(texts):
                 token, each = tokens(texts[low:high])
-                of = np.repeat(shards[low:high], each)
-                for shard, (k, p) in by_bucket(of, token, pair(before(token, each), token)):
-                    words, pairs = held.setdefault(shard, ([], []))
-                    words.append(np.unique(k))
-                    pairs.append(np.unique(p))
+                both = pair(before(token, each), token)
+                change = np.flatnonzero(np.diff(shards[low:high])) + 1
+                cuts = np.concatenate(([0], np.cumsum(each)))
+                for a, z in zip([0, *change], [*change, high - low]):
+                    part = slice(cuts[a], cuts[z])
+                    words, pairs = held.setdefault(int(shards[low + a]), ([], []))
+                    words.append(np.unique(token[part]))
+                    pairs.append(np.unique(both[part]))
                 size += len(token)
                 if size > _FLUSH:
                     yield flush(held)
@@ -235,27 +255,37 @@ def _ask(buckets: int):
 
 
 def _answer(hashes: int, least: int):
-    """Requests, counts and segment of a bucket meet: what each shard asked for and is known."""
+    """Requests, counts and segment of a bucket meet: what each shard asked for and is known. Rows come sorted
+    by bucket, kind and shard, so a task holds one bucket's counts and one shard's requests at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, filters, asked = {}, {}, {}
+        at, known, found = None, None, None
+        asker, words, pairs = None, [], []
+
+        def answer() -> pa.RecordBatch:
+            keys, counts = known
+            k, p = (np.unique(np.concatenate([unplanes(x, _U) for x in xs])) for xs in (words, pairs))
+            place = np.minimum(np.searchsorted(keys, k), max(len(keys) - 1, 0))
+            hit = keys[place] == k if len(keys) else np.zeros(len(k), bool)
+            level = found.level(p) if found else np.zeros(len(p), np.int64)
+            return batch(_ANSWERS, [(asker, at, planes(k[hit]), planes(counts[place[hit]]), level.astype(np.uint8).tobytes())])
+
         for b in batches:
             for kind, bucket, shard, keys, counts in zip(*[b.column(n).to_pylist() for n, _ in _COUNTS]):
+                if asker is not None and (bucket, shard) != (at, asker):
+                    yield answer()
+                    asker, words, pairs = None, [], []
+                if bucket != at:
+                    at, known, found = bucket, (np.zeros(0, _U), np.zeros(0, np.int64)), None
                 if kind == UNIGRAM:
-                    known[bucket] = unplanes(keys, _U), unplanes(counts)
+                    known = unplanes(keys, _U), unplanes(counts)
                 elif kind == BIGRAM:
-                    filters[bucket] = LogFrequencyFilter(np.frombuffer(keys, np.uint8)[None, :], 8 * len(keys), hashes, least)
+                    found = LogFrequencyFilter(np.frombuffer(keys, np.uint8)[None, :], 8 * len(keys), hashes, least)
                 else:  # a shard may ask in several parts
-                    words, pairs = asked.setdefault(bucket, {}).setdefault(shard, ([], []))
+                    asker = shard
                     words.append(keys)
                     pairs.append(counts)
-        for bucket, shards in asked.items():
-            keys, counts = known.get(bucket, (np.zeros(0, _U), np.zeros(0, np.int64)))
-            for shard, parts in shards.items():
-                k, p = (np.unique(np.concatenate([unplanes(x, _U) for x in xs])) for xs in parts)
-                at = np.minimum(np.searchsorted(keys, k), max(len(keys) - 1, 0))
-                hit = keys[at] == k if len(keys) else np.zeros(len(k), bool)
-                level = filters[bucket].level(p) if bucket in filters else np.zeros(len(p), np.int64)
-                yield batch(_ANSWERS, [(shard, bucket, planes(k[hit]), planes(counts[at[hit]]), level.astype(np.uint8).tobytes())])
+        if asker is not None:
+            yield answer()
 
     return run
 
@@ -278,20 +308,22 @@ def _score(least: int, train_tokens: int, vocabulary: int, weight: float, column
 
         parts = [[], [], [], []]
         bodies = [x for c in texts.column("text").chunks for x in byte_lists(c)]
-        pairs = np.unique(np.concatenate([np.zeros(0, _U)] + [
-            np.unique(pair(before(*t), t[0])) for low, high in slices(bodies) for t in [tokens(bodies[low:high])]]))
-        if len(pairs) != len(level):
-            raise RuntimeError(f"{len(pairs)} bigrams, {len(level)} answers")
+        held = []  # tokens once: texts' tokens, and the distinct bigrams of each slice with the places of all
         for low, high in slices(bodies):
             token, each = tokens(bodies[low:high])
+            held.append((token, each, *np.unique(pair(before(token, each), token), return_inverse=True)))
+        pairs = np.unique(np.concatenate([np.zeros(0, _U), *[h[2] for h in held]]))
+        if len(pairs) != len(level):
+            raise RuntimeError(f"{len(pairs)} bigrams, {len(level)} answers")
+        for token, each, own, place in held:
+            at = np.searchsorted(pairs, own)[place]
             c = known(token)
             one = (c + 1) / below
             first = np.cumsum(each) - each
-            u = before(token, each)
             of_u = known(np.array([END], _U)).repeat(len(token))  # texts begin after an end
             of_u[1:] = c[:-1]
             of_u[first] = known(np.array([END], _U))[0]
-            joint = np.minimum(middle(level[np.searchsorted(pairs, pair(u, token))].astype(np.int64), least), of_u)
+            joint = np.minimum(least_count(level[at].astype(np.int64), least), of_u)
             p = np.where(of_u > 0, (1 - weight) * one + weight * joint / np.maximum(of_u, 1), one)
             for out, values in zip(parts, (each, np.add.reduceat((c > 0).astype(np.int64), first),
                                            np.add.reduceat(np.log10(one), first), np.add.reduceat(np.log10(p), first))):
@@ -327,7 +359,8 @@ def score_texts(
     texts = rows.withColumn("bucket", F.pmod(F.xxhash64("id", "text"), F.lit(4 * deal)).cast("bigint")).repartition(deal, "bucket")
     asked = texts.mapInArrow(_ask(buckets), _COUNTS_SQL)
     known = merged.select("kind", "bucket", F.lit(-1).cast("bigint").alias("shard"), "keys", "counts")
-    answers = asked.unionByName(known).repartition(deal, "bucket").mapInArrow(_answer(hashes, least), _ANSWERS_SQL)
+    answers = asked.unionByName(known).repartition(deal, "bucket").sortWithinPartitions("bucket", "kind", "shard").mapInArrow(
+        _answer(hashes, least), _ANSWERS_SQL)
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, learn boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     scored = texts.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
