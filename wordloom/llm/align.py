@@ -168,6 +168,7 @@ _STAGED = [("kind", pa.int32(), "int"), ("shard", pa.int64(), "bigint"), ("n_a",
            ("n_groups", pa.int64(), "bigint"), ("groups_sha256", pa.string(), "string"), ("same", pa.binary(), "binary"),
            ("other", pa.binary(), "binary"), ("keys", pa.list_(pa.int64()), "array<bigint>"), ("counts", pa.list_(pa.int64()), "array<bigint>")]
 _CHUNK = 1 << 15
+_TURN = 7_919  # a prime: a task's shards go to partitions far apart
 
 
 def _rows(rows: list[tuple], ids: pa.Array) -> pa.RecordBatch:
@@ -269,7 +270,7 @@ def _told(vector: np.ndarray, best: np.ndarray, same: np.ndarray):
 
 
 def align(
-    docs: DataFrame, ranks: str, model: str, shard_bytes: int = 32 << 20, id_column: str = "doc_id", text_column: str = "text",
+    docs: DataFrame, ranks: str, model: str, shard_bytes: int = 8 << 20, id_column: str = "doc_id", text_column: str = "text",
 ) -> tuple[DataFrame, DataFrame]:
     """Documents with what their tokens and links come to, and the corpus's pairs ``a_id, b_id, n``.
 
@@ -307,7 +308,9 @@ def align(
                        F.col("found.key").alias("keys"), F.col("found.n").alias("counts")))
     told = ["id", "kind", "shard", "n_a", "n_b", "n_groups", "groups_sha256", "same", "other", "keys", "counts"]
     met = staged.filter(F.col("kind") == DOC).select(told).unionByName(answers, allowMissingColumns=True)
-    met = met.repartition(partitions(docs), "shard").sortWithinPartitions("shard", F.desc("kind"))
+    # Shards are dealt out in turn: numbered by task and in it, so a hash would only make them uneven.
+    turn = F.pmod(F.shiftright("shard", 32) + F.lit(_TURN) * F.col("shard").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(partitions(docs)))
+    met = met.repartitionById(partitions(docs), turn.cast("int")).sortWithinPartitions("shard", F.desc("kind"))
     out = met.mapInArrow(_told(vector, best, pair.same),
                          f"id {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string")
     spark = docs.sparkSession
