@@ -35,13 +35,56 @@ def test_page_fields(spark):
         "<p>at 2024-05-06T01:02:03 it</p><ul class='x breadcrumb'><li>Home</li><li>News</li></ul>",
         "<header><meta name='article:section' content='gone'></header><i class='breadcrumbs-x'>no</i>",
     )
-    rows = pg.with_fields(pages).withColumn("d", pg.iso_date(F.col("date_ts"))).orderBy("page_id").collect()
+    rows = pg.with_fields(pages).withColumn("d", pg.iso_date(F.col("date_local"), F.col("date_zone"))).orderBy("page_id").collect()
     assert [r.title for r in rows[:4]] == ["A & B", "Onetwo", "Tést &", None]
     assert [r.d for r in rows[4:8]] == [
-        "2024-05-06T07:08:09", "2024-05-06T00:00:00", "2024-05-06T00:00:00", "2024-05-06T01:02:03"]
+        "2024-05-06T07:08:09+00:00", "2024-05-06T00:00:00", "2024-05-06T00:00:00", "2024-05-06T01:02:03"]
     assert [r.category for r in rows[6:]] == ["Sport", "Home News", None]
 
 
+@pytest.mark.parametrize("raw, want", [
+    ("Tue, 01 Dec 2026 10:00:00 GMT", "2026-12-01T10:00:00+00:00"),
+    ("01 Dec 2026 10:00:00 +0530", "2026-12-01T10:00:00+05:30"),
+    ("2026-12-01T10:00:00.123+05:00", "2026-12-01T10:00:00+05:00"),
+    ("2026-12-01T10:00Z", "2026-12-01T10:00:00+00:00"),
+    ("2026-12-01 10:00:00", "2026-12-01T10:00:00"),
+    ("1 декабря 2026 г., 10:00", "2026-12-01T10:00:00"),
+    ("Вторник, 1 Декабря 2026 в 10:00 МСК", "2026-12-01T10:00:00+03:00"),
+    ("9 мая 2026", "2026-05-09T00:00:00"),
+    ("December 1st, 2026 at 9:05 EST", "2026-12-01T09:05:00-05:00"),
+    ("Sept. 3, 2026", "2026-09-03T00:00:00"),
+    ("01.12.2026 10:00", "2026-12-01T10:00:00"),
+    ("1/12/2026", "2026-12-01T00:00:00"),
+    (" 2026-12-01 ", "2026-12-01T00:00:00"),
+    ("2026-13-01", None), ("31 June 2026", None), ("2026-12-01 25:00", None), ("1 Foo 2026", None),
+    ("2026-12-01T10:00 XQZ", None), ("soon", None), ("", None), (None, None),
+])
+def test_dates(apply, raw, want):
+    assert apply(lambda c: pg.iso_date(*[pg.read_date(c)[k] for k in ("local", "zone")]), [raw]) == [want]
+
+
+def test_moment_of_a_date(spark):
+    pages = page_rows(spark, "<time>2026-12-01T01:00:00+05:00</time>", "<time>2026-12-01</time>")
+    rows = pg.with_fields(pages, fields=["date"]).orderBy("page_id").collect()
+    assert [r.date_ts.isoformat() for r in rows] == ["2026-11-30T20:00:00", "2026-12-01T00:00:00"]
+    assert "title" not in rows[0].asDict() and "category" not in rows[0].asDict()
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<div class=x><p class='breadcrumb'>A</p></div>", "A"),
+    ("<div class='breadcrumb'><div>Home</div><div>News</div></div><div>no</div>", "Home News"),
+    ("<ul class='breadcrumbs'><li>A<ul><li>B</ul><li>C</UL><ul>no</ul>", "A B C"),
+    ("<div class='breadcrumb'><divider>A</divider><div><div>B</div></div></div>no", "A B"),
+    ("<ol class='breadcrumb'></ol>no", ""),
+    ("<div class='breadcrumb'><div>never closed</div>", None),
+    ("<div>none</div>", None),
+    ("<div class='breadcrumb'>" + "<div>x" * 300 + "</div>" * 301 + "no", " ".join("x" * 300)),
+])
+def test_balanced_elements(spark, html, want):
+    df = page_rows(spark, html)
+    assert pg.with_fields(df, fields=["category"]).first().category == want
+
+
 def test_articles_drop_blank(spark):
     pages = spark.createDataFrame(
         [("http://a/1", "<p>Hello big world again</p>"), ("http://a/2", "<p>no</p>"), ("http://a/3", None)],
@@ -119,6 +162,32 @@ def test_vocabulary_and_oov(spark):
     assert vb.oov_between(df.limit(0), words, df, words).first().oov_pct == 0.0
 
 
+def test_grid_similarity_against_a_plain_loop(spark):
+    from collections import Counter
+
+    rows = [(0, "Cats cats dogs the"), (1, "the The, dogs"), (2, ""), (3, None), (4, "ponies running the")]
+    df = spark.createDataFrame(rows, "pos bigint, text string")
+    lemmas = spark.createDataFrame([("cats", "cat"), ("cats", "kat"), ("Cats", "cat")], "token string, lemma string")
+    out = grid.compare(df, "pos", "text", {"ws": tx.words}, ["none", "porter"], lemmas)
+    got = {r.normalizer: r.semantic_similarity for r in out.collect()}
+    porter = {"Cats": "cat", "cats": "cat", "dogs": "dog", "ponies": "poni", "running": "run", "The,": "the,"}
+    table = {"none": {}, "porter": porter, "lemma": {"cats": "cat", "Cats": "cat"}}
+    for name, forms in table.items():
+        total = 0.0
+        for _, text in rows:
+            own = Counter((text or "").lower().split())
+            made = Counter(forms.get(t, t).lower() for t in (text or "").split())
+            norm = sum(n * n for n in own.values()) * sum(n * n for n in made.values())
+            total += sum(n * made[t] for t, n in own.items()) / norm ** 0.5 if norm else 0.0
+        assert got[name] == pytest.approx(total / len(rows)), name
+
+
+def test_seconds_of_combinations(spark):
+    df = spark.createDataFrame([(i, "a b c") for i in range(20)], "pos bigint, text string")
+    rows = grid.combination_seconds(df, "pos", "text", {"ws": tx.words}, {"none": lambda t: t}, 5).collect()
+    assert [(r.tokenizer, r.normalizer, r.rows) for r in rows] == [("ws", "none", 5)] and rows[0].seconds > 0
+
+
 def test_grid_all_combinations(spark, documents):
     lemmas = spark.createDataFrame([("the", "THE"), ("ing", "in")], "token string, lemma string")
     rows = grid.compare(documents, "doc_id", "text", lemmas=lemmas, similarity_sample=10).collect()
@@ -134,8 +203,13 @@ def test_similarity(spark):
     got = [r[0] for r in df.select(similarity.cosine(F.col("a"), F.col("b"))).collect()]
     assert got == [pytest.approx(0.5 ** 0.5), 0.0]
     texts = spark.createDataFrame([(0, "a a b"), (1, "")], "pos bigint, text string")
-    score = similarity.text_similarity(F.col("text"), F.array(F.lit("a")))
-    assert [r[0] for r in texts.orderBy("pos").select(score).collect()] == [pytest.approx(2 / 5 ** 0.5), 0.0]
+    scores = similarity.bag_cosines(texts, "pos", F.col("text"), F.array(F.lit("a")))
+    assert [r.cosine for r in scores.orderBy("pos").collect()] == [pytest.approx(2 / 5 ** 0.5), 0.0]
+    empty = similarity.bag_cosines(texts, "pos", F.lit(None).cast("string"), F.array().cast("array<string>"))
+    assert [r.cosine for r in empty.collect()] == [0.0, 0.0]
+    embed = lambda t: F.array(F.length(t).cast("float"), F.lit(1.0).cast("float"))
+    mean = similarity.mean_similarity(texts, "pos", F.col("text"), tx.words(F.col("text")), embed=embed)
+    assert mean.first()[0] == pytest.approx(1.0)
     assert similarity.mean_similarity(texts.limit(0), "pos", F.col("text"), tx.words(F.col("text"))).first()[0] == 0.0
 
 

@@ -88,3 +88,24 @@ def test_breadcrumb_is_a_class_of_its_own(spark):
     df = spark.createDataFrame([(i, f"<html><body>{h}</body></html>") for i, h in enumerate(html)], "page_id int, html string")
     got = {r.page_id: r.category for r in pages.with_fields(df).collect()}
     assert [got[i] for i in range(4)] == [None, "yes", "too", None]
+
+
+def test_a_limit_opens_few_files(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"part {i:04d}.jsonl").write_text("".join(f'{{"text": "{i}-{k}"}}\n' for k in range(10)))
+    path = str(tmp_path)
+    files = jsonl.prefix_files(spark, path, 95)
+    assert len(files) <= 16 and files[0].endswith("part 0000.jsonl")
+    texts = [r.text for r in jsonl.read_texts(spark, path, "lenient", max_records=95).orderBy("pos").collect()]
+    assert texts == [f"{n // 10}-{n % 10}" for n in range(95)]
+    assert len(jsonl.prefix_files(spark, path, 10_000)) == 300
+
+
+def test_abbreviations_from_a_table(spark):
+    from wordloom.functions import text as tx
+
+    table = spark.createDataFrame([(2, "b", "$1"), (1, "a.", "\\b"), (3, None, "x"), (4, "", "x"), (5, "c", None)], "ord int, short string, full string")
+    df = spark.createDataFrame([("a. b c d",)], "text string")
+    rows = tx.rule_table(table)
+    assert rows == [("a.", "\\b"), ("b", "$1"), ("c", "")]
+    assert df.select(tx.expand_abbreviations(F.col("text"), rows)).first()[0] == "\\$1 $1  d"

@@ -222,6 +222,25 @@ def _abbreviation_regex(short: str) -> str:
     return left + body + right
 
 
+def _quoted(replacement: str) -> str:
+    """A replacement in which ``$`` and a backslash stand for themselves."""
+    return replacement.replace("\\", "\\\\").replace("$", "\\$")
+
+
+#: A rule table becomes part of an expression, so it is of the size of a list that people write.
+MOST_RULES = 2_000
+
+
+def rule_table(table: DataFrame, short: str = "short", full: str = "full", order: str = "ord") -> list[tuple[str, str]]:
+    """An (abbreviation, expansion) table, in its order, for :func:`expand_abbreviations`; rows without an abbreviation
+    don't count, a null expansion is empty."""
+    rows = table.filter(F.col(short).isNotNull() & (F.col(short) != "")).orderBy(order, short).select(
+        short, F.coalesce(full, F.lit(""))).limit(MOST_RULES + 1).collect()
+    if len(rows) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
+    return [(r[0], r[1]) for r in rows]
+
+
 def expand_abbreviations(
     text: Column, table: Sequence[tuple[str, str]] = tuple(rules.ABBREVIATIONS_RU)
 ) -> Column:
@@ -241,7 +260,7 @@ def expand_abbreviations(
     def expand(t: Column) -> Column:
         out = t
         for short, full in table:
-            out = F.regexp_replace(out, "(?iu)" + _abbreviation_regex(short), full)
+            out = F.regexp_replace(out, "(?iu)" + _abbreviation_regex(short), _quoted(full))
         return F.when(F.rlike(t, F.lit(any_of)), out).otherwise(t)
 
     return let(text, expand)

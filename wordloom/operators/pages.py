@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordloom import rules
@@ -58,82 +60,163 @@ def _element(html: Column, tag: str) -> Column:
     return F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1)
 
 
+# The opening tag of an element of the breadcrumb class.
 _CRUMB = (
     r"(?is)<([a-z][a-z0-9]*)\b[^>]*\bclass\s*=\s*(?:\"(?:[^\"]*\s)?breadcrumbs?(?:\s[^\"]*)?\""
-    r"|'(?:[^']*\s)?breadcrumbs?(?:\s[^']*)?')[^>]*>(.*?)</\1\s*>"
+    r"|'(?:[^']*\s)?breadcrumbs?(?:\s[^']*)?')[^>]*>"
 )
 
 
-def raw_fields(html: Column, body: Column) -> Column:
-    """The pieces of a page that its title, date and category are read from, still
-    encoded, as one string: decoding then costs one call per page."""
+def balanced(html: Column, opening: str) -> Column:
+    """The first element whose opening tag matches, from that tag up to its own closing tag; null if there
+    is none or it is never closed.
+
+    ``opening`` is a pattern with the tag's name as its first group. The page is cut before every tag of
+    that name, and a fold counts how deep each cut is: the element ends where the count is back at nought.
+    """
+    def element(page: Column) -> Column:
+        rest = F.substr(page, F.regexp_instr(page, F.lit(opening)))
+        name = F.regexp_extract(page, opening, 1)
+        return let(F.split(rest, F.concat(F.lit("(?i)(?=</?"), name, F.lit("[\\s/>])"))), closed)
+
+    def closed(parts: Column) -> Column:
+        def step(state: Column, part: Column) -> Column:
+            depth = state["depth"] + F.when(part.startswith("</"), -1).when(part.startswith("<"), 1).otherwise(0)
+            return F.struct(
+                depth.alias("depth"), (state["at"] + 1).alias("at"),
+                F.coalesce(state["end"], F.when(depth == 0, state["at"])).alias("end"))
+
+        start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("end"))
+        end = F.aggregate(parts, start, step, lambda state: state["end"])
+        return F.array_join(F.slice(parts, F.lit(1), end), "")
+
+    return let(html, lambda page: F.when(F.rlike(page, F.lit(opening)), element(page)))
+
+
+FIELDS = ("title", "date", "category")
+
+
+def raw_fields(html: Column, body: Column, fields: Sequence[str] = FIELDS) -> Column:
+    """The pieces of a page that the named fields are read from, still encoded, as one string: decoding
+    then costs one call per page. Pieces of other fields aren't looked for."""
     page = drop_comments(html)
     when_has = lambda pattern, value: F.when(F.rlike(value, F.lit(pattern)), value)
-    return F.array_join(F.array(
-        _meta(page, _key(["property", "name"], "og:title")),
-        _marked(_element(page, "h1")),
-        _marked(_element(when_has(r"(?i)<title[\s>]", page), "title")),
-        _meta(body, _key(["property", "name"], "article:published_time") + "|"
-              + _key(["itemprop"], "datePublished")),
-        _attribute(F.regexp_extract(body, r"(?is)<time(?:\s[^>]*)?>", 0), "datetime"),
-        _marked(_element(body, "time")),
-        F.regexp_extract(F.regexp_replace(body, _ANY_TAG, " "), rules.ISO_DATE, 0),
-        _meta(body, _key(["property", "name"], "article:section")),
-        _marked(F.regexp_extract(when_has(_CRUMB, body), _CRUMB, 2)),
-    ), _FIELD, _NULL)
-
-
-def parse_fields(decoded: Column) -> Column:
-    """struct(title, date_raw, date_ts, category) of decoded :func:`raw_fields`."""
-    def build(parts: Column) -> Column:
-        def part(i: int) -> Column:
-            return F.nullif(F.get(parts, F.lit(i)), F.lit(_NULL))
+    pieces = {
+        "title": lambda: [
+            _meta(page, _key(["property", "name"], "og:title")),
+            _marked(_element(page, "h1")),
+            _marked(_element(when_has(r"(?i)<title[\s>]", page), "title")),
+        ],
+        "date": lambda: [
+            _meta(body, _key(["property", "name"], "article:published_time") + "|"
+                  + _key(["itemprop"], "datePublished")),
+            _attribute(F.regexp_extract(body, r"(?is)<time(?:\s[^>]*)?>", 0), "datetime"),
+            _marked(_element(body, "time")),
+            F.regexp_extract(F.regexp_replace(body, _ANY_TAG, " "), rules.ISO_DATE, 0),
+        ],
+        "category": lambda: [
+            _meta(body, _key(["property", "name"], "article:section")),
+            _marked(balanced(body, _CRUMB)),
+        ],
+    }
+    return F.array_join(F.array(*[piece for f in FIELDS if f in fields for piece in pieces[f]()]), _FIELD, _NULL)
+
+
+def parse_fields(decoded: Column, fields: Sequence[str] = FIELDS) -> Column:
+    """The named fields of decoded :func:`raw_fields` as a struct; a date is ``(raw, local, zone)``."""
+    sizes = {"title": 3, "date": 4, "category": 2}
 
+    def build(parts: Column) -> Column:
         filled = lambda c: F.nullif(c, F.lit(""))
-        candidates = F.array(
-            tx.trim_ws(part(3)), F.coalesce(part(4), filled(node_text(part(5), ""))), filled(part(6))
-        )
-        dates = F.filter(
-            F.transform(candidates, lambda c: F.struct(c.alias("raw"), parse_date(c).alias("ts"))),
-            lambda d: d["ts"].isNotNull(),
-        )
-        return F.struct(
-            # og:title, else the first <h1>, else <title>, else null
-            F.coalesce(tx.trim_ws(part(0)), filled(node_text(part(1), "")),
-                       node_text(part(2), "")).alias("title"),
-            F.get(dates, F.lit(0)).alias("date"),
-            # article:section, else the text of the breadcrumb element, else null
-            F.coalesce(tx.trim_ws(part(7)), node_text(part(8))).alias("category"),
-        )
+        first, out = 0, []
+        for f in FIELDS:
+            if f not in fields:
+                continue
+            part = lambda i, at=first: F.nullif(F.get(parts, F.lit(at + i)), F.lit(_NULL))
+            first += sizes[f]
+            if f == "title":
+                # og:title, else the first <h1>, else <title>, else null
+                out.append(F.coalesce(tx.trim_ws(part(0)), filled(node_text(part(1), "")), node_text(part(2), "")).alias(f))
+            elif f == "date":
+                candidates = F.array(tx.trim_ws(part(0)), F.coalesce(part(1), filled(node_text(part(2), ""))), filled(part(3)))
+                dates = F.filter(
+                    F.transform(candidates, lambda c: F.struct(c.alias("raw"), read_date(c).alias("when"))),
+                    lambda d: d["when"]["local"].isNotNull())
+                out.append(F.get(dates, F.lit(0)).alias(f))
+            else:
+                # article:section, else the text of the breadcrumb element, else null
+                out.append(F.coalesce(tx.trim_ws(part(0)), node_text(part(1))).alias(f))
+        return F.struct(*out)
 
     return let(F.split(decoded, _FIELD), build)
 
 
-def with_fields(pages: DataFrame, html: str = "html", body: str | None = None) -> DataFrame:
-    """Add ``title``, ``date_raw``, ``date_ts`` and ``category``.
+def with_fields(pages: DataFrame, html: str = "html", body: str | None = None, fields: Sequence[str] = FIELDS) -> DataFrame:
+    """Add the named fields: ``title``, ``category``, and for the date ``date_raw``, ``date_local`` (as the page
+    says it), ``date_zone`` (its offset from UTC, null where the page names none) and ``date_ts`` (the moment).
 
     The date comes from the meta tag, else the <time> element, else an ISO date in
     the text: the first that parses. Date and category are read after boilerplate
     removal, the title before it.
     """
     out = pages if body else bind(pages, "_body", strip_boilerplate(F.col(html)))
-    out = tx.bind_unescaped(out, "_raw", raw_fields(F.col(html), F.col(body or "_body")))
-    out = bind(out, "_f", parse_fields(F.col("_raw")))
-    out = out.withColumns({
-        "title": F.col("_f.title"), "date_raw": F.col("_f.date.raw"),
-        "date_ts": F.col("_f.date.ts"), "category": F.col("_f.category"),
-    })
-    return out.drop("_raw", "_f", "_body")
+    out = tx.bind_unescaped(out, "_raw", raw_fields(F.col(html), F.col(body or "_body"), fields))
+    out = bind(out, "_f", parse_fields(F.col("_raw"), fields))
+    added = {f: F.col(f"_f.{f}") for f in ("title", "category") if f in fields}
+    if "date" in fields:
+        local, zone = F.col("_f.date.when.local"), F.col("_f.date.when.zone")
+        added |= {
+            "date_raw": F.col("_f.date.raw"), "date_local": local, "date_zone": zone,
+            "date_ts": F.try_to_timestamp(F.concat(local, F.coalesce(zone, F.lit("+00:00"))), F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
+        }
+    return out.withColumns(added).drop("_raw", "_f", "_body")
+
+
+_TIME = r"(?:[T,\s]+(?:(?:в|at)\s+)?(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?)?"
+_ZONE = r"\s*(Z|[A-Za-zА-Яа-я]{2,4}|(?:GMT|UTC)?[+-]\d{2}:?\d{2})?"
+_WEEKDAY = r"^(?:[A-Za-zА-Яа-яЁё]+\.?,?\s+)?"
+_MONTH = r"([A-Za-zА-Яа-яЁё]{3,})\.?"
+#: Ways to write a date, and where year, month, day, hour, minute, second and zone are in each.
+_WRITTEN = (
+    (r"^(\d{4})-(\d{2})-(\d{2})" + _TIME + _ZONE + "$", "$1|$2|$3|$4|$5|$6|$7"),
+    (r"^(\d{1,2})[./](\d{1,2})[./](\d{4})" + _TIME + _ZONE + "$", "$3|$2|$1|$4|$5|$6|$7"),
+    (_WEEKDAY + r"(\d{1,2})[.\s-]+" + _MONTH + r"[,\s-]+(\d{4})(?:\s*г(?:ода|\.)?)?" + _TIME + _ZONE + "$", "$3|$2|$1|$4|$5|$6|$7"),
+    (_WEEKDAY + _MONTH + r"\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})" + _TIME + _ZONE + "$", "$3|$1|$2|$4|$5|$6|$7"),
+)
+
+
+def read_date(raw: Column) -> Column:
+    """struct(local, zone) of a written date, nulls if it is none.
+
+    ``local`` is ``yyyy-MM-ddTHH:mm:ss`` as written, ``zone`` its offset such as ``+05:00``. Months may be
+    numbers or English or Russian names, in full or short; zones offsets or common names. A date
+    with a zone that is not known is no date.
+    """
+    def fields_of(text: Column) -> Column:
+        found = F.lit(None).cast("string")
+        for pattern, order in reversed(_WRITTEN):
+            found = F.when(F.rlike(text, F.lit("(?iu)" + pattern)), F.regexp_replace(text, "(?iu)" + pattern, order)).otherwise(found)
+        return F.split(found, r"\|")
 
+    def build(f: Column) -> Column:
+        part = lambda i: F.nullif(F.get(f, F.lit(i)), F.lit(""))
+        months, zones = (F.create_map(*[F.lit(x) for pair in table.items() for x in pair]) for table in (rules.MONTHS, rules.ZONES))
+        month = F.coalesce(part(1).try_cast("int"), F.try_element_at(months, F.substring(F.lower(part(1)), 1, 3)))
+        zone = F.upper(part(6))
+        digits = F.regexp_replace(zone, "^(?:GMT|UTC)(?=[+-])|:", "")
+        offset = F.when(F.rlike(digits, F.lit(r"^[+-]\d{4}$")), F.concat(F.substring(digits, 1, 3), F.lit(":"), F.substring(digits, 4, 2)))
+        offset = F.coalesce(offset, F.try_element_at(zones, zone))
+        number = lambda i: F.coalesce(part(i).try_cast("int"), F.lit(0))
+        local = F.try_make_timestamp_ntz(part(0).try_cast("int"), month, part(2).try_cast("int"), number(3), number(4), number(5))
+        known = zone.isNull() | offset.isNotNull()
+        return F.struct(F.when(known, F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss")).alias("local"), F.when(local.isNotNull(), offset).alias("zone"))
 
-def parse_date(raw: Column) -> Column:
-    return F.coalesce(*[
-        F.try_to_timestamp(raw, F.lit(fmt)) for fmt in rules.DATE_FORMATS
-    ])
+    return let(fields_of(tx.trim_ws(raw)), build)
 
 
-def iso_date(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+def iso_date(local: Column, zone: Column) -> Column:
+    """ISO 8601 with the offset where there is one."""
+    return F.concat(local, F.coalesce(zone, F.lit("")))
 
 
 # A paragraph ends at the next <p>, or where an enclosing block ends.
@@ -180,7 +263,7 @@ def articles(
         return out.drop("_body", html)
     out = with_fields(out, html, "_body")
     return out.withColumns({
-        "title": F.coalesce("title", F.lit("")), "date": iso_date(F.col("date_ts")),
+        "title": F.coalesce("title", F.lit("")), "date": iso_date(F.col("date_local"), F.col("date_zone")),
     }).drop("_body", html)
 
 

@@ -23,7 +23,7 @@ def _pages(spark, d):
 
 @query("page_title", f"SELECT page_id, {_TITLE} AS title FROM pages")
 def page_title(spark, d):
-    return pg.with_fields(_pages(spark, d)).select("page_id", "title")
+    return pg.with_fields(_pages(spark, d), fields=["title"]).select("page_id", "title")
 
 
 @query("page_strip_boilerplate", f"SELECT page_id, {_BODY} AS body FROM pages")
@@ -39,44 +39,60 @@ def page_paragraphs(spark, d):
 
 # The pages carry no dates and no sections: marks computed from page_id are put in
 # front of the html, one kind of mark per residue.
+_EN = "January February March April May June July August September October November December".split()
+_RU = "января февраля марта апреля мая июня июля августа сентября октября ноября декабря".split()
+
+
 def _dated(spark, d):
-    iso = F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id") * 3661),
-                        "yyyy-MM-dd'T'HH:mm:ss")
-    mark = (
-        F.when(F.col("page_id") % 5 == 0, F.format_string(
-            '<meta property="article:published_time" content="%s">', iso))
-        .when(F.col("page_id") % 5 == 1, F.format_string(
-            '<meta itemprop="datePublished" content="soon"><time datetime="%s">x</time>', iso))
-        .when(F.col("page_id") % 5 == 2, F.format_string("<time>%s</time>", F.substring(iso, 1, 10)))
-        .when(F.col("page_id") % 5 == 3, F.format_string("<div>at %s UTC</div>", iso))
-        .otherwise(F.lit(""))
-    )
+    ts = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id") * 3661)
+    iso = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    meta = '<meta property="article:published_time" content="%s">'
+    month = lambda names: F.get(F.array(*[F.lit(n) for n in names]), F.month(ts) - 1)
+    clock, day, year = F.date_format(ts, "HH:mm:ss"), F.dayofmonth(ts), F.year(ts)
+    marks = [
+        F.format_string(meta, iso),
+        F.format_string('<meta itemprop="datePublished" content="soon"><time datetime="%s">x</time>', iso),
+        F.format_string("<time>%s</time>", F.substring(iso, 1, 10)),
+        F.format_string("<div>at %s UTC</div>", iso),
+        F.lit(""),
+        F.format_string(meta, F.concat(iso, F.lit("+05:00"))),
+        F.format_string(meta, F.format_string("Tue, %02d %s %d %s GMT", day, F.substring(month(_EN), 1, 3), year, clock)),
+        F.format_string("<time>%s</time>", F.format_string("%d %s %d г., %s МСК", day, month(_RU), year, F.substring(clock, 1, 5))),
+        F.format_string("<time>%s</time>", F.format_string("%s %d, %d", month(_EN), day, year)),
+        F.format_string(meta, F.format_string("%s 25:61 +0300", F.substring(iso, 1, 10))),
+    ]
+    mark = F.get(F.array(*marks), (F.col("page_id") % len(marks)).cast("int"))
     return _pages(spark, d).withColumn("html", F.concat(mark, "html"))
 
 
 @query("page_date", """
-    SELECT page_id, CASE WHEN page_id % 5 = 4 THEN NULL
-        WHEN page_id % 5 = 2 THEN strftime(ts, '%Y-%m-%dT00:00:00')
+    SELECT page_id, CASE page_id % 10 WHEN 2 THEN strftime(ts, '%Y-%m-%dT00:00:00') WHEN 4 THEN NULL
+        WHEN 5 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S+05:00') WHEN 6 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00')
+        WHEN 7 THEN strftime(ts, '%Y-%m-%dT%H:%M:00+03:00') WHEN 8 THEN strftime(ts, '%Y-%m-%dT00:00:00') WHEN 9 THEN NULL
         ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS date
     FROM (SELECT page_id, make_timestamp((1700000000 + page_id * 3661) * 1000000) AS ts FROM pages)""")
 def page_date(spark, d):
-    """Dates by priority: meta tag, time element, date in the text."""
-    return pg.with_fields(_dated(spark, d)).select("page_id", pg.iso_date(F.col("date_ts")).alias("date"))
+    """Dates by priority (meta tag, time element, date in the text) and in several ways of writing."""
+    out = pg.with_fields(_dated(spark, d), fields=["date"])
+    return out.select("page_id", pg.iso_date(F.col("date_local"), F.col("date_zone")).alias("date"))
 
 
-@query("page_category", """SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'Sport & Life ' || page_id
-    WHEN 1 THEN 'Home / News ' || page_id END AS category FROM pages""")
+@query("page_category", """SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'Sport & Life ' || page_id
+    WHEN 1 THEN 'Home / News ' || page_id WHEN 2 THEN 'Home News ' || page_id WHEN 3 THEN 'Home Shop A ' || page_id || ' B'
+    END AS category FROM pages""")
 def page_category(spark, d):
-    """Sections as a meta tag, as breadcrumbs, or absent."""
-    mark = (
-        F.when(F.col("page_id") % 3 == 0, F.format_string(
-            '<meta content=" Sport &amp; Life %d" name="article:section">', F.col("page_id")))
-        .when(F.col("page_id") % 3 == 1, F.format_string(
-            '<div class="top breadcrumbs"><a href="/">Home</a> / <b>News %d</b></div>', F.col("page_id")))
-        .otherwise(F.lit(""))
-    )
+    """Sections as a meta tag, as breadcrumbs with elements of their own kind in them, unclosed, or absent."""
+    marks = [
+        '<meta content=" Sport &amp; Life %d" name="article:section">',
+        '<div class="top breadcrumbs"><a href="/">Home</a> / <b>News %d</b></div>',
+        '<div class=\'breadcrumb\'><div>Home</div><DIV><div>News %d</div></DIV></div><div>no</div>',
+        '<ul class="breadcrumb"><li>Home<li>Shop<ul><li>A %d</li></ul><li>B</ul><ul><li>no</ul>',
+        '<section class="breadcrumb"><section>never closed %d</section>',
+        "<!-- %d -->",
+    ]
+    mark = F.get(F.array(*[F.format_string(m, F.col("page_id")) for m in marks]), (F.col("page_id") % len(marks)).cast("int"))
     marked = _pages(spark, d).withColumn("html", F.concat(mark, "html"))
-    return pg.with_fields(marked).select("page_id", "category")
+    return pg.with_fields(marked, fields=["category"]).select("page_id", "category")
 
 
 _ARTICLE_TEXT = sql.clean(sql.paragraphs(_BODY), STOP_WORDS, rules.LATIN_EXTRA)
@@ -102,7 +118,7 @@ def articles(spark, d):
 def edit_distance(spark, d):
     """Title against its cleaned form. DuckDB compares bytes, so its side first maps
     the accented letters one to one to single-byte characters."""
-    rows = pg.with_fields(_pages(spark, d)).select("page_id", F.col("title").alias("a"))
+    rows = pg.with_fields(_pages(spark, d), fields=["title"]).select("page_id", F.col("title").alias("a"))
     rows = rows.withColumn("b", tx.clean_text(F.col("a"), stop_words=STOP_WORDS))
     return rows.select("page_id", F.round(
         tx.normalized_edit_distance(F.col("a"), F.col("b")), 6).alias("distance"))

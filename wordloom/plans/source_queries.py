@@ -71,10 +71,16 @@ def scan_strict(spark, d):
     return jsonl.read_texts(spark, _lines_path(spark, d), "strict")
 
 
-@query("scan_jsonl_coerce", f"""SELECT pos, text FROM (
-    SELECT pos, CASE kind WHEN 4 THEN n_chars::VARCHAR ELSE {_TRIM} END AS text FROM {_NUMBERED}
-    WHERE kind <= 4) ORDER BY pos LIMIT 83""")
+_COERCED = f"SELECT pos, CASE kind WHEN 4 THEN n_chars::VARCHAR ELSE {_TRIM} END AS text FROM {_NUMBERED} WHERE kind <= 4"
+
+
+@query("scan_jsonl_coerce", _COERCED)
 def scan_coerce(spark, d):
+    return jsonl.read_texts(spark, _lines_path(spark, d), "coerce")
+
+
+@query("scan_jsonl_coerce_limited", f"SELECT pos, text FROM ({_COERCED}) ORDER BY pos LIMIT 83")
+def scan_coerce_limited(spark, d):
     """The limit counts accepted texts."""
     return jsonl.read_texts(spark, _lines_path(spark, d), "coerce", max_records=83)
 

@@ -52,6 +52,18 @@ _documents("mask_patterns", tx.mask_patterns,
            sql.mask_emails(sql.mask_urls(sql.mask_numbers("text"))))
 _documents("expand_abbreviations", lambda t: tx.expand_abbreviations(t, ABBREVIATIONS),
            sql.abbreviations("text", ABBREVIATIONS))
+_RULES = [("e.g.", "for $1 example"), ("in", "\\\\in"), ("de", "[de]")]
+
+
+@query("abbreviation_table", f"SELECT doc_id, {sql.abbreviations('text', _RULES)} AS text FROM documents")
+def abbreviation_table(spark, d):
+    """The rules as a table, with replacements that hold a dollar sign and a backslash."""
+    rows = [(i, s, f) for i, (s, f) in enumerate(_RULES)]
+    rules_df = spark.createDataFrame(rows[::-1], "ord int, short string, full string")
+    text = tx.expand_abbreviations(F.col("text"), tx.rule_table(rules_df))
+    return table(spark, d, "documents").select("doc_id", text.alias("text"))
+
+
 _documents("preprocess_default", tx.preprocess, sql.preprocess("text"))
 _documents("preprocess_mask_first", lambda t: tx.preprocess(t, order="mask_first"),
            sql.preprocess_mask_first("text"))

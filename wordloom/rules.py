@@ -94,11 +94,19 @@ ARTICLE_MIN_WORDS = 100
 CORPUS_WORD_BUDGET = 55_000
 MEDIA_EXTENSIONS = ["jpg", "jpeg", "png", "gif", "pdf", "zip"]
 ISO_DATE = r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
-DATE_FORMATS = [
-    "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX", "yyyy-MM-dd'T'HH:mm:ssZ", "yyyy-MM-dd'T'HH:mm:ss[.SSS]",
-    "yyyy-MM-dd'T'HH:mmXXX", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd", "dd.MM.yyyy HH:mm", "dd.MM.yyyy", "dd/MM/yyyy",
-]
+# First three letters of English and Russian month names.
+MONTHS = {
+    "jan": 1, "feb": 2, "mar": 3, "apr": 4, "may": 5, "jun": 6,
+    "jul": 7, "aug": 8, "sep": 9, "oct": 10, "nov": 11, "dec": 12,
+    "янв": 1, "фев": 2, "мар": 3, "апр": 4, "май": 5, "мая": 5, "июн": 6,
+    "июл": 7, "авг": 8, "сен": 9, "окт": 10, "ноя": 11, "дек": 12,
+}
+ZONES = {
+    "Z": "+00:00", "UTC": "+00:00", "GMT": "+00:00", "UT": "+00:00",
+    "MSK": "+03:00", "МСК": "+03:00", "CET": "+01:00", "CEST": "+02:00",
+    "EST": "-05:00", "EDT": "-04:00", "CST": "-06:00", "CDT": "-05:00",
+    "MST": "-07:00", "MDT": "-06:00", "PST": "-08:00", "PDT": "-07:00",
+}
 
 # --- fixed values: subword models ----------------------------------------------------------
 UNK = "[UNK]"

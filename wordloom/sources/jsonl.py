@@ -9,6 +9,8 @@ Numbers such as ``NaN`` that are not JSON make the line malformed.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wordloom.functions import text as tx
@@ -20,7 +22,7 @@ from wordloom.session import materialize
 _OTHER_BREAKS = "[\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(line, file, split, seq)`` in which ``(file, split, seq)`` is the physical order.
 
     A file split is read in sequence by one task, so the task-local running id is
@@ -34,6 +36,21 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def prefix_files(spark: SparkSession, path: str, n: int) -> list[str]:
+    """The first files, by name, that hold ``n`` lines together; all of them if there are fewer lines.
+
+    Files are counted one after the other, then twice as many at a time, until the lines are found, so
+    the others are listed but not opened.
+    """
+    files = [unquote(f) for f in sorted(spark.read.text(path).inputFiles())]
+    taken, found, step = 0, 0, 1
+    while taken < len(files) and found < n:
+        found += spark.read.text(files[taken:taken + step]).count()
+        taken += step
+        step *= 2
+    return files[:taken]
+
+
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``pos``, the dense 0-based line number over all files.
 
@@ -134,8 +151,9 @@ def read_texts(
     """
     if mode not in ("lenient", "strict", "coerce"):
         raise ValueError(f"unknown mode {mode!r}")
-    lines = number_lines(read_lines(spark, path))
-    if mode == "lenient" and max_records:
+    prefix = mode == "lenient" and max_records
+    lines = number_lines(read_lines(spark, prefix_files(spark, path, max_records) if prefix else path))
+    if prefix:
         lines = lines.filter(F.col("pos") < max_records)
     if mode == "coerce":
         # A line cut by a rare break stays one position; pieces keep their order there.
