@@ -66,6 +66,8 @@ def test_tokenizers_golden(apply):
         ["«(", "Привет", "),»", "a", "-", "b", "...", "it", "'", "s", "!", "12", ",", "5"],
         ["Ёж", "-", "ик", "don", "'", "t", "x_y", "3d"]]
     assert apply(tk.rule_tokens, ["Кто-то, 3.14!"]) == [["Кто-то", ",", "3.14", "!"]]
+    assert apply(tk.sentence_tokens, ["Это дом, т.е. 3.5 м... Don't go-on! (U.S.A.) 10:30", None, ""]) == [
+        ["Это", "дом", ",", "т.е.", "3.5", "м", "...", "Don't", "go-on", "!", "(", "U.S.A.", ")", "10:30"], None, []]
     assert apply(tk.sentence_words, ["Это дом. Тут он!"]) == [["Это", "дом", "Тут", "он"]]
     with pytest.raises(ValueError):
         tk.resolve("nope")

@@ -40,6 +40,21 @@ def rule_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(RULES_PATTERN), 0)
 
 
+SENTENCE_PATTERN = (
+    r"(?:\p{L}{1,3}\.){2,}"
+    r"|\p{Nd}++(?:[.,:]\p{Nd}++)*+"
+    r"|\p{L}[\p{L}\p{M}\p{Nd}]*+(?:['’-]\p{L}[\p{L}\p{M}\p{Nd}]*+)*+"
+    r"|\.{2,}"
+    rf"|[^{rules.WS}]"
+)
+
+
+def sentence_tokens(text: Column) -> Column:
+    """Words and punctuation of running text: dotted abbreviations, numbers, words with their inner
+    apostrophes and hyphens and runs of full stops stay whole; any other mark is a token, also at the end of a sentence."""
+    return F.regexp_extract_all(text, F.lit(SENTENCE_PATTERN), 0)
+
+
 def sentence_words(text: Column, language: str = "ru", country: str = "RU") -> Column:
     """Locale-aware sentences, then words; punctuation is dropped."""
     return F.flatten(F.sentences(text, F.lit(language), F.lit(country)))
@@ -60,7 +75,7 @@ def subword_pretokens(text: Column) -> Column:
 TOKENIZERS: dict[str, Tokenizer] = {
     "naive": naive,
     "regex": regex_words,
-    "sentences": sentence_words,
+    "sentences": sentence_tokens,
     "rules": rule_tokens,
     "wordpunct": wordpunct,
 }

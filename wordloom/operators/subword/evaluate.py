@@ -16,7 +16,7 @@ from wordloom.operators import stats
 from wordloom.operators.subword.encode import Shared
 from wordloom.operators.subword.model import SubwordModel
 from wordloom.operators.subword.types import space_word_types, word_types
-from wordloom.session import materialize
+from wordloom.session import materialize, spread
 
 
 def word_counts(df: DataFrame, models: Mapping[str, SubwordModel], text: str = "text", shared: Shared | None = None) -> DataFrame:
@@ -50,7 +50,7 @@ def reconstruction(
     shared = shared or Shared(df.sparkSession, models)
     pretokens = tk.subword_pretokens(F.col(text))
     line = F.array_join(pretokens, "") if lossless else F.col(text)
-    lines = df.select(shared.restored(pretokens, F.coalesce(line, F.lit("")), lossless).alias("x"))
+    lines = spread(df.select(text)).select(shared.restored(pretokens, F.coalesce(line, F.lit("")), lossless).alias("x"))
     return lines.groupBy("x.model").agg(
         F.count("*").alias("total_lines"),
         stats.ratio(F.count_if("x.back.same"), F.count("*")).alias("reconstruction_exact_frac"),

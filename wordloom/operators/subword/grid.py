@@ -34,6 +34,19 @@ def train_all(
     return {f"{kind}_v{size}": model for kind, models in zip(kinds, trained) for size, model in models.items()}
 
 
+def trained_grid(
+    df: DataFrame, sizes: Sequence[int], min_frequency: int, text: str, kinds: Sequence[str], root: str,
+) -> dict[str, SubwordModel]:
+    """The grid's models, trained and saved under ``root`` or read from there if it holds them."""
+    def train() -> dict[str, SubwordModel]:
+        types, path = store(word_types(df, text), "types")
+        models = train_all(types, sizes, min_frequency, kinds)
+        discard(df.sparkSession, path)
+        return models
+
+    return registry.trained(df.sparkSession, root, train)
+
+
 def training_grid(
     df: DataFrame,
     sizes: Sequence[int] = tuple(rules.VOCAB_SIZES),
@@ -47,14 +60,8 @@ def training_grid(
     there if it holds them; ``model_file`` says where each one is."""
     spark = df.sparkSession
 
-    def train() -> dict[str, SubwordModel]:
-        types, path = store(word_types(df, text), "types")
-        models = train_all(types, sizes, min_frequency, kinds)
-        discard(spark, path)
-        return models
-
     root = root or new_path(spark, "models")
-    models = registry.trained(spark, root, train)
+    models = trained_grid(df, sizes, min_frequency, text, kinds, root)
     metrics = evaluate(df, models, text)
     settings = spark.createDataFrame(
         [(f"{kind}_v{size}", kind, size, None if kind == "unigram" else min_frequency, registry.model_folder(root, f"{kind}_v{size}"))

@@ -270,8 +270,9 @@ def model_roundtrip(spark, d):
 @query("model_registry")
 def model_registry(spark, d):
     """What the registry of the full-size grid holds."""
-    training_grid(spark, d)
-    return registry.listed(spark, _root(spark, d, "grid"))
+    root = _root(spark, d, "grid")
+    grid.trained_grid(_docs(spark, d), rules.VOCAB_SIZES, rules.MIN_FREQUENCY, "text", md.KINDS, root)
+    return registry.listed(spark, root)
 
 
 def _grid(spark, d):

@@ -52,10 +52,11 @@ _documents("mask_patterns", tx.mask_patterns,
            sql.mask_emails(sql.mask_urls(sql.mask_numbers("text"))))
 _documents("expand_abbreviations", lambda t: tx.expand_abbreviations(t, ABBREVIATIONS),
            sql.abbreviations("text", ABBREVIATIONS))
-_RULES = [("e.g.", "for $1 example"), ("in", "\\\\in"), ("de", "[de]")]
+_RULES = [("e.g.", "for $1 example"), ("in", "\\in"), ("de", "[de]")]
+_SQL_RULES = [(s, f.replace("\\", "\\\\")) for s, f in _RULES]
 
 
-@query("abbreviation_table", f"SELECT doc_id, {sql.abbreviations('text', _RULES)} AS text FROM documents")
+@query("abbreviation_table", f"SELECT doc_id, {sql.abbreviations('text', _SQL_RULES)} AS text FROM documents")
 def abbreviation_table(spark, d):
     """The rules as a table, with replacements that hold a dollar sign and a backslash."""
     rows = [(i, s, f) for i, (s, f) in enumerate(_RULES)]

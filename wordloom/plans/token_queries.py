@@ -46,7 +46,9 @@ _tokens("tok_regex_default", tk.regex_words,
         f"regexp_extract_all(text, {sql.text(sql.plain_regex(tk.regex_pattern()))})")
 _tokens("tok_rules", tk.rule_tokens, _RULES)
 _tokens("tok_wordpunct", tk.wordpunct, sql.wordpunct("text"))
-_tokens("tok_sentences", lambda t: tk.sentence_words(t, "en", "US"), None)
+_SENTENCES = f"regexp_extract_all(text, {sql.text(sql.plain_regex(tk.SENTENCE_PATTERN).replace('[^' + rules.WS + ']', chr(92) + 'S'))})"
+_tokens("tok_sentences", tk.sentence_tokens, _SENTENCES)
+_tokens("tok_sentence_words", lambda t: tk.sentence_words(t, "en", "US"), None)
 
 
 # --- token counts and vocabularies --------------------------------------------------------
@@ -422,7 +424,7 @@ def _grid_sql(name: str) -> str:
 
 SQL_TOKENIZERS = {
     "naive": _NAIVE, "regex": f"regexp_extract_all(text, {sql.text(sql.plain_regex(tk.regex_pattern()))})",
-    "rules": _RULES, "wordpunct": sql.wordpunct("text"),
+    "rules": _RULES, "wordpunct": sql.wordpunct("text"), "sentences": _SENTENCES,
 }
 
 
@@ -437,10 +439,10 @@ def grid_oracle(*names: str) -> str:
 
 @query("tokenizer_grid", grid_oracle(*SQL_TOKENIZERS))
 def tokenizer_grid(spark, d):
-    """Four tokenizers without normalization: vocabulary size and OOV rate."""
+    """Five tokenizers without normalization: vocabulary size and OOV rate."""
     out = grid.compare(
         table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text",
-        tokenizers=["naive", "regex", "rules", "wordpunct"], normalizers=["none"], similarity=False)
+        tokenizers=list(SQL_TOKENIZERS), normalizers=["none"], similarity=False)
     return _rounded(out, "oov_pct")
 
 
@@ -474,7 +476,7 @@ def grid_similarity_oracle() -> str:
 
 @query("tokenizer_grid_similarity", grid_similarity_oracle())
 def tokenizer_grid_similarity(spark, d):
-    """What SQL can say of the full grid: four tokenizers, plain and with lemmas, similarity included."""
+    """What SQL can say of the full grid: all tokenizers, plain and with lemmas, similarity included."""
     docs = table(spark, d, "documents").select("doc_id", "text")
     out = grid.compare(docs, "doc_id", "text", list(SQL_TOKENIZERS), ["none"], _lemmas(spark, d))
     return _rounded(out, "oov_pct", "semantic_similarity")

@@ -80,6 +80,12 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` on as many partitions as there are cores, if it has fewer: for heavy work on rows of a few files."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 # Python work per row is heavy next to the size of a row, so tasks of the iterative
 # trainers are sized by rows, not by bytes.
 _ROWS_PER_TASK = 8_000
