@@ -315,6 +315,20 @@ def test_stop_word_join_small_and_large(spark, monkeypatch, bound):
     assert sorted((r.pos, r.idx, r.token) for r in rows) == want
 
 
+def test_sketches_unite(spark, documents):
+    words = tx.words(F.col("text"))
+    exact = vb.vocabulary_size(documents, words).first()[0]
+    halves = documents.withColumn("half", F.col("doc_id") % 2)
+    parts = vb.vocabulary_sketches(halves, words, ["half"])
+    united = vb.united_vocabulary_size(parts).first()[0]
+    whole = vb.united_vocabulary_size(vb.vocabulary_sketches(documents, words)).first()[0]
+    # One set of tokens, but a sketch estimates otherwise than a union of sketches.
+    assert abs(united - whole) < 0.01 * exact
+    assert all(abs(n - exact) < 4 * 0.008 * exact for n in (united, whole))
+    assert {r.half for r in vb.united_vocabulary_size(parts, ["half"]).collect()} == {0, 1}
+    assert vb.united_vocabulary_size(parts.limit(0)).first()[0] == 0
+
+
 def test_approximate_vocabulary_size(documents):
     words = tx.words(F.col("text"))
     exact = vb.vocabulary_size(documents, words).first()[0]

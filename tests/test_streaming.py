@@ -1,5 +1,7 @@
 """Streams give what the batch gives."""
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as tx
@@ -39,3 +41,8 @@ def test_counters(spark, tmp_path):
     jobs.publish_totals(totals, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
     row = jobs.read_totals(spark, str(tmp_path / "out")).first()
     assert (row.total_articles, row.total_words) == (4, 9)
+
+
+def test_totals_of_no_batch(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        jobs.read_totals(spark, str(tmp_path / "none"))

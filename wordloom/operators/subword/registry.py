@@ -62,8 +62,12 @@ def load_all(spark: SparkSession, root: str, names: list[str] | None = None) ->
     }
 
 
+#: To be raised when training gives other models from the same data.
+TRAINING = 1
+
+
 def root_for(spark: SparkSession, *key) -> str:
-    digest = hashlib.sha256(repr(key).encode()).hexdigest()[:24]
+    digest = hashlib.sha256(repr((TRAINING, *key)).encode()).hexdigest()[:24]
     return f"{work_root(spark)}/wordloom/models-{digest}"
 
 

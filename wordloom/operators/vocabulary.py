@@ -51,6 +51,22 @@ def vocabulary_size(df: DataFrame, tokens: Column, approximate: bool = False) ->
     return vocabulary(df, tokens).agg(F.count("*").alias("vocab_size"))
 
 
+#: log2 of the registers of a sketch: a standard error of 0.8 %, 16 kB.
+SKETCH_BITS = 14
+
+
+def vocabulary_sketches(df: DataFrame, tokens: Column, by: Sequence[str] = ()) -> DataFrame:
+    """(by, sketch): a HyperLogLog sketch of each group's lowercased tokens, to be stored and united later."""
+    rows = token_rows(df, tokens, *by).filter(F.col("token") != "")
+    return rows.groupBy(*by).agg(F.hll_sketch_agg(F.lower("token"), F.lit(SKETCH_BITS)).alias("sketch"))
+
+
+def united_vocabulary_size(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, vocab_size): about how many distinct tokens there are in all sketches of a group together."""
+    union = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    return sketches.groupBy(*by).agg(F.coalesce(union, F.lit(0)).alias("vocab_size"))
+
+
 def unseen_tokens(test: DataFrame, train: DataFrame) -> DataFrame:
     """Vocabulary of ``test`` that ``train`` lacks; both are ``(token)`` tables."""
     return test.join(train, "token", "left_anti")

@@ -51,25 +51,26 @@ def forget_models(spark, d) -> None:
 
 
 # Symbols are written between the marks chr(1) and chr(2), so that replacing the text of
-# two neighbours by the text of their union is one merge, left to right.
+# two neighbours by the text of their union is one merge, left to right. Five digits in front of each
+# stand for the order in which symbols came to be, by which ties are broken.
 _TYPES = f"""(SELECT word, count(*)::BIGINT AS cnt FROM (
     SELECT unnest({sql.wordpunct("replace(text, chr(10), ' ')")}) AS word FROM documents) GROUP BY word)"""
 
 
 def _training(kind: str) -> str:
     tail = "'##'" if kind == "wordpiece" else "''"
-    cut = "substr(p.r, 3)" if kind == "wordpiece" else "p.r"
+    cut = "substr(p.r, 8)" if kind == "wordpiece" else "substr(p.r, 6)"
     tails = "UNION ALL SELECT DISTINCT '##' || unnest((regexp_extract_all(word, '(?s).'))[2:]) FROM types" if tail != "''" else ""
     return f"""WITH RECURSIVE types AS MATERIALIZED {_TYPES},
     room AS MATERIALIZED (SELECT {_SIZES[kind]} - 1 - count(*) AS n FROM (
         SELECT DISTINCT unnest(regexp_extract_all(word, '(?s).')) AS c FROM types {tails})),
     steps AS (
         SELECT 0 AS it, word, cnt, chr(1) || array_to_string(list_transform(
-            regexp_extract_all(word, '(?s).'), lambda c, i: CASE WHEN i > 1 THEN {tail} ELSE '' END || c),
+            regexp_extract_all(word, '(?s).'), lambda c, i: CASE WHEN i > 1 AND {tail} <> '' THEN '00001' || {tail} ELSE '00000' END || c),
             chr(2) || chr(1)) || chr(2) AS syms, ''::VARCHAR AS l, ''::VARCHAR AS r, 0::BIGINT AS c FROM types
         UNION ALL
         SELECT s.it + 1, s.word, s.cnt, replace(s.syms, chr(1) || p.l || chr(2) || chr(1) || p.r || chr(2),
-            chr(1) || p.l || {cut} || chr(2)), p.l, p.r, p.c
+            chr(1) || lpad((s.it + 2)::VARCHAR, 5, '0') || substr(p.l, 6) || {cut} || chr(2)), p.l, p.r, p.c
         FROM steps s, (
             SELECT l, r, sum(cnt)::BIGINT AS c FROM (
                 SELECT cnt, unnest(y[:-2]) AS l, unnest(y[2:]) AS r FROM (
@@ -79,7 +80,7 @@ def _training(kind: str) -> str:
 
 
 def _symbols(x: str = "syms") -> str:
-    return f"string_split({x}[2:-2], chr(2) || chr(1))"
+    return f"list_transform(string_split({x}[2:-2], chr(2) || chr(1)), lambda y: substr(y, 6))"
 
 
 _BPE_FINAL = f"{_training('bpe')}, enc AS MATERIALIZED (SELECT word, cnt, {_symbols()} AS tokens FROM steps WHERE it = (SELECT n FROM room))"
@@ -102,21 +103,21 @@ def _merge_rows(spark, model):
     return md.merges_table(spark, model).select("rank", "left", "right")
 
 
-@query("bpe_merges", f"{_training('bpe')} SELECT DISTINCT it::BIGINT - 1 AS rank, l AS left, r AS right "
+@query("bpe_merges", f"{_training('bpe')} SELECT DISTINCT it::BIGINT - 1 AS rank, substr(l, 6) AS left, substr(r, 6) AS right "
        "FROM steps WHERE it > 0")
 def bpe_merges(spark, d):
     return _merge_rows(spark, _model(spark, d, "bpe"))
 
 
-@query("wordpiece_merges", f"{_training('wordpiece')} SELECT DISTINCT it::BIGINT - 1 AS rank, l AS left, "
-       "r AS right FROM steps WHERE it > 0")
+@query("wordpiece_merges", f"{_training('wordpiece')} SELECT DISTINCT it::BIGINT - 1 AS rank, substr(l, 6) AS left, "
+       "substr(r, 6) AS right FROM steps WHERE it > 0")
 def wordpiece_merges(spark, d):
     return _merge_rows(spark, _model(spark, d, "wordpiece"))
 
 
 _WP_VOCAB = """(SELECT DISTINCT unnest(regexp_extract_all(word, '(?s).')) AS token FROM types
     UNION SELECT DISTINCT '##' || unnest((regexp_extract_all(word, '(?s).'))[2:]) FROM types
-    UNION SELECT DISTINCT l || substr(r, 3) FROM steps WHERE it > 0)"""
+    UNION SELECT DISTINCT substr(l, 6) || substr(r, 8) FROM steps WHERE it > 0)"""
 
 
 @query("wordpiece_vocab", f"{_training('wordpiece')} SELECT token FROM {_WP_VOCAB} UNION ALL SELECT '[UNK]'")

@@ -106,6 +106,14 @@ def vocab_size_approx(spark, d):
     return vb.vocabulary_size(table(spark, d, "documents"), _regex(), approximate=True)
 
 
+@query("vocab_size_sketches")
+def vocab_size_sketches(spark, d):
+    """Sketches by language and source, stored, and united by language."""
+    docs = table(spark, d, "documents")
+    stored = materialize(vb.vocabulary_sketches(docs, _lower_regex(), ["lang", "source"]), "sketches")
+    return vb.united_vocabulary_size(stored, ["lang"])
+
+
 @query("vocabulary", f"SELECT DISTINCT token FROM {_DOC_TOKENS}")
 def vocabulary(spark, d):
     return vb.vocabulary(table(spark, d, "documents"), _regex())

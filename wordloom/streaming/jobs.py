@@ -43,11 +43,26 @@ def append_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parq
     return writer.format(fmt).option("checkpointLocation", checkpoint).start(path)
 
 
+def _files(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _matching(spark: SparkSession, path: str, pattern: str) -> list:
+    """Paths under a folder that match; none if there is no such folder."""
+    found = _files(spark, path).globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}"))
+    return [s.getPath() for s in found or ()]
+
+
 def publish_totals(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Complete-mode results, one folder for each batch; :func:`read_totals` takes the newest
     that is complete, so a crash while one is written loses nothing."""
     def publish(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch-{number:012d}")
+        # The one before stays for readers that are at it; earlier ones are superseded.
+        for done in _matching(batch.sparkSession, path, "batch-*"):
+            if done.getName() < f"batch-{number - 1:012d}":
+                _files(batch.sparkSession, path).delete(done, True)
 
     return (
         stream.writeStream.outputMode("complete").trigger(availableNow=True)
@@ -57,8 +72,7 @@ def publish_totals(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
 
 def read_totals(spark: SparkSession, path: str) -> DataFrame:
     """The totals of the newest batch that was written to its end."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    done = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch-*/_SUCCESS"))
-    newest = max(s.getPath().getParent().toString() for s in done)
-    return spark.read.parquet(newest)
+    done = _matching(spark, path, "batch-*/_SUCCESS")
+    if not done:
+        raise FileNotFoundError(f"no batch is complete yet in {path}")
+    return spark.read.parquet(max(p.getParent().toString() for p in done))
