@@ -80,6 +80,79 @@ def test_disclosing_terms(table_of):
     assert "<TERM>" in mild[10]
 
 
+def test_terms_far_from_the_entity(table_of):
+    filler = " ".join(["about weather and other things of the day"] * 20)
+    far = [f"{w} ask jo@ex.org {filler} for zorblat, {filler} Zorblat" for w in ("please", "never", "always", "do")]
+    texts = far + [f"jo@ex.org and {filler}"] + [f"{w} {filler}" for w in "abcdefghij"] + ["zorblatt without"]
+    out = {r.id: r for r in pii.find_spans(table_of(texts)).collect()}
+    for i, text in enumerate(far):
+        assert [text[t.start:t.end] for t in out[i].terms if text[t.start:t.end].lower() == "zorblat"] == ["zorblat", "Zorblat"]
+    assert not any(out[i].terms for i in range(len(far), len(texts)))
+
+
+def plain(rows, reach, contexts, least):
+    """Terms of each row (start, end, disclosure) by their definition."""
+    import collections
+    import math
+
+    term = re.compile(r"[^\W\d_]{3,}")
+    near, held = [], []
+    for _, text in rows:
+        mine = {}
+        for k, pattern in enumerate(RE):
+            ends = [(m.start(), m.end()) for m in pattern.finditer(text or "")]
+            for i, (a, b) in enumerate(ends):
+                if (a, k, b) not in brute(text):
+                    continue
+                low, high = ends[i - 1][1] if i else 0, ends[i + 1][0] if i + 1 < len(ends) else len(text)
+                digits = re.sub("[^0-9]", "", text[a:b])
+                name = pii.KINDS[k] + ":" + (text[a:b].lower(), text[a:b], digits, digits)[k]
+                around = text[max(low, a - reach):a] + "|" + text[b:min(high, b + reach)]
+                mine[name] = min(mine.get(name, "~"), hashlib.md5(around.encode()).hexdigest())
+        near.append(mine)
+        held.append({m[0].lower() for m in term.finditer(text or "")})
+    n_c = collections.Counter(c for mine in near for c in mine)
+    n_t = collections.Counter(t for terms in held for t in terms)
+    n_ct, seen = collections.Counter(), collections.defaultdict(set)
+    for mine, terms in zip(near, held):
+        for c, context in mine.items():
+            for t in terms:
+                n_ct[c, t] += 1
+                seen[c, t].add(context)
+    told = {}
+    for (c, t), n in n_ct.items():
+        if len(seen[c, t]) >= contexts and n_c[c] < len(rows):
+            told[c, t] = 1 + math.log2(n / n_t[t]) / math.log2(len(rows) / n_c[c])
+    out = []
+    for (_, text), mine in zip(rows, near):
+        spans = []
+        for m in term.finditer(text or ""):
+            d = max((told.get((c, m[0].lower()), -9) for c in mine), default=-9)
+            if d >= least and not any(a < m.end() and m.start() < b for a, _, b in brute(text)):
+                spans.append((m.start(), m.end()))
+        out.append(spans)
+    return out
+
+
+def test_random_corpora_against_the_definition(table_of, monkeypatch):
+    rng = random.Random(8)
+    words = [a + b + c for a in "abc" for b in "defg" for c in ("x", "yz", "Q")]
+    ids = ["jo@ex.org", "10.0.0.1", "4111 1111 1111 1111", "+44 20 7946 0958", "al@ex.org"]
+    texts = []
+    for _ in range(120):
+        topic = rng.randrange(8)
+        some = [rng.choice(words[topic * 4:topic * 4 + 6] if rng.random() < 0.7 else words) for _ in range(rng.randint(0, 30))]
+        if topic < 5 and rng.random() < 0.9:
+            some.insert(rng.randint(0, len(some)), ids[topic])
+        texts.append(", ".join(some))
+    texts += texts[:20] + [None, ""]
+    for hot in (5000, 10):  # with few keys broadcast, and with many
+        monkeypatch.setattr(pii, "_HOT", hot)
+        got = {r.id: [(t.start, t.end) for t in r.terms] for r in pii.find_spans(table_of(texts), generalise=0.6).collect()}
+        want = plain(list(enumerate(texts)), 48, 3, 0.6)
+        assert sum(map(len, want)) > 30 and [got[i] for i in range(len(texts))] == want
+
+
 def test_copies_are_no_evidence(table_of):
     texts = ["call zorblat at jo@ex.org now"] * 20 + ["other words here"] * 5
     assert not any(r.terms for r in pii.find_spans(table_of(texts)).collect())

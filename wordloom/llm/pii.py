@@ -2,16 +2,20 @@
 
 1. *Protected entities*: e-mail and IP addresses, card and phone numbers, found by linear
    patterns (possessive, started only where a run of their characters starts).
-2. *Co-occurrence*: the terms within ``reach`` characters of an entity are counted with it.
-   With n(c, t) pairs, n(c) terms near c, n(t) occurrences of t in the corpus and N terms in
-   all, PMI(c; t) = log2(n(c, t) N / (n(c) n(t))) tells how much t gives away of c, whose
+2. *Co-occurrence*: every term of a document is counted with every entity that the document
+   holds. With n(c, t) documents that hold both, n(c) with the entity, n(t) with the term and
+   N in all, PMI(c; t) = log2(n(c, t) N / (n(c) n(t))) tells how much t gives away of c, whose
    information content is IC(c) = log2(N / n(c)). Their ratio, the *disclosure*, is 1 for a
-   term that occurs near c only.
-3. A term seen with c in at least ``contexts`` different contexts whose disclosure reaches
-   ``generalise`` is replaced by a class name; from ``remove`` on it goes.
-
-Only the surroundings of entities are shuffled, one row for each term there, so the work
-follows the number of entities; the corpus is scanned twice (entities, term counts).
+   term that occurs in documents with c only.
+3. A term seen with c in at least ``contexts`` documents that surround c differently (so that copies
+   are no evidence) whose disclosure reaches ``generalise`` is replaced by a class name wherever it
+   occurs in a document with c; from ``remove`` on it goes.
+
+Pairs are not formed where they can't count: an entity with fewer contexts has none, and the disclosure
+of c and t stays below the threshold where n(t) > n(c) (N / n(c)) ^ (1 - generalise), whatever n(c, t)
+is, so an entity meets only the terms of its documents that are about as rare as itself. Equal texts are
+one row with their number. Entities, terms and pairs that hold a large part of all rows meet their
+statistics by a broadcast (fewer than ``_HOT`` keys of bounded length can), the others by a shuffle.
 """
 
 from __future__ import annotations
@@ -39,6 +43,10 @@ _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _IP = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
 TERM_PATTERN = r"\p{L}{3,}+"
 _CHUNK = 256
+#: A key with more than this part of all rows is hot; its length in characters; parts of copies' rows.
+_HOT = 5000
+_LONGEST = 1000
+_SALTS = 8
 
 
 def _running(lengths: Column) -> Column:
@@ -108,31 +116,23 @@ def _entity(kind: int, value: Column) -> Column:
     return F.concat(F.lit(f"{KINDS[kind]}:"), name)
 
 
-def _terms(kind: int, x: Column, reach: int) -> Column:
-    """The terms around a match, with their places in the text. A word that the edge of
-    the context cuts is left out."""
-    left = F.when(F.length(x["before"]) > reach, F.regexp_replace(
-        F.right(x["before"], F.lit(reach)), r"^\p{L}+", "")).otherwise(x["before"])
-    right = F.when(F.length(x["after"]) > reach, F.regexp_replace(
-        F.left(x["after"], F.lit(reach)), r"\p{L}+$", "")).otherwise(x["after"])
-    none = F.array().cast("array<struct<start:bigint,end:bigint,term:string>>")
+def _near(kind: int, x: Column, reach: int) -> Column:
+    """The entity of a match and a digest of the ``reach`` characters on both sides."""
+    around = F.concat(F.right(x["before"], F.lit(reach)), F.lit("|"), F.left(x["after"], F.lit(reach)))
+    return F.struct(_entity(kind, x["value"]).alias("entity"), F.md5(around).alias("context"))
 
-    def of(side: Column, at: Column) -> Column:
-        return F.coalesce(F.transform(matches(side, TERM_PATTERN), lambda m: F.struct(
-            (at + m["start"]).alias("start"), (at + m["end"]).alias("end"),
-            F.lower(m["value"]).alias("term"))), none)
 
-    return let(F.struct(left.alias("l"), right.alias("r")), lambda c: F.struct(
-        _entity(kind, x["value"]).alias("entity"),
-        F.md5(F.concat(c["l"], F.lit("|"), c["r"])).alias("context"),
-        F.concat(of(c["l"], x["start"] - F.length(c["l"])), of(c["r"], x["end"])).alias("terms")))
+def _terms(text: Column) -> Column:
+    """The different terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM_PATTERN), F.lit(0)), F.lower))
 
 
 def find_entities(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", reach: int = 48,
 ) -> DataFrame:
-    """For each row: its id, ``key`` (hash of id and text), ``base`` spans (start, kind, end)
-    in order, and the ``near`` terms of each entity. Null texts count as empty."""
+    """For each row: its id, ``key`` (hash of id and text), ``body`` (hash of the text), ``base`` spans
+    (start, kind, end) in order, ``near`` (entity and surroundings of each match), and the ``text``
+    where it holds an entity. Null texts count as empty."""
     out = docs.select(F.col(id_column).alias("id"), whole(text_column).alias("text"))
     for kind, (pattern, hint) in enumerate(zip(PATTERNS, _HINTS)):
         found = F.filter(matches(F.col("text"), pattern), lambda m: _valid(kind, m["value"]))
@@ -140,14 +140,15 @@ def find_entities(
             found = F.when(F.contains(F.col("text"), F.lit(hint)), found)
         slim = F.transform(found, lambda m: F.struct(
             m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end"),
-            _terms(kind, m, reach).alias("near")))
-        none = "array<struct<start:bigint,kind:int,end:bigint,near:struct<entity:string,context:string,terms:array<struct<start:bigint,end:bigint,term:string>>>>>"
+            _near(kind, m, reach).alias("near")))
+        none = "array<struct<start:bigint,kind:int,end:bigint,near:struct<entity:string,context:string>>>"
         out = bind(out, f"k{kind}", F.coalesce(slim, F.array().cast(none)))
     spans = F.concat(*[F.col(f"k{k}") for k in range(TERM)])
     base = F.array_sort(F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
-    return out.select("id", row_key("id", "text").alias("key"), base.alias("base"),
-                      F.transform(spans, lambda s: s["near"]).alias("near"))
+    return out.select("id", row_key("id", "text").alias("key"), F.md5("text").alias("body"), base.alias("base"),
+                      F.transform(spans, lambda s: s["near"]).alias("near"),
+                      F.when(F.size(spans) > 0, F.col("text")).alias("text"))
 
 
 def row_key(id_column: str, text_column: str) -> Column:
@@ -156,22 +157,59 @@ def row_key(id_column: str, text_column: str) -> Column:
 
 
 def term_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """term, n_t: occurrences of each term in the corpus."""
-    terms = F.regexp_extract_all(F.lower(whole(text_column)), F.lit(TERM_PATTERN), F.lit(0))
-    return docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-
-
-def disclosures(near: DataFrame, counts: DataFrame, contexts: int, least: float) -> DataFrame:
-    """entity, term, disclosure of the pairs at or above ``least``."""
-    joint = (near.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("entity", "term").agg(F.sum("n").alias("n_ct"), F.count(F.lit(1)).alias("contexts"))
-             .filter(F.col("contexts") >= contexts))
-    about = near.groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
-    total = counts.agg(F.sum("n_t").alias("n_all"))
-    ratio = 1 + F.log2(F.col("n_ct") / F.col("n_t")) / F.log2(F.col("n_all") / F.col("n_c"))
-    return (joint.join(about, "entity").join(counts, "term").join(F.broadcast(total))
-            .filter(F.col("n_all") > F.col("n_c"))
-            .select("entity", "term", ratio.alias("disclosure")).filter(F.col("disclosure") >= least))
+    """term, n_t: how many rows hold each term."""
+    return (docs.select(F.explode(_terms(whole(text_column))).alias("term"))
+            .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
+
+
+def _attach(rows: DataFrame, stats: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """Inner join with ``stats``, one row for each key. A key with more than 1/_HOT of the sum of
+    ``weight`` is broadcast, and there are fewer than _HOT of them; both inputs are stored tables."""
+    total = stats.agg(F.sum(weight)).first()[0] or 0
+    short = F.length(F.concat(*keys)) <= _LONGEST
+    hot = stats.filter(short & (F.col(weight) * _HOT > total))
+    cold = stats.filter(~short | (F.col(weight) * _HOT <= total))
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(cold, keys))
+
+
+def disclosing_terms(
+    found: DataFrame, counts: DataFrame, contexts: int, least: float,
+) -> tuple[DataFrame, DataFrame]:
+    """The distinct texts that hold an entity (body, text), and body, term, disclosure of their terms
+    at or above ``least`` (the highest, where a text holds several entities)."""
+    rows = found.count()
+    texts = materialize(found.filter(F.size("near") > 0).groupBy("body").agg(
+        F.count(F.lit(1)).alias("m"), F.first("near").alias("near"), F.first("text").alias("text")), "texts")
+    mentions = materialize(
+        texts.select("body", "m", F.explode("near").alias("n")).groupBy("body", F.col("n.entity").alias("entity"))
+        .agg(F.min("n.context").alias("context"), F.max("m").alias("m")), "mentions")
+    n_c, share = F.col("n_c"), F.lit(rows) / F.col("n_c")
+    about = materialize(
+        mentions.groupBy("entity", "context").agg(F.sum("m").alias("n"), F.count(F.lit(1)).alias("texts"))
+        .groupBy("entity").agg(F.sum("n").alias("n_c"), F.sum("texts").alias("texts"), F.count(F.lit(1)).alias("seen"))
+        .filter((F.col("seen") >= contexts) & (n_c < rows))
+        .select("entity", "n_c", "texts", (n_c * F.pow(share, F.lit(1 - least)) * (1 + 1e-9)).alias("limit")), "about")
+    kept = materialize(_attach(mentions, about, ["entity"], "texts").drop("texts"), "kept")
+
+    most = about.agg(F.max("limit")).first()[0] or 0.0
+    bags = materialize(texts.join(kept.select("body").distinct(), "body", "left_semi")
+                       .select("body", _terms(F.col("text")).alias("terms")), "bags")
+    rare = counts.filter((F.col("n_t") >= contexts) & (F.col("n_t") <= most))
+    words = _attach(bags.select("body", F.explode("terms").alias("term")), rare, ["term"], "n_t")
+    pairs = materialize(words.join(kept, "body").filter(F.col("n_t") <= F.col("limit")).drop("limit"), "pairs")
+    ratio = 1 + F.log2(F.col("n_ct") / F.col("n_t")) / F.log2(share)
+    told = materialize(
+        pairs.groupBy("entity", "term", "context").agg(
+            F.sum("m").alias("n"), F.count(F.lit(1)).alias("texts"), F.max("n_t").alias("n_t"), F.max("n_c").alias("n_c"))
+        .groupBy("entity", "term").agg(
+            F.sum("n").alias("n_ct"), F.sum("texts").alias("texts"), F.max("n_t").alias("n_t"), F.max("n_c").alias("n_c"),
+            F.count(F.lit(1)).alias("seen"))
+        .filter(F.col("seen") >= contexts).select("entity", "term", "texts", ratio.alias("disclosure"))
+        .filter(F.col("disclosure") >= least), "told")
+    gone = (_attach(pairs.select("body", "entity", "term"), told, ["entity", "term"], "texts")
+            .groupBy("body", "term").agg(F.max("disclosure").alias("disclosure")))
+    return texts.select("body", "text"), materialize(gone, "gone")
 
 
 def find_spans(
@@ -180,30 +218,34 @@ def find_spans(
 ) -> DataFrame:
     """id, key, ``base`` spans and ``terms``: (start, kind, end, removed) of disclosing terms.
 
-    One row for each row of ``docs``; repeated rows get the same result. Terms inside a base
-    span are left to it.
+    One row for each row of ``docs``; repeated rows get the same result and count as documents, but
+    not as contexts. Terms inside a base span are left to it. Null and empty texts and texts without an
+    entity have no spans, an empty table gives no rows, other columns are not read. ``reach``
+    only tells surroundings apart; terms count in whole documents.
     """
     if not 0 < generalise <= remove:
         raise ValueError("thresholds: 0 < generalise <= remove")
     found = materialize(find_entities(docs, id_column, text_column, reach), "entities")
-    each = (found.select("key", F.explode("near").alias("n"))
-            .select("key", "n.entity", "n.context", F.explode("n.terms").alias("t"))
-            .select("key", "entity", "context", "t.term", "t.start", "t.end"))
     counts = materialize(term_counts(docs, text_column), "terms")
-    told = materialize(disclosures(each, counts, contexts, generalise), "disclosures")
-    spans = (each.join(told, ["entity", "term"])
-             .groupBy("key", "start", "end").agg(F.max("disclosure").alias("d"))
-             .groupBy("key").agg(F.array_sort(F.collect_list(F.struct(
-                 "start", F.lit(TERM).alias("kind"), "end", (F.col("d") >= remove).alias("removed"))
-             )).alias("terms")))
+    texts, gone = disclosing_terms(found, counts, contexts, generalise)
+    places = (texts.join(gone.select("body").distinct(), "body", "left_semi")
+              .select("body", F.explode(matches(F.col("text"), TERM_PATTERN)).alias("m"))
+              .select("body", "m.start", "m.end", F.lower("m.value").alias("term")))
+    spans = (places.join(gone, ["body", "term"]).groupBy("body").agg(F.array_sort(F.collect_list(F.struct(
+        "start", F.lit(TERM).alias("kind"), "end", (F.col("disclosure") >= remove).alias("removed")))).alias("terms")))
+    # A text may have many copies: their rows are dealt over several tasks.
+    spans = spans.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    rows = found.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(_SALTS)).cast("int"))
     clear = F.filter("terms", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,removed:boolean>>")
-    return found.join(spans, "key", "left").select("id", "key", "base", F.coalesce(clear, none).alias("terms"))
+    return (rows.join(spans, ["body", "salt"], "left")
+            .select("id", "key", "base", F.coalesce(clear, none).alias("terms")))
 
 
 def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """The documents with entities replaced by their kind, disclosing terms generalised to
-    ``<TERM>`` or removed; other columns stay. Of overlapping spans the first wins."""
+    ``<TERM>`` or removed; other columns stay, whatever their names. Of overlapping spans the first
+    wins. A null text stays null, an empty one empty; repeated rows stay as many."""
     key, span = free_name(docs, "key"), free_name(docs, "span")
     spans = find_spans(docs, id_column, text_column, **options)
     merged = F.array_sort(F.concat(

@@ -49,21 +49,20 @@ def _pii_sql() -> str:
     return f"""
     WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
     base AS MATERIALIZED ({" UNION ALL ".join(kinds)}),
-    sides AS (SELECT doc_id, kind, s, e, entity,
-        CASE WHEN len(before) > {REACH} THEN regexp_replace(right(before, {REACH}), '^\\p{{L}}+', '') ELSE before END AS l,
-        CASE WHEN len(after) > {REACH} THEN regexp_replace(left(after, {REACH}), '\\p{{L}}+$', '') ELSE after END AS r FROM base),
-    around AS MATERIALIZED (
-        SELECT doc_id, kind, s AS at0, 0 AS side, l AS body, s - len(l) AS shift, entity, md5(l || '|' || r) AS context FROM sides
-        UNION ALL SELECT doc_id, kind, s, 1, r, e, entity, md5(l || '|' || r) FROM sides),
-    near AS MATERIALIZED (SELECT doc_id, entity, context, lower(value) AS term, (shift + s)::BIGINT AS s, (shift + s + len(value))::BIGINT AS e
-        FROM ({_placed("around", "doc_id, kind, at0, side, shift, entity, context", "body", _TERM_RE)})),
-    counts AS MATERIALIZED (SELECT term, count(*) AS n_t FROM (
-        SELECT unnest(regexp_extract_all(lower(text), '{_TERM_RE}')) AS term FROM d) GROUP BY term),
-    joint AS (SELECT entity, term, count(*) AS n_ct, count(DISTINCT context) AS contexts FROM near GROUP BY ALL HAVING count(DISTINCT context) >= {CONTEXTS}),
-    about AS (SELECT entity, count(*) AS n_c FROM near GROUP BY entity),
-    told AS (SELECT entity, term, 1 + log2(n_ct / n_t) / log2(n_all / n_c) AS disclosure
-        FROM joint JOIN about USING (entity) JOIN counts USING (term), (SELECT sum(n_t) AS n_all FROM counts) WHERE n_all > n_c),
-    terms AS (SELECT doc_id, s, e, max(disclosure) AS disclosure FROM near JOIN told USING (entity, term)
+    mentions AS MATERIALIZED (SELECT doc_id, entity, min(md5(right(before, {REACH}) || '|' || left(after, {REACH}))) AS context
+        FROM base GROUP BY doc_id, entity),
+    occurrences AS MATERIALIZED (SELECT doc_id, lower(value) AS term, s::BIGINT AS s, (s + len(value))::BIGINT AS e
+        FROM ({_placed("(SELECT * FROM d WHERE doc_id IN (SELECT doc_id FROM base))", "doc_id", "text", _TERM_RE)})),
+    counts AS MATERIALIZED (SELECT term, count(DISTINCT doc_id) AS n_t FROM (
+        SELECT doc_id, lower(unnest(regexp_extract_all(text, '{_TERM_RE}'))) AS term FROM d) GROUP BY term),
+    about AS MATERIALIZED (SELECT entity, count(*) AS n_c FROM mentions GROUP BY entity HAVING count(DISTINCT context) >= {CONTEXTS}),
+    held AS MATERIALIZED (SELECT DISTINCT doc_id, term FROM occurrences),
+    joint AS (SELECT entity, term, count(*) AS n_ct FROM mentions JOIN held USING (doc_id)
+        WHERE entity IN (SELECT entity FROM about) GROUP BY ALL HAVING count(DISTINCT context) >= {CONTEXTS}),
+    told AS MATERIALIZED (SELECT entity, term, 1 + log2(n_ct / n_t) / log2(n_all / n_c) AS disclosure
+        FROM joint JOIN about USING (entity) JOIN counts USING (term), (SELECT count(*) AS n_all FROM d) WHERE n_all > n_c),
+    terms AS (SELECT doc_id, s, e, max(disclosure) AS disclosure
+        FROM occurrences JOIN mentions USING (doc_id) JOIN told USING (entity, term)
         WHERE disclosure >= {GENERALISE} GROUP BY doc_id, s, e),
     free AS (SELECT * FROM terms t WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = t.doc_id AND b.s < t.e AND t.s < b.e)),
     spans AS (SELECT doc_id, kind, s, e, false AS removed FROM base
