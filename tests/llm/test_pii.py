@@ -146,11 +146,10 @@ def test_random_corpora_against_the_definition(table_of, monkeypatch):
             some.insert(rng.randint(0, len(some)), ids[topic])
         texts.append(", ".join(some))
     texts += texts[:20] + [None, ""]
-    for hot in (5000, 10):  # with few keys broadcast, and with many
-        monkeypatch.setattr(pii, "_HOT", hot)
-        got = {r.id: [(t.start, t.end) for t in r.terms] for r in pii.find_spans(table_of(texts), generalise=0.6).collect()}
-        want = plain(list(enumerate(texts)), 48, 3, 0.6)
-        assert sum(map(len, want)) > 30 and [got[i] for i in range(len(texts))] == want
+    monkeypatch.setattr(pii, "_HOT", 10)  # many keys are broadcast here; the other tests have few or none
+    got = {r.id: [(t.start, t.end) for t in r.terms] for r in pii.find_spans(table_of(texts), generalise=0.6).collect()}
+    want = plain(list(enumerate(texts)), 48, 3, 0.6)
+    assert sum(map(len, want)) > 30 and [got[i] for i in range(len(texts))] == want
 
 
 def test_copies_are_no_evidence(table_of):
