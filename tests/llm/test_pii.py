@@ -134,7 +134,7 @@ def plain(rows, reach, contexts, least):
     return out
 
 
-def test_random_corpora_against_the_definition(table_of, monkeypatch):
+def random_corpus():
     rng = random.Random(8)
     words = [a + b + c for a in "abc" for b in "defg" for c in ("x", "yz", "Q")]
     ids = ["jo@ex.org", "10.0.0.1", "4111 1111 1111 1111", "+44 20 7946 0958", "al@ex.org"]
@@ -146,6 +146,11 @@ def test_random_corpora_against_the_definition(table_of, monkeypatch):
             some.insert(rng.randint(0, len(some)), ids[topic])
         texts.append(", ".join(some))
     texts += texts[:20] + [None, ""]
+    return texts
+
+
+def test_random_corpora_against_the_definition(table_of, monkeypatch):
+    texts = random_corpus()
     monkeypatch.setattr(pii, "_HOT", 10)  # many keys are broadcast here; the other tests have few or none
     got = {r.id: [(t.start, t.end) for t in r.terms] for r in pii.find_spans(table_of(texts), generalise=0.6).collect()}
     want = plain(list(enumerate(texts)), 48, 3, 0.6)
@@ -178,3 +183,17 @@ def test_digest_column_of_the_query(spark, tmp_path, table_of):
     assert got[0].base_sha256 == hashlib.sha256(b"email:5:11,phone:15:31").hexdigest()
     assert (got[0].n_email, got[0].n_ip, got[0].n_card, got[0].n_phone) == (1, 0, 0, 1)
     assert got[1].base_sha256 == hashlib.sha256(b"").hexdigest() and got[1].spans == ""
+
+
+def test_query_equals_its_sql_where_terms_disclose(spark, tmp_path, table_of):
+    import duckdb
+    from wordloom.llm.queries_native import _pii_sql, op1_pii
+
+    told = [f"{w} zo@ex.org and then {w} some more of it, far from zorblat and Quuxy {'ab' * i}" for i, w in enumerate("cdefghij")]
+    table_of(random_corpus() + told).write.parquet(f"{tmp_path}/documents.parquet")
+    got = op1_pii(spark, str(tmp_path))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = db.execute(f"SELECT {', '.join(got.columns)} FROM ({_pii_sql()})").fetchall()
+    rows = [tuple(r) for r in got.collect()]
+    assert sorted(rows) == sorted(want) and sum(r[got.columns.index("n_term")] for r in rows) > 10
