@@ -1,11 +1,13 @@
 """Exact top-k inner products by distributed histogram selection.
 
-Blocks of queries meet blocks of candidates in Spark; numpy scores a pair of blocks at once.
-The k-th score of each query is located first: a histogram over all candidates finds the bin
-that holds it, a finer one that bin, until a bin is one score wide. A block of candidates only
-reports the bins from its own k-th score up, as nothing lower can count. Then the scores above
-the k-th value, and of those equal to it the smallest ids of each block, go on to be ranked.
-Nothing but these and the histograms is shuffled, whatever the number of candidates.
+Candidates are packed into blocks once and stay where they are. The queries go to them, a bounded
+chunk at a time: at most about ``_CHUNK`` components are broadcast at once, so one pass over the candidates
+scores a whole chunk, a pair of blocks at a time, in numpy. The k-th score of each query is
+located first: a histogram over all candidates finds the bin that holds it, a finer one that bin,
+until a bin is one score wide. A block of candidates only reports the bins from its own k-th score
+up, as nothing lower can count. Then the scores above the k-th value, and of those equal to it the
+smallest ids of each block, go on to be ranked. Nothing but these and the histograms is shuffled,
+whatever the number of candidates or queries.
 """
 
 from __future__ import annotations
@@ -16,10 +18,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wordloom.llm.common import partitions
-from wordloom.session import materialize
+from wordloom.session import discard, new_path, spread, store
 
 _BINS = 256
+#: Components in a block of queries or candidates, and in the queries that are broadcast at once (16 MB as longs).
+_CELLS, _CHUNK = 1 << 18, 1 << 21
 _BLOCK = "dim int, ids binary, low binary, need binary, body binary"
 
 
@@ -31,41 +34,37 @@ def quantise(vector: Column, scale: float = 64.0) -> Column:
     return F.when(vector.isNotNull() & fine, F.transform(wide, lambda x: F.floor(x * scale).cast("bigint")))
 
 
-def _pack(block_rows: int, grouped: bool):
-    """Rows to blocks of one dimension and about ``block_rows`` rows, or by their column ``block``."""
+def _pack(block_rows: int, kind: str):
+    """Rows to blocks of one dimension, at most ``block_rows`` rows and, beyond one row, ``_CELLS`` components."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, list] = {}
+        held: dict[int, list] = {}
 
-        def block(key, rows):
+        def block(dim: int, rows: list) -> pa.RecordBatch:
             ids, low, need, vectors = zip(*rows)
-            raw = [np.array(c, np.int64).tobytes() for c in (ids, low, need)] + [np.array(vectors, np.int64).tobytes()]
-            cols = [pa.array([key[0]], pa.int32())] + [pa.array([r], pa.binary()) for r in raw]
-            names = ["dim", "ids", "low", "need", "body"]
-            if grouped:
-                cols.append(pa.array([key[1]], pa.int64()))
-                names.append("block")
-            return pa.RecordBatch.from_arrays(cols, names)
+            raw = [np.array(c, np.int64).tobytes() for c in (ids, low, need)] + [np.array(vectors, kind).tobytes()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([dim], pa.int32())] + [pa.array([r], pa.binary()) for r in raw],
+                ["dim", "ids", "low", "need", "body"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("id", "low", "need", "v", "block")]
-            for i, low, need, v, b in zip(*cols):
-                key = (len(v), b if grouped else 0)
-                held.setdefault(key, []).append((i, low, need, v))
-                if not grouped and len(held[key]) >= block_rows:
-                    yield block(key, held.pop(key))
-        for key, rows in held.items():
-            yield block(key, rows)
+            for i, low, need, v in zip(*[batch.column(c).to_pylist() for c in ("id", "low", "need", "v")]):
+                rows = held.setdefault(len(v), [])
+                rows.append((i, low, need, v))
+                if len(rows) >= block_rows or (len(rows) + 1) * len(v) > _CELLS:
+                    yield block(len(v), held.pop(len(v)))
+        for dim, rows in held.items():
+            yield block(dim, rows)
 
     return run
 
 
-def _scores(row: dict, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _scores(row: dict, kind: str, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query ids, candidate ids and scores; a query's own row gets the lowest number."""
     dim = row["dim"]
     q, c = (np.frombuffer(row[k], np.int64) for k in ("q_ids", "ids"))
-    a, b = (np.frombuffer(row[k], np.int64).reshape(-1, dim) for k in ("q_body", "body"))
+    a, b = (np.frombuffer(row[k], kind).reshape(len(ids), dim) for k, ids in (("q_body", q), ("body", c)))
     if wide:
-        s = a @ b.T
+        s = a.astype(np.int64) @ b.astype(np.int64).T
     else:  # exact: the sums of products stay below 2 ** 53
         s = (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
     s[q[:, None] == c[None, :]] = np.iinfo(np.int64).min
@@ -79,12 +78,12 @@ def _floor(s: np.ndarray, k: int) -> np.ndarray:
     return np.maximum(np.partition(s, -k, axis=1)[:, -k], np.iinfo(np.int64).min + 1)
 
 
-def _histogram(k: int, width: int, span: int, wide: bool):
+def _histogram(k: int, width: int, span: int, kind: str, wide: bool):
     """query, bin, count over [low, low + span) of each query, in bins of ``width``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                q, _, s = _scores(row, wide)
+                q, _, s = _scores(row, kind, wide)
                 low = np.frombuffer(row["q_low"], np.int64)
                 least = np.maximum(_floor(s, k), low)
                 least = low + (least - low) // width * width  # whole bins only
@@ -98,12 +97,12 @@ def _histogram(k: int, width: int, span: int, wide: bool):
     return run
 
 
-def _select(k: int, wide: bool):
+def _select(k: int, kind: str, wide: bool):
     """Rows above the k-th score, and the smallest ids of those equal to it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                q, c, s = _scores(row, wide)
+                q, c, s = _scores(row, kind, wide)
                 order = np.argsort(c, kind="stable")
                 c, s = c[order], s[:, order]
                 low, need = (np.frombuffer(row[x], np.int64) for x in ("q_low", "q_need"))
@@ -123,62 +122,75 @@ def _select(k: int, wide: bool):
 
 def top_k(
     vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec_id",
-    vector_column: str = "embedding", scale: float = 64.0, block_rows: int = 1024,
+    vector_column: str = "embedding", scale: float = 64.0, block_rows: int = 1024, chunk: int = _CHUNK,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: for each query row its ``k`` highest inner products of
     quantised vectors, ties to the smaller id, over all rows with another id.
 
     Rows whose vector or id is null, or whose vector holds null, NaN or an infinity, take no
     part; vectors of another length are no candidates for a query. Repeated rows are separate
-    candidates; of query rows with one id the smallest vector asks. Empty vectors score 0.
+    candidates; of query rows with one id the smallest vector asks. Empty vectors score 0; an
+    empty table, or one without queries, gives no rows; other columns are not read. Vectors so long
+    that a score could leave the range of a long raise an ``OverflowError``. ``chunk`` is the
+    number of components of the queries that are broadcast at once.
     """
+    spark = vectors.sparkSession
+    zero = F.lit(0).cast("bigint")
     rows = vectors.select(
         F.col(id_column).cast("bigint").alias("id"), quantise(F.col(vector_column), scale).alias("v"),
         F.coalesce(is_query, F.lit(False)).alias("asks")).filter("id is not null and v is not null")
-    asked = materialize(rows.filter("asks").groupBy("id").agg(F.min("v").alias("v")), "asked")
-    length = lambda df: df.agg(F.max(F.sqrt(F.aggregate(
-        "v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)))).first()[0] or 0.0
-    bound = int(length(rows) * length(asked) * (1 + 1e-9)) + 1  # Cauchy and Schwarz
+    asked, asked_path = store(rows.filter("asks").groupBy("id").agg(F.min("v").alias("v")), "asked")
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    longest = rows.agg(F.max(length)).first()[0] or 0.0
+    most, cells, queries = asked.agg(F.max(length), F.sum(F.size("v") + F.lit(1)), F.count(F.lit(1))).first()
+    bound = int(longest * (most or 0.0) * (1 + 1e-9)) + 1  # Cauchy and Schwarz
+    if bound >= 1 << 62:
+        raise OverflowError("the vectors are so long that a score could leave the range of a long")
     wide = bound >= 1 << 52
-    if wide:
-        bound = (1 << 62) - 1
-    blocks = -(-asked.count() // block_rows)
-
-    plain = rows.select("id", F.lit(0).cast("bigint").alias("low"), F.lit(0).cast("bigint").alias("need"),
-                        "v", F.lit(0).cast("bigint").alias("block"))
-    candidates = materialize(plain.mapInArrow(_pack(4 * block_rows, False), _BLOCK), "blocks")
-    spread = candidates.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(blocks - 1, 0)).cast("bigint"))))
-
-    # Few blocks of queries would mean few keys; copies of them give every task its share.
-    salts = -(-4 * partitions(vectors) // max(blocks, 1))
-    spread = spread.withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int"))
-
-    def paired(state: DataFrame) -> DataFrame:
-        """Blocks of queries, which carry their state, with every block of candidates."""
-        q = asked.join(state, asked.id == state.query_id).select(
-            "id", "low", "need", "v", F.pmod(F.xxhash64("id"), F.lit(max(blocks, 1))).alias("block"))
-        q = q.repartition(max(blocks, 1), "block").mapInArrow(_pack(block_rows, True), _BLOCK + ", block bigint")
-        q = q.select("dim", "block", *[F.col(c).alias(f"q_{c}") for c in ("ids", "low", "need", "body")])
-        return spread.drop("low", "need").join(
-            q.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["block", "dim", "salt"])
-
-    state = asked.select(F.col("id").alias("query_id"), F.lit(-bound).cast("bigint").alias("low"),
-                         F.lit(k).cast("bigint").alias("need"))
-    span = 2 * bound + 1
-    while span > 1:
-        width = -(-span // _BINS)
-        bins = paired(state).mapInArrow(_histogram(k, width, span, wide), "query_id bigint, bin bigint, n bigint")
-        bins = bins.groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
-        down = Window.partitionBy("query_id").orderBy(F.desc("bin"))
-        found = (bins.withColumn("upto", F.sum("n").over(down)).join(state, "query_id")
-                 .filter((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need"))))
-        hit = found.select("query_id", (F.col("low") + F.col("bin") * width).alias("low_"),
-                           (F.col("need") - F.col("upto") + F.col("n")).alias("need_"))
-        # A query with fewer candidates than k keeps its lowest bin: all of them are in.
-        state = materialize(state.join(hit, "query_id", "left").select(
-            "query_id", F.coalesce("low_", "low").alias("low"), F.coalesce("need_", "need").alias("need")), "state")
-        span = width
-
-    best = paired(state).mapInArrow(_select(k, wide), "query_id bigint, vec_id bigint, score bigint")
+    kind = "i4" if longest < 1 << 31 else "i8"
+
+    plain = rows.select("id", zero.alias("low"), zero.alias("need"), "v")
+    candidates, candidates_path = store(spread(plain).mapInArrow(_pack(4 * block_rows, kind), _BLOCK), "blocks")
+    candidates = candidates.drop("low", "need")
+    chunks = max(1, -(-(cells or 0) // chunk))
+    parts = max(1, -(-queries // (chunks * block_rows)))
+    found = new_path(spark, "best")
+
+    for number in range(chunks):
+        mine = asked.filter(F.pmod(F.xxhash64("id"), F.lit(chunks)) == number)
+
+        def paired(state: DataFrame, mine: DataFrame = mine) -> DataFrame:
+            """The chunk's blocks of queries, which carry their state, with every block of candidates."""
+            q = mine.join(state, mine.id == state.query_id).select("id", "low", "need", "v").repartition(parts, "id")
+            q = q.mapInArrow(_pack(block_rows, kind), _BLOCK).select(
+                "dim", *[F.col(c).alias(f"q_{c}") for c in ("ids", "low", "need", "body")])
+            return candidates.join(F.broadcast(q), "dim")  # bounded by ``chunk``
+
+        state, state_path = mine.select(F.col("id").alias("query_id"), F.lit(-bound).cast("bigint").alias("low"),
+                                        F.lit(k).cast("bigint").alias("need")), None
+        span = 2 * bound + 1
+        while span > 1:
+            width = -(-span // _BINS)
+            bins = paired(state).mapInArrow(_histogram(k, width, span, kind, wide), "query_id bigint, bin bigint, n bigint")
+            bins = bins.groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
+            down = Window.partitionBy("query_id").orderBy(F.desc("bin"))
+            reached = (bins.withColumn("upto", F.sum("n").over(down)).join(state, "query_id")
+                       .filter((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need"))))
+            hit = reached.select("query_id", (F.col("low") + F.col("bin") * width).alias("low_"),
+                                 (F.col("need") - F.col("upto") + F.col("n")).alias("need_"))
+            # A query with fewer candidates than k keeps its lowest bin: all of them are in.
+            replaced = state_path
+            state, state_path = store(state.join(hit, "query_id", "left").select(
+                "query_id", F.coalesce("low_", "low").alias("low"), F.coalesce("need_", "need").alias("need")), "state")
+            if replaced:
+                discard(spark, replaced)
+            span = width
+        best = paired(state).mapInArrow(_select(k, kind, wide), "query_id bigint, vec_id bigint, score bigint")
+        best.write.mode("append").parquet(found)
+        discard(spark, state_path)
+    discard(spark, asked_path)
+    discard(spark, candidates_path)
+
+    best = spark.read.schema("query_id bigint, vec_id bigint, score bigint").parquet(found)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
