@@ -8,7 +8,7 @@ Only lengths matter for this, so it works on the histogram of lengths: ``capacit
 whatever the input. Each step of the plan uses up a length or a run of equal gaps, so the plan
 is bounded too. Each piece then finds its place by its length and its number among the pieces
 of that length: tasks number their own pieces, and sums over the tasks' counts, joined to the pieces by
-sorting, do the rest. The texts are read once and never shuffled; small rows, one for each piece, are.
+hash, do the rest. The texts are read once and never shuffled; small rows, one for each piece, are.
 """
 
 from __future__ import annotations
@@ -205,9 +205,10 @@ def pack(
     # At most ``capacity`` rows reach the driver.
     counts = {r.length: r.n for r in tally.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")
-    tally = tally.select("length", "part", before.alias("before"))
-    # One row for each length of each task: no bound to broadcast it under, so both sides are sorted.
-    numbered = pieces.join(tally.hint("merge"), ["length", "part"]).select(
+    # One row for each length of each task: no bound to broadcast them under, few in each partition of their own key.
+    key = (F.col("part").cast("bigint") * (capacity + 1) + F.col("length")).alias("key")
+    tally = tally.select(key, before.alias("before")).hint("shuffle_hash")
+    numbered = pieces.select("*", key).join(tally, "key").select(
         "id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("slot")).alias("number"))
     keep = ["id", "piece", "start", "length", "ids_crc32"]
     schema = f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
