@@ -86,3 +86,37 @@ def test_hash_of_ids_is_sparks(spark):
     df = spark.createDataFrame([(i,) for i in ids], "i bigint").select("i", F.xxhash64("i").alias("h"))
     got = dict(df.collect())
     assert [got[i] for i in ids] == list(common.xxhash_long(np.array(ids, np.int64)))
+
+
+def thue_morse(letters):
+    """2,048 letters; with the letters exchanged, polynomial hashes modulo 2^64 are the same for any multiplier."""
+    return "".join(letters[bin(i).count("1") % 2] for i in range(2048))
+
+
+def test_equal_hashes_of_different_words_remove_nothing(table_of):
+    a, b = thue_morse("ab"), thue_morse("ba")
+    words = common.Words([a.encode(), b.encode()])
+    for seed in (0, 1):
+        one, other = words.run(np.array([0, 1]), np.array([1, 2]), seed)
+        assert one == other
+    texts = [f"x {a} y", f"x {b} y", f"x {b} y", f"q x {b} y z", f"x {a} y", f"n {b} n"]
+    got = sd.remove_repeats(table_of(texts), 3).collect()
+    same([(r, (r.doc_id, texts[r.doc_id])) for r in got], brute(list(enumerate(texts)), 3))
+    assert [r.n_removed for r in sorted(got, key=lambda r: r.doc_id)] == [0, 0, 3, 3, 3, 0]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_texts_with_equal_hashes(table_of, seed):
+    rng = random.Random(seed)
+    letters = [thue_morse("ab"), thue_morse("ba"), "c", "d"]
+    texts = [" ".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) for _ in range(40)]
+    got = sd.remove_repeats(table_of(texts), 4).collect()
+    assert len(got) == len(texts)
+    same([(r, (r.doc_id, texts[r.doc_id])) for r in got], brute(list(enumerate(texts)), 4))
+
+
+def test_spans_merge_on_their_diagonal_only():
+    begin, end = np.array([0, 2, 10, 3]), np.array([5, 7, 14, 6])
+    src, place = np.array([1, 1, 1, 2]), np.array([100, 102, 110, 50])
+    got = [tuple(map(int, r)) for r in zip(*sd._spans(begin, end, src, place))]
+    assert got == [(0, 7, 1, 100), (10, 4, 1, 110), (3, 3, 2, 50)]

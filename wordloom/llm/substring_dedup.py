@@ -11,13 +11,17 @@ of all edges:
    contents is a branching point; only there single edges are looked at.
 3. *Edges at the branches.* The first place of each content sends its single windows, by
    a 128-bit hash; all but the first place of each edge are removed.
-4. *Source coordinates.* The removed windows of a document, (id, start) runs, merge to spans of at least
-   ``k`` words and are cut from the text they came from.
+4. *Source coordinates verify.* A removed window carries the earlier place it was found equal to. Windows on
+   one diagonal merge to long spans; a span and its source are compared by the SHA-256 of their words, in
+   the group of the source's text. Only what agrees is cut from the text it came from.
+5. *What doesn't agree* (64-bit hashes of different words that fell together) is decided anew: all windows of
+   the corpus with such a hash are grouped by the SHA-256 of their words. This pass runs only if there are any.
 
 Equal windows have equal minimizers, and the first place of a segment is the first of all its windows,
 so nothing is lost. Hot passages: a task sends each content once and settles its own repeats, and of a
 minimizer that branches often it sends a few contents and opens the others at once, so a key has at most a
-few records of each task. Texts are shuffled once, by id; both later steps use that shuffle.
+few records of each task, and the places that one source has to verify are those of one task or one for each
+task. Texts are shuffled by id twice: for the edges and their verification, and for the cut.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wordloom.llm.common import (
     Words, batch, bucket_of, by_bucket, byte_lists, partitions, planes, slices, unplanes, whole, xxhash_long)
-from wordloom.session import materialize
+from wordloom.session import discard, store
 
 NO_ID = -(1 << 63)
 _SHORT = 6
@@ -40,8 +44,12 @@ _START_BITS = 32
 _PLACES = [("kind", pa.int32()), ("bucket", pa.int64()), ("a", pa.binary()), ("g", pa.binary()),
            ("doc", pa.binary()), ("at", pa.binary()), ("n", pa.binary())]
 _PLACES_SQL = "kind int, bucket bigint, a binary, g binary, doc binary, at binary, n binary"
-#: Kinds of records: equal words to be found, runs of windows to remove, runs of windows to open.
-SEEK, REMOVE, OPEN = 0, 1, 2
+#: Kinds of records: equal words to be found, runs of windows to remove (``a`` and ``g`` are the source's id and
+#: place), runs of windows to open, runs whose words are not those of their source.
+SEEK, REMOVE, OPEN, DIFFERENT = 0, 1, 2, 3
+_CLAIMS = [("bucket", pa.int64()), ("src", pa.binary()), ("src_at", pa.binary()), ("doc", pa.binary()),
+           ("at", pa.binary()), ("n", pa.binary()), ("digest", pa.binary())]
+_CLAIMS_SQL = "bucket bigint, src binary, src_at binary, doc binary, at binary, n binary, digest binary"
 
 
 def _rows(kind: int, bucket: np.ndarray, a, g, doc, at, n) -> Iterator[tuple]:
@@ -82,8 +90,8 @@ def segments(texts: list[bytes], k: int) -> tuple[np.ndarray, ...]:
 
 
 def _first_of(order_keys: tuple[np.ndarray, ...], doc: np.ndarray, at: np.ndarray):
-    """Order by key and place; for each record whether a new key starts, and whether the record
-    stands at another place than the first of its key."""
+    """Order by key and place; for each record whether a new key starts, whether the record
+    stands at another place than the first of its key, and which record is that first."""
     order = np.lexsort((at, doc, *order_keys[::-1]))
     new = np.zeros(len(order), bool)
     if len(order):
@@ -92,17 +100,22 @@ def _first_of(order_keys: tuple[np.ndarray, ...], doc: np.ndarray, at: np.ndarra
             new[1:] |= np.diff(key[order].view(np.int64)) != 0
     first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(order) else order
     later = (doc[order] != doc[order][first]) | (at[order] != at[order][first])
-    return order, new, later
+    return order, new, later, first
+
+
+def _remove(later, first, doc, at, n, shards: int) -> list[tuple]:
+    """Records to remove, each with the first place of its key."""
+    return list(_rows(REMOVE, _shard(doc[later], shards), doc[first][later], at[first][later],
+                      doc[later], at[later], n[later]))
 
 
 def _find(k: int, buckets: int, shards: int):
     """Texts to segment records, after what the task can settle alone."""
     def flush(parts: list[tuple]) -> pa.RecordBatch:
         a, g, doc, at, n = (np.concatenate(c) for c in zip(*parts))
-        order, new, later = _first_of((a, g), doc, at)
+        order, new, later, first = _first_of((a, g), doc, at)
         a, g, doc, at, n = (c[order] for c in (a, g, doc, at, n))
-        done = later
-        rows = list(_rows(REMOVE, _shard(doc[done], shards), a[done], g[done], doc[done], at[done], n[done]))
+        rows = _remove(later, first, doc, at, n, shards)
         a, g, doc, at, n = (c[new] for c in (a, g, doc, at, n))
         run = np.flatnonzero(np.concatenate(([True], np.diff(a.view(np.int64)) != 0)))
         many = np.diff(np.concatenate((run, [len(a)])))
@@ -161,9 +174,9 @@ def _settle(shards: int, branching: bool):
         yield batch(_PLACES, done)
         for rows in held.values():
             a, g, doc, at, n = _columns(rows)
-            order, new, later = _first_of((a, g), doc, at)
+            order, new, later, first = _first_of((a, g), doc, at)
             a, g, doc, at, n = (c[order] for c in (a, g, doc, at, n))
-            out = list(_rows(REMOVE, _shard(doc[later], shards), a[later], g[later], doc[later], at[later], n[later]))
+            out = _remove(later, first, doc, at, n, shards)
             if branching:
                 a, g, doc, at, n = (c[new] for c in (a, g, doc, at, n))
                 same = np.zeros(len(a), bool)
@@ -176,14 +189,14 @@ def _settle(shards: int, branching: bool):
     return run
 
 
-def _runs_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """id, place and number of windows, ordered by id and place."""
-    rows = list(zip(*[table.column(c).to_pylist() for c in ("doc", "at", "n")]))
-    if not rows:
-        return tuple(np.zeros(0, np.int64) for _ in range(3))
-    doc, at, n = (np.concatenate([unplanes(r[i]) for r in rows]) for i in range(3))
-    order = np.lexsort((at, doc))
-    return doc[order], at[order], n[order]
+def _runs_of(table: pa.Table, *names: str) -> list[np.ndarray]:
+    """Packed columns, by default id, place and number of windows, ordered by the first two."""
+    names = names or ("doc", "at", "n")
+    rows = list(zip(*[table.column(c).to_pylist() for c in names]))
+    columns = [np.concatenate([unplanes(r[i]) for r in rows]) if rows else np.zeros(0, np.int64) for i in range(len(names))]
+    order = np.lexsort((columns[1], columns[0]))
+    # A digest is four longs, on the record's row.
+    return [(c.reshape(-1, 4) if name == "digest" else c)[order] for name, c in zip(names, columns)]
 
 
 def _of_text(doc: np.ndarray, at: np.ndarray, id_: int, tie: int) -> slice:
@@ -194,36 +207,163 @@ def _of_text(doc: np.ndarray, at: np.ndarray, id_: int, tie: int) -> slice:
     return slice(a, b)
 
 
+def _texts_with(texts: pa.Table, doc: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, slice, Words]]:
+    """id, tie, records and words of each text that has records; of equal ids and ties one text."""
+    seen = set()
+    for id_, tie, text in zip(*[texts.column(c).to_pylist() for c in ("id", "tie", "text")]) if len(doc) else ():
+        mine = _of_text(doc, at, id_, tie)
+        if mine.stop > mine.start and (id_, tie) not in seen:
+            seen.add((id_, tie))
+            yield id_, tie, mine, Words([text.encode()])
+
+
+def _starts(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Where the windows of some runs start."""
+    return np.unique(np.repeat(begin - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum()))
+
+
+def _digests(words: Words, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """SHA-256 of some runs of words, as four longs each."""
+    bounds = zip(words.start[begin].tolist(), words.end[begin + n - 1].tolist())
+    raw = b"".join(hashlib.sha256(words.data[low:high]).digest() for low, high in bounds)
+    return np.frombuffer(raw, np.int64).reshape(-1, 4)
+
+
 def _open(k: int, buckets: int, shards: int):
     """Texts and the runs of windows to open, to records of single windows."""
     def run(texts: pa.Table, wanted: pa.Table) -> pa.Table:
         doc, at, n = _runs_of(wanted)
         parts = []
-        if len(doc):
-            seen = set()
-            for id_, tie, text in zip(*[texts.column(c).to_pylist() for c in ("id", "tie", "text")]):
-                mine = _of_text(doc, at, id_, tie)
-                if mine.stop == mine.start or (id_, tie) in seen:
-                    continue
-                seen.add((id_, tie))
-                words = Words([text.encode()])
-                begin, many = at[mine] - (tie << _START_BITS), n[mine]
-                start = np.repeat(begin - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
-                start = np.unique(start)
-                parts.append((words.run(start, start + k), words.run(start, start + k, seed=1),
-                              np.full(len(start), id_), start + (tie << _START_BITS), np.ones(len(start), np.int64)))
+        for id_, tie, mine, words in _texts_with(texts, doc, at):
+            start = _starts(at[mine] - (tie << _START_BITS), n[mine])
+            parts.append((words.run(start, start + k), words.run(start, start + k, seed=1),
+                          np.full(len(start), id_), start + (tie << _START_BITS), np.ones(len(start), np.int64)))
         if not parts:
             return pa.Table.from_batches([batch(_PLACES, [])])
         a, g, doc, at, n = (np.concatenate(c) for c in zip(*parts))
-        order, new, later = _first_of((a, g), doc, at)
+        order, new, later, first = _first_of((a, g), doc, at)
         a, g, doc, at, n = (c[order] for c in (a, g, doc, at, n))
-        rows = list(_rows(REMOVE, _shard(doc[later], shards), a[later], g[later], doc[later], at[later], n[later]))
+        rows = _remove(later, first, doc, at, n, shards)
         rows += _rows(SEEK, bucket_of(a[new], buckets), a[new], g[new], doc[new], at[new], n[new])
         return pa.Table.from_batches([batch(_PLACES, rows)])
 
     return run
 
 
+def _spans(begin: np.ndarray, end: np.ndarray, src: np.ndarray, src_at: np.ndarray):
+    """Runs of words on one diagonal, of one source, that touch become one: start, length, source, its place."""
+    order = np.lexsort((begin, begin - src_at, src))
+    begin, end, src, src_at = (c[order] for c in (begin, end, src, src_at))
+    line = np.concatenate(([0], np.cumsum((np.diff(begin - src_at) != 0) | (np.diff(src) != 0)))) << (_START_BITS + 1)
+    reach = np.maximum.accumulate(line + end)
+    first = np.flatnonzero(np.concatenate(([True], (line + begin)[1:] > reach[:-1])))
+    last = np.concatenate((first[1:], [len(begin)])) - 1
+    return begin[first], reach[last] - line[last] - begin[first], src[first], src_at[first]
+
+
+def _claims(k: int, shards: int):
+    """Texts and their runs to remove, to spans with the digest of their words, for their sources' groups."""
+    def run(texts: pa.Table, removed: pa.Table) -> pa.Table:
+        doc, at, n, src, src_at = _runs_of(removed, "doc", "at", "n", "a", "g")
+        parts = []
+        for id_, tie, mine, words in _texts_with(texts, doc, at):
+            own = at[mine] - (tie << _START_BITS)
+            begin, size, source, place = _spans(own, own + n[mine] + k - 1, src[mine], src_at[mine])
+            parts.append((source, place, np.full(len(begin), id_), begin + (tie << _START_BITS), size,
+                          _digests(words, begin, size)))
+        if not parts:
+            return pa.Table.from_batches([batch(_CLAIMS, [])])
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        rows = [(b, *map(planes, c)) for b, c in by_bucket(_shard(columns[0], shards), *columns)]
+        return pa.Table.from_batches([batch(_CLAIMS, rows)])
+
+    return run
+
+
+def _verify(k: int, shards: int):
+    """Texts and the spans that name them as their source, to runs to remove and runs that differ."""
+    def run(texts: pa.Table, claims: pa.Table) -> pa.Table:
+        src, src_at, doc, at, n, digest = _runs_of(claims, "src", "src_at", "doc", "at", "n", "digest")
+        same = np.zeros(len(src), bool)
+        for _, tie, mine, words in _texts_with(texts, src, src_at):
+            begin, size = src_at[mine] - (tie << _START_BITS), n[mine]
+            whole_span = np.flatnonzero(begin + size <= len(words))
+            found = _digests(words, begin[whole_span], size[whole_span])
+            same[mine.start + whole_span] = (found == digest[mine][whole_span]).all(axis=1)
+        rows = []
+        for kind, some in ((REMOVE, same), (DIFFERENT, ~same)):
+            for b, parts in by_bucket(_shard(doc[some], shards), doc[some], at[some], n[some] - k + 1):
+                rows.append((kind, b, b"", b"", *map(planes, parts)))
+        return pa.Table.from_batches([batch(_PLACES, rows)])
+
+    return run
+
+
+def _windows(k: int):
+    """All windows of the texts: hash, id, place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = byte_lists(b.column("text"))
+            ids, ties = (b.column(c).to_numpy(zero_copy_only=False) for c in ("id", "tie"))
+            for low, high in slices(texts):
+                words = Words(texts[low:high])
+                value, start = words.runs(k)
+                text = words.text_of(start)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(value.view(np.int64)), pa.array(ids[low + text]),
+                     pa.array((ties[low + text] << _START_BITS) + start - words.first[text])], ["h", "doc", "at"])
+
+    return run
+
+
+def _hashes(k: int):
+    def run(texts: pa.Table, runs: pa.Table) -> pa.Table:
+        doc, at, n = _runs_of(runs)
+        parts = [np.zeros(0, np.int64)]
+        for _, tie, mine, words in _texts_with(texts, doc, at):
+            start = _starts(at[mine] - (tie << _START_BITS), n[mine])
+            parts.append(words.run(start, start + k).view(np.int64))
+        return pa.table({"h": np.unique(np.concatenate(parts))})
+
+    return run
+
+
+def _digest_windows(k: int):
+    def run(texts: pa.Table, places: pa.Table) -> pa.Table:
+        doc, at = (places.column(c).to_numpy() for c in ("doc", "at"))
+        order = np.lexsort((at, doc))
+        doc, at = doc[order], at[order]
+        parts = []
+        for _, tie, mine, words in _texts_with(texts, doc, at):
+            start = at[mine] - (tie << _START_BITS)
+            parts.append((_digests(words, start, np.full(len(start), k)), doc[mine], at[mine]))
+        digest, doc, at = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros((0, 4), np.int64), doc[:0], at[:0])
+        return pa.table({"digest": pa.array([d.tobytes() for d in digest], pa.binary()), "doc": doc, "at": at})
+
+    return run
+
+
+def _one_window_runs(shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            doc, at = (b.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "at"))
+            yield batch(_PLACES, list(_rows(REMOVE, _shard(doc, shards), doc, at, doc, at, np.ones(len(doc), np.int64))))
+
+    return run
+
+
+def _decided_by_words(rows: DataFrame, meet, runs: DataFrame, k: int, shards: int) -> DataFrame:
+    """Records to remove among all windows that share a hash with a window of ``runs``, by their words."""
+    hashes = meet(runs, _hashes(k), "h bigint").distinct()
+    places = rows.select("id", "tie", "text").mapInArrow(_windows(k), "h bigint, doc bigint, at bigint")
+    places = places.join(hashes, "h", "left_semi").select(
+        "doc", "at", F.pmod(F.xxhash64("doc"), F.lit(shards)).cast("bigint").alias("bucket"))
+    words = meet(places, _digest_windows(k), "digest binary, doc bigint, at bigint")
+    first = words.groupBy("digest").agg(F.min(F.struct("doc", "at")).alias("first"))
+    later = words.join(first, "digest").filter(F.struct("doc", "at") != F.col("first")).select("doc", "at")
+    return later.mapInArrow(_one_window_runs(shards), _PLACES_SQL)
+
+
 def _cut(k: int, with_text: bool):
     """Texts and their removed windows, to what is left."""
     def run(texts: pa.Table, removed: pa.Table) -> pa.Table:
@@ -268,8 +408,8 @@ def remove_repeats(
     A word is removed if it lies in a window of ``k`` words that also start earlier: in a
     text with a smaller id, or further up in the same text. Null texts have no words; a null
     id comes before all others. Texts that share an id follow the order of their checksums;
-    repeated rows, of one id and one text, count as one document. Empty tables give no rows; other
-    columns are not read.
+    repeated rows, of one id and one text, count as one document, and so do texts of one id and
+    one checksum. Ids that are no numbers raise. Empty tables give no rows; other columns are not read.
     """
     if k < 1:
         raise ValueError("a window has at least one word")
@@ -283,7 +423,7 @@ def remove_repeats(
 
     found = rows.select("id", "tie", "text").mapInArrow(_find(k, buckets, shards), _PLACES_SQL)
     settled = found.repartition(deal, "bucket").mapInArrow(_settle(shards, True), _PLACES_SQL)
-    settled = materialize(settled, "segments")
+    settled, path = store(settled, "segments")
 
     texts = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("bigint")).select(
         "bucket", "no_id", "id", "tie", "text").repartition(deal, "bucket")
@@ -291,6 +431,12 @@ def remove_repeats(
     edges = meet(settled.filter(F.col("kind") == OPEN), _open(k, buckets, shards), _PLACES_SQL)
     edges = edges.repartition(deal, "bucket").mapInArrow(_settle(shards, False), _PLACES_SQL)
     removed = settled.filter(F.col("kind") == REMOVE).unionByName(edges)
+    claims = meet(removed, _claims(k, shards), _CLAIMS_SQL)
+    verified, _ = store(meet(claims, _verify(k, shards), _PLACES_SQL), "verified")
+    discard(docs.sparkSession, path)
+    removed, different = (verified.filter(F.col("kind") == kind) for kind in (REMOVE, DIFFERENT))
+    if not different.isEmpty():
+        removed = removed.unionByName(_decided_by_words(rows, meet, different, k, shards))
     schema = ("doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, "
               "spans array<struct<start:bigint,end:bigint>>" + (", kept string" if with_text else ""))
     return meet(removed, _cut(k, with_text), schema).withColumnRenamed("doc_id", id_column)
