@@ -333,3 +333,31 @@ def test_approximate_vocabulary_size(documents):
     words = tx.words(F.col("text"))
     exact = vb.vocabulary_size(documents, words).first()[0]
     assert abs(vb.vocabulary_size(documents, words, approximate=True).first()[0] - exact) < 0.05 * exact
+
+
+def test_grid_similarity_of_documents_cut_by_batches(spark):
+    """Documents whose rows come in several Arrow batches, and more than one document in a batch."""
+    rows = [(i, " ".join(f"w{(i * j) % 7}" for j in range(1 + i))) for i in range(12)] + [(None, "lost Lost"), (3, "more")]
+    df = spark.createDataFrame(rows, "pos bigint, text string")
+    scores = {}
+    for size in (3, 10_000):
+        before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            scores[size] = grid.compare(df, "pos", "text", {"ws": tx.words}, ["none", "porter"]).collect()
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {(r.normalizer, round(r.semantic_similarity, 9)) for r in scores[3]} == {
+        (r.normalizer, round(r.semantic_similarity, 9)) for r in scores[10_000]}
+
+
+def test_grid_sends_a_row_for_a_token_of_a_document(spark, documents):
+    """Neither tokenizers nor normalizers multiply what goes from task to task."""
+    from wordloom.functions import normalizers as nz, tokenizers as tk
+
+    tokens = documents.select(F.explode(tx.words(F.col("text"))).alias("token")).distinct()
+    forms = grid.token_forms(tokens, nz.NORMALIZERS)
+    out = grid.vector_similarity(documents, "doc_id", "text", tk.TOKENIZERS, forms, list(nz.NORMALIZERS))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("MapInArrow")]
+    assert "Generate" not in above  # nothing is spelled out as rows after the join
