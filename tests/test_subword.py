@@ -171,6 +171,25 @@ def test_seeds_against_brute_force(spark, types, parts):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+@pytest.mark.parametrize("parts", [1, 8, 61])
+def test_every_seed_against_brute_force(spark, parts):
+    """Repeats that one character always follows included."""
+    words = {"a" * 24: 3, "abab" * 9: 1, "ab": 1, "x": 1, "日本日本": 2, "a" * 40: 1, "unique": 1, "repeated": 5}
+    df = spark.createDataFrame(list(words.items()), "word string, cnt bigint")
+    counts = {}
+    for w, n in words.items():
+        for i in range(len(w)):
+            for k in range(1, min(16, len(w) - i) + 1):
+                counts[w[i:i + k]] = counts.get(w[i:i + k], 0) + n
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = {r.piece: (r.cnt, r.score) for r in unigram.seed_pieces(df, every=True).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == {p: (n, n * len(p)) for p, n in counts.items() if len(p) == 1 or n >= 2}
+
+
 def test_seeds_of_a_very_long_word(spark):
     df = spark.createDataFrame([("".join(chr(97 + (i * i + i // 7) % 26) for i in range(1_000_000)), 1)], "word string, cnt bigint")
     row = unigram.seed_pieces(df).agg(F.count("*"), F.max("cnt"), F.sum(F.when(F.length("piece") == 1, F.col("cnt")))).first()
