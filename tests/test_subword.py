@@ -196,6 +196,49 @@ def test_seeds_of_a_very_long_word(spark):
     assert row[0] > 26 and row[2] == 1_000_000
 
 
+@pytest.mark.parametrize("viterbi", [False, True])
+def test_unigram_counts_of_lattices_against_words_one_by_one(spark, viterbi):
+    """Long, very frequent and very unlikely words included, and pieces that are gone."""
+    import random
+
+    import numpy as np
+
+    draw = random.Random(3)
+    words = {"".join(draw.choice("abcé") for _ in range(draw.randint(1, 30))): draw.randint(1, 9) for _ in range(300)}
+    words |= {"ab" * 300: 2, "abc" * 50: 1, "z": 4, "cab": 1 << 33, "z" * 200: 3}
+    names = sorted({w[i:i + k] for w in list(words)[:40] for i in range(len(w)) for k in range(1, 6)} | set("abcéz"))
+    lengths = np.array([len(p) for p in names])
+    scores = np.array([np.nan if len(p) > 1 and draw.random() < .4 else -40.0 if p == "z" else -draw.random() * 6 for p in names])
+    shared = spark.sparkContext.broadcast(names)
+    rows = spark.createDataFrame([(0, w, n) for w, n in words.items()], "id int, word string, cnt bigint").repartition(3)
+    lattice = rows.mapInArrow(unigram._lattices(shared), unigram._LATTICE)
+    got = unigram._count_job(lattice, shared, lengths, scores, viterbi)
+    table = {p: x for p, x in zip(names, scores.tolist()) if x == x}
+    want = dict.fromkeys(names, 0.0)
+    for w, n in words.items():
+        uses = [(w[a:b], 1.0) for a, b, _ in unigram.best_path(w, table, 5)] if viterbi else unigram.expected_counts(w, table, 5).items()
+        for piece, x in uses:
+            want[piece] += n * x
+    assert got.tolist() == pytest.approx([want[p] for p in names], rel=1e-6, abs=1e-5)
+
+
+def test_unigram_losses_against_best_paths(spark):
+    import numpy as np
+
+    names = ["a", "aa", "aaa", "ab", "aba", "abab", "b", "bab"]
+    scores = np.array([-1.0, -1.5, -2.5, -1.2, -3.0, -2.0, np.nan, -2.2])
+    used = np.arange(8.0)
+    shared = spark.sparkContext.broadcast(names)
+    rows = spark.createDataFrame([(i, w, 1) for i, w in enumerate(names) if len(w) > 1], "id int, word string, cnt bigint")
+    got = unigram._losses(rows.mapInArrow(unigram._lattices(shared), unigram._LATTICE), scores, used)
+    table = {p: x for p, x in zip(names, scores.tolist()) if x == x}
+    for i, piece in enumerate(names):
+        if len(piece) > 1:
+            path = unigram.best_path(piece, table, 4, skip=piece)
+            want = float("inf") if path is None else used[i] / used.sum() * (table[piece] - sum(table[piece[a:b]] for a, b, _ in path))
+            assert got[i] == pytest.approx(want), piece
+
+
 def test_unigram_model_is_the_same_however_dealt(spark, types):
     sizes = unigram.train_unigram_sizes(types.coalesce(1), [900, 300])
     before = spark.conf.get("spark.sql.shuffle.partitions")
