@@ -259,6 +259,24 @@ def test_unigram_encode_equals_library(uni, texts):
         assert [t for ts, _ in got for t in ts] == want.tokens and [i for _, ids in got for i in ids] == want.ids
 
 
+def test_encoders_remember_within_a_bound(bpe):
+    """By characters, so that many words or long ones don't fill a worker; the tokens are the same."""
+    import tracemalloc
+
+    words = [f"{i:x}th" * (1 + i % 9) for i in range(30_000)]
+    plain = encode.encoder(bpe, remember=0)
+    for remember in (0, 50, encode._REMEMBER):
+        fn = encode.encoder(bpe, remember)
+        assert [fn(w) for w in words[:300] * 2] == [plain(w) for w in words[:300] * 2]
+    tracemalloc.start()
+    fn = encode.encoder(bpe)
+    for w in words:
+        fn(w * 4)
+    kept, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept < 100 * encode._REMEMBER
+
+
 def test_save_and_load(spark, bpe, uni):
     for model in (bpe, uni):
         path = new_path(spark, "test-model")
