@@ -361,3 +361,13 @@ def test_grid_sends_a_row_for_a_token_of_a_document(spark, documents):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     above = plan[:plan.index("MapInArrow")]
     assert "Generate" not in above  # nothing is spelled out as rows after the join
+
+
+def test_bag_cosines_shuffle_texts_only(spark):
+    """Terms are grouped where their document is, rows of one key together."""
+    texts = spark.createDataFrame([(0, "a a b"), (1, "c"), (1, "C d"), (2, None)], "pos bigint, text string")
+    out = similarity.bag_cosines(texts, "pos", F.col("text"), tx.words(F.col("text")))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(pos") == plan.count("Exchange") == 1 and ", term" not in plan.split("Exchange")[1].split("\n")[0]
+    rows = {r.pos: r.cosine for r in out.collect()}
+    assert rows == {0: pytest.approx(1.0), 1: pytest.approx(3 / 15 ** 0.5), 2: 0.0}

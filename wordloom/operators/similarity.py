@@ -32,10 +32,11 @@ def paired_cosine(left: DataFrame, right: DataFrame, key: str, vector: str) -> D
 def bag_cosines(df: DataFrame, key: str, original: Column, processed_tokens: Column) -> DataFrame:
     """(key, cosine): term-count cosine of a text's lowercased words and its processed tokens.
 
-    Grouped counts of distinct terms, no array goes to Python. Rows of one key are one document; a null or empty
-    side scores 0.
+    Texts are dealt out by key, which is all that is shuffled; their terms are counted and multiplied where they then are, no
+    array goes to Python. Rows of one key are one document; a null or empty side scores 0.
     """
-    sides = df.select(key, F.explode(F.array(
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sides = df.repartition(parts, key).select(key, F.explode(F.array(
         F.struct(F.lit(True).alias("own"), tx.words(F.lower(original)).alias("terms")),
         F.struct(F.lit(False).alias("own"), processed_tokens.alias("terms")))).alias("s"))
     # The outer form keeps documents without terms.
