@@ -2,11 +2,12 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
 
-from wordloom.functions.kernels import edit_fraction, levenshtein
+from wordloom.functions.kernels import edit_fraction, levenshtein, spaced_distance
 from wordloom.operators.subword.merging import apply_merges, pack_merges
 from wordloom.operators.subword.unigram import best_path, digamma, expected_counts
 
@@ -107,3 +108,28 @@ def test_unigram_lattice():
         assert all(got[p] == pytest.approx(want[p]) for p in want)
         best = max(zip(weights, paths))[1]
         assert [word[a:b] for a, b, _ in best_path(word, scores, 3)] == best
+
+
+def test_spaced_distance():
+    """Lines and their tokens joined by spaces, with and without marks, also where the line holds the mark."""
+    rng, proven = random.Random(5), 0
+    for _ in range(1500):
+        gaps = ["", " ", " ", "\n"] + ["  ", "\n\n", " \t"] * (rng.random() < 0.2)
+        line = "".join(rng.choice(["ab", "b", "#", ",", "a#b"]) + rng.choice(gaps) for _ in range(rng.randint(0, 9))) + rng.choice(["", "b", "b"])
+        mark = rng.choice(["", "##"])
+        words = re.findall(r"\w+|[^\w\s]+", line)
+        tokens, marks = [], 0
+        for word in words:
+            cuts = sorted(rng.sample(range(1, len(word)), rng.randint(0, len(word) - 1)))
+            pieces = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
+            tokens += [pieces[0], *(mark + p for p in pieces[1:])]
+            marks += len(mark) * len(cuts)
+        got = spaced_distance(line, "".join(words), len(tokens), marks)
+        assert got is None or got == slow_levenshtein(line, " ".join(tokens))
+        proven += got is not None
+        if tokens and not re.search(r"^\s|\s\s|\s$", line):
+            assert got is not None
+    assert proven > 900
+    long = "a #b, c\n" * 50_000 + "a"
+    assert spaced_distance(long, "".join(long.split()), 200_001, 0) == 100_000
+    assert spaced_distance("a b", "xb", 2, 0) is None

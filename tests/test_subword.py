@@ -1,14 +1,16 @@
 """Subword training and encoding, with the public ``tokenizers`` package as oracle."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, normalizers, pre_tokenizers, trainers
 
-from wordloom.functions import tokenizers as tk
+from wordloom.functions import kernels, tokenizers as tk
 from wordloom.functions.kernels import edit_fraction
 from wordloom.operators.subword import encode, evaluate, grid, merging, model as md, registry, types as ty, unigram
+from wordloom.plans import subword_queries
 from wordloom.session import exists, new_path
 
 
@@ -348,3 +350,63 @@ def test_pretokens_match_library(apply, texts):
     want = [[w for w, _ in pre_tokenizers.Whitespace().pre_tokenize_str(normalizers.NFKC().normalize_str(t))]
             for t in [*texts[:20], *odd]]
     assert apply(tk.subword_pretokens, [*texts[:20], *odd]) == want
+
+
+def test_reconstruction_of_long_lines_needs_no_table(monkeypatch):
+    """Lines that hold the continuation mark: the distance follows from counts, not from a quadratic comparison."""
+    monkeypatch.setattr(kernels, "_bit_parallel", None)
+    monkeypatch.setattr(kernels, "levenshtein", None)
+    line = "ab #a, b\nab " * 20_000 + "b"
+    model = md.SubwordModel("wordpiece", ["[UNK]", "a", "b", "#", ",", "##b"])
+    words = [w for w, _ in pre_tokenizers.Whitespace().pre_tokenize_str(line)]
+    shapes = [encode.shape(w, encode.encoder(model)(w)[0]) for w in words]
+    assert all(s.spelled for s in shapes)
+    tokens, marks = sum(s.tokens for s in shapes), sum(s.marks for s in shapes)
+    # "ab" gets " ##" twice, "#" and "," a space before or behind them, and the line end becomes one.
+    assert kernels.spaced_distance(line, "".join(words), tokens, marks) == 20_000 * (3 + 3 + 1 + 1 + 1)
+
+
+def test_restored_and_counted_against_the_encoders(spark, bpe, uni):
+    """Unknown characters, marks in the text, repeated white space, compatibility characters, empty and null lines."""
+    wordpiece = md.SubwordModel("wordpiece", ["[UNK]", "t", "h", "e", "#", "##h", "##e", "##he"])
+    models = {"bpe": bpe, "uni": uni, "wp": wordpiece}
+    lines = ["the #the ##the", "the  the\n\nthe ", "日本 the", "ﬁ the", "", "the", "he#the,the", " ", None, "## [UNK] the"]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, text string")
+    for lossless in (False, True):
+        shared = encode.Shared(spark, models)
+        pretokens = tk.subword_pretokens(F.col("text"))
+        line = F.coalesce(F.array_join(pretokens, "") if lossless else F.col("text"), F.lit(""))
+        got = {(r.i, r.x.model): r.x for r in df.select("i", shared.restored(pretokens, line, lossless).alias("x")).collect()}
+        counted = {(r.i, r.x.model): r.x.n_tokens for r in df.select("i", shared.counted(pretokens).alias("x")).collect()}
+        for i, text in enumerate(lines):
+            words = [w for w, _ in pre_tokenizers.Whitespace().pre_tokenize_str(normalizers.NFKC().normalize_str(text or ""))]
+            for key, model in models.items():
+                tokens = [t for w in words for t in encode.encoder(model)(w)[0]]
+                if lossless:
+                    want, back = "".join(words), "".join(t[2:] if len(t) > 2 and t.startswith("##") else t for t in tokens)
+                else:
+                    want, back = text or "", " ".join(t for t in tokens if t != "[UNK]")
+                assert (got[i, key].back.same, got[i, key].back.distance) == (want == back, edit_fraction(want, back)), (lossless, text, key)
+                assert counted[i, key] == len(tokens)
+
+
+def test_unigram_encoder_takes_the_best_path(uni):
+    rng = random.Random(4)
+    scores = dict(zip(uni.vocab[1:], uni.scores[1:]))
+    unknown, longest = min(scores.values()) - unigram.UNKNOWN_PENALTY, max(map(len, scores))
+    letters, fn = sorted({c for t in scores for c in t}) + ["日"], encode.encoder(uni)
+    for _ in range(300):
+        word = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
+        known = [word[a:b] for a, b, k in unigram.best_path(word, scores, longest, unknown=unknown) if k]
+        assert [t for t, i in zip(*fn(word)) if i] == known
+
+
+def test_models_share_their_word_types(spark, tmp_path, texts, monkeypatch):
+    """The corpus is cut into words once, not once for each kind of model."""
+    calls, count = [], subword_queries.ty.word_types
+    monkeypatch.setattr(subword_queries.ty, "word_types", lambda *a: calls.append(1) or count(*a))
+    monkeypatch.setitem(subword_queries._SIZES, "unigram", 120)
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts[:20])], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    models = subword_queries._models(spark, str(tmp_path), *md.KINDS)
+    assert list(models) == list(md.KINDS) and calls == [1]
+    subword_queries.forget_models(spark, str(tmp_path))
