@@ -410,3 +410,27 @@ def test_models_share_their_word_types(spark, tmp_path, texts, monkeypatch):
     models = subword_queries._models(spark, str(tmp_path), *md.KINDS)
     assert list(models) == list(md.KINDS) and calls == [1]
     subword_queries.forget_models(spark, str(tmp_path))
+
+
+@pytest.fixture(scope="module")
+def few(spark, texts, tmp_path_factory):
+    """A folder of forty documents, so that its full-size models are trained once for the tests."""
+    folder = str(tmp_path_factory.mktemp("few"))
+    spark.createDataFrame(list(enumerate(texts[:40])), "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    yield folder
+    subword_queries.forget_models(spark, folder)
+
+
+def test_corpus_encode_gives_tokens_and_ids_of_the_full_size(spark, few, texts):
+    tok = library_bpe(texts[:40], subword_queries.rules.VOCAB_SIZES[-1], 2)
+    assert len(tok.get_vocab()) > 1_000
+    for r in subword_queries.corpus_encode(spark, few).collect():
+        want = tok.encode(texts[r.doc_id])
+        assert (r.tokens, r.ids, r.n_tokens) == (" ".join(want.tokens), " ".join(map(str, want.ids)), len(want.ids))
+
+
+def test_full_vocabulary_ends_training(spark):
+    """A merge that spells a known symbol needs no room, but comes too late once the vocabulary is full."""
+    types = spark.createDataFrame([("###", 9)], "word string, cnt long")
+    model = merging.train(types, 4, 2, "wordpiece")
+    assert model.vocab == ["[UNK]", "#", "###", "##"] and len(model.merges) == 1
