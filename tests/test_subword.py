@@ -434,3 +434,12 @@ def test_full_vocabulary_ends_training(spark):
     types = spark.createDataFrame([("###", 9)], "word string, cnt long")
     model = merging.train(types, 4, 2, "wordpiece")
     assert model.vocab == ["[UNK]", "#", "###", "##"] and len(model.merges) == 1
+
+
+def test_evaluation_is_of_full_size_models(spark, few):
+    kinds, size = {"bpe", "wordpiece", "unigram"}, subword_queries.rules.VOCAB_SIZES[-1]
+    models = subword_queries._models(spark, few, *md.KINDS, sizes=dict.fromkeys(md.KINDS, size))
+    docs = spark.read.parquet(f"{few}/documents.parquet")
+    want = {r.model: r for r in evaluate.evaluate(docs, models).collect()}
+    got = {r.model: r for r in subword_queries.evaluate_model(spark, few).collect()}
+    assert got == want and set(got) == kinds
