@@ -443,3 +443,5 @@ def test_evaluation_is_of_full_size_models(spark, few):
     want = {r.model: r for r in evaluate.evaluate(docs, models).collect()}
     got = {r.model: r for r in subword_queries.evaluate_model(spark, few).collect()}
     assert got == want and set(got) == kinds
+    stats = {r.model: r for r in subword_queries.model_token_stats(spark, few).collect()}
+    assert set(stats) == kinds and all(r.distinct_tokens > 1_000 for r in stats.values())
