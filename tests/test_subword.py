@@ -445,3 +445,7 @@ def test_evaluation_is_of_full_size_models(spark, few):
     assert got == want and set(got) == kinds
     stats = {r.model: r for r in subword_queries.model_token_stats(spark, few).collect()}
     assert set(stats) == kinds and all(r.distinct_tokens > 1_000 for r in stats.values())
+    back = {r.model: r for r in subword_queries.reconstruction(spark, few).collect()}
+    for kind in kinds:
+        assert back[kind].reconstruction_exact_frac == round(want[kind].reconstruction_exact_frac, 6)
+        assert back[kind].avg_normalized_edit_distance == round(want[kind].avg_normalized_edit_distance, 6)
