@@ -429,6 +429,43 @@ def test_corpus_encode_gives_tokens_and_ids_of_the_full_size(spark, few, texts):
         assert (r.tokens, r.ids, r.n_tokens) == (" ".join(want.tokens), " ".join(map(str, want.ids)), len(want.ids))
 
 
+def test_wordpiece_vocab_is_trained_until_no_pair_is_left(spark, few):
+    """A vocabulary below the full size means that no two neighbours come together as often as asked for."""
+    vocab = {r.token for r in subword_queries.wordpiece_vocab(spark, few).collect()}
+    assert 1_000 < len(vocab) < subword_queries.rules.VOCAB_SIZES[-1]
+    model = subword_queries._model(spark, few, "wordpiece", subword_queries._FULL)
+    pieces = {i: t for i, t in enumerate(model.vocab)}
+    assert vocab == set(pieces.values())
+    words = [([pieces[i] for i in ids], r.cnt) for r, ids in _segmented(spark, few, model)]
+    pairs = {}
+    for tokens, cnt in words:
+        for pair in zip(tokens, tokens[1:]):
+            pairs[pair] = pairs.get(pair, 0) + cnt
+    assert max(pairs.values()) < 2
+
+
+def _segmented(spark, folder, model):
+    """Word types with the symbols that the merges leave, replayed one by one."""
+    index, mark = {t: i for i, t in enumerate(model.vocab)}, "##" if model.kind == "wordpiece" else ""
+    rows = ty.word_types(spark.read.parquet(f"{folder}/documents.parquet")).collect()
+    words = [[index[(mark if i else "") + c] for i, c in enumerate(r.word)] for r in rows]
+    holders = {}
+    for at, ids in enumerate(words):
+        for i in ids:
+            holders.setdefault(i, set()).add(at)
+    for (left, right), new in zip(model.merges, model.merge_ids):
+        for at in list(holders.get(left, set()) & holders.get(right, set())):
+            ids, out = words[at], []
+            for i in ids:
+                if out and out[-1] == left and i == right:
+                    out[-1] = new
+                else:
+                    out.append(i)
+            words[at] = out
+            holders.setdefault(new, set()).add(at)
+    return zip(rows, words)
+
+
 def test_full_vocabulary_ends_training(spark):
     """A merge that spells a known symbol needs no room, but comes too late once the vocabulary is full."""
     types = spark.createDataFrame([("###", 9)], "word string, cnt long")
