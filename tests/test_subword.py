@@ -3,13 +3,14 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, normalizers, pre_tokenizers, trainers
 
 from wordloom.functions import kernels, tokenizers as tk
 from wordloom.functions.kernels import edit_fraction
-from wordloom.operators.subword import encode, evaluate, grid, merging, model as md, registry, types as ty, unigram
+from wordloom.operators.subword import batch, encode, evaluate, grid, merging, model as md, registry, types as ty, unigram
 from wordloom.plans import subword_queries
 from wordloom.session import exists, new_path
 
@@ -486,3 +487,26 @@ def test_evaluation_is_of_full_size_models(spark, few):
     for kind in kinds:
         assert back[kind].reconstruction_exact_frac == round(want[kind].reconstruction_exact_frac, 6)
         assert back[kind].avg_normalized_edit_distance == round(want[kind].avg_normalized_edit_distance, 6)
+
+
+def test_counts_of_many_words_against_the_encoders(spark, bpe, uni, types, texts):
+    """Truncated, foreign and repeating models, unknown characters, marks, long words and words no WordPiece model covers."""
+    models = {
+        "bpe": bpe, "cut": bpe.truncated(150), "own": merging.train_bpe(types, 200, 40_000), "uni": uni,
+        "few": md.SubwordModel("unigram", ["[UNK]", "a", "b", "ab", "ba", "aba"], [], [], [0.0, -1.0, -1.0, -2.0, -2.0, -3.0]),
+        "wp": merging.train(types, 400, 3, "wordpiece"), "bare": md.SubwordModel("wordpiece", ["[UNK]", "a", "ab", "##b", "##ba"]),
+        "runs": md.SubwordModel("bpe", ["[UNK]", "a", "b", "aa", "aaaa"], [(1, 1), (3, 3)], [3, 4], [], 3),
+        "again": md.SubwordModel("bpe", ["[UNK]", "a", "aa", "aaa"], [(1, 1), (1, 2), (2, 1)], [2, 3, 3], [], 2),
+    }
+    rng = random.Random(5)
+    words = sorted({w for t in texts[:30] for w in t.split()} | {"".join(rng.choice("ab") for _ in range(rng.randint(1, 25))) for _ in range(300)}
+                   | {"a" * n for n in range(120)} | {"日", "a日b", "##a", "a##b", "[UNK]", "b" * 5_000})
+    got = batch.Counter(models).counts(pa.array(words), words)
+    for (name, model), counts in zip(models.items(), got):
+        fn = encode.encoder(model, 0)
+        for word, n in zip(words, counts.tolist()):
+            want = encode.shape(word, fn(word)[0])
+            assert n < 0 or want == encode.Shape(n, 2 * (n - 1) if model.kind == "wordpiece" else 0, True, True), (name, word)
+    left = (got < 0).sum(axis=1)
+    assert left[list(models).index("again")] == len(words) and left[list(models).index("runs")] < len(words)
+    assert left[list(models).index("bpe")] < len(words) // 4
