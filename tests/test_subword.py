@@ -3,6 +3,7 @@
 import json
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -510,3 +511,27 @@ def test_counts_of_many_words_against_the_encoders(spark, bpe, uni, types, texts
     left = (got < 0).sum(axis=1)
     assert left[list(models).index("again")] == len(words) and left[list(models).index("runs")] < len(words)
     assert left[list(models).index("bpe")] < len(words) // 4
+
+
+def test_sums_travel_in_few_rows_and_lose_no_bit(spark, monkeypatch):
+    """Each task returns as many rows as there are parts, however many pieces it met, and large sums are exact."""
+    monkeypatch.setattr(unigram, "_CARRY_AFTER", 3)
+    rng = random.Random(6)
+    values = [(rng.randrange(40), rng.choice([1, (1 << 40) - 1, 1 << 60, rng.randrange(1 << 50)])) for _ in range(300)]
+    sums = [unigram._Sums(40) for _ in range(3)]
+    for i, (piece, value) in enumerate(values):
+        if value < 1 << 60:
+            sums[i % 3].add(np.array([piece] * 2), np.array([value] * 2))
+        else:
+            sums[i % 3].add_one(piece, 2 * value)
+    tasks = [s.parts(4) for s in sums]
+    assert [t.num_rows for t in tasks] == [4, 4, 4]
+    table, got = pa.Table.from_batches(tasks), [0] * 40
+    for part in range(4):
+        row = unigram._added(table.filter(pa.array([p == part for p in table.column("part").to_pylist()]))).to_pylist()[0]
+        for i, low, high in zip(row["i"], row["low"], row["high"]):
+            got[i] = (high << 40) + low
+    want = [0] * 40
+    for piece, value in values:
+        want[piece] += 2 * value
+    assert got == want
