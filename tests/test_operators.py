@@ -371,3 +371,22 @@ def test_bag_cosines_shuffle_texts_only(spark):
     assert plan.count("Exchange hashpartitioning(pos") == plan.count("Exchange") == 1 and ", term" not in plan.split("Exchange")[1].split("\n")[0]
     rows = {r.pos: r.cosine for r in out.collect()}
     assert rows == {0: pytest.approx(1.0), 1: pytest.approx(3 / 15 ** 0.5), 2: 0.0}
+
+
+@pytest.mark.parametrize("frequent", [0, 3, 200_000])
+def test_grid_similarity_whatever_is_listed_as_frequent(spark, documents, monkeypatch, frequent):
+    """Forms worked out in place are those of the table, and documents' rows stay where they are."""
+    rows = [(0, "Cats cats Dogs the, the"), (1, "the The, dogs PONIES"), (2, ""), (3, None), (4, "ponies running the"), (4, "Cats")]
+    df = spark.createDataFrame(rows, "pos bigint, text string")
+    lemmas = spark.createDataFrame([("cats", "cat"), ("cats", "kat"), ("Cats", "Cat"), ("ponies", "pony")], "token string, lemma string")
+    monkeypatch.setattr(grid, "FREQUENT", frequent)
+    names, plans, similarity = ["none", "porter", "lemma"], [], grid.vector_similarity
+    monkeypatch.setattr(grid, "vector_similarity", lambda *a: plans.append(similarity(*a)) or plans[-1])
+    got = grid.compare(df, "pos", "text", {"ws": tx.words, "naive": grid.tk.naive}, names[:2], lemmas)
+    tokens = df.select(F.explode(tx.words(F.col("text"))).alias("token")).union(df.select(F.explode(grid.tk.naive(F.col("text"))))).distinct()
+    forms = grid.token_forms(tokens, {n: grid.nz.NORMALIZERS[n] for n in names[:2]}, lemmas)
+    want = similarity(df, "pos", "text", {"ws": tx.words, "naive": grid.tk.naive}, forms, names)
+    key = lambda r: (r.tokenizer, r.normalizer, round(r.semantic_similarity, 9))
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+    physical = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in physical and "BroadcastHashJoin" in physical
