@@ -390,3 +390,16 @@ def test_grid_similarity_whatever_is_listed_as_frequent(spark, documents, monkey
     assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
     physical = plans[0]._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in physical and "BroadcastHashJoin" in physical
+
+
+def test_metrics_tokenize_once_for_their_lemmas(spark, monkeypatch, documents, tmp_path):
+    """The grid and its seconds share one lemma table, and that tokenizes the texts once."""
+    from wordloom.plans import source_queries, token_queries
+
+    documents.filter("doc_id < 30").write.parquet(f"{tmp_path}/documents.parquet")
+    made, stored, build, keep = [], [], token_queries.lemma_lookup, token_queries.materialize
+    monkeypatch.setattr(token_queries, "lemma_lookup", lambda *a: made.append(1) or build(*a))
+    monkeypatch.setattr(token_queries, "materialize", lambda df, label: stored.append(label) or keep(df, label))
+    monkeypatch.setattr(token_queries, "_TIMED_ROWS", 5)
+    assert source_queries.metrics_csv(spark, str(tmp_path)).count() == 20
+    assert made == [1] and stored == ["counts", "lemmas"]
